@@ -1,0 +1,43 @@
+"""Broadcast a join side only when its row count is proven small.
+
+``bounded_broadcast`` counts at most ``max_rows + 1`` rows. Within the bound the
+side is hinted for a broadcast hash join (the big side is never shuffled);
+beyond it the DataFrame is returned unchanged and Spark plans a shuffle join,
+which adaptive execution may still demote to a broadcast at run time, and whose
+skewed partitions it splits.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from creditlake.session import checkpoint_dir
+
+# About 64 bytes a row for the narrow dimension projections joined here, so the
+# default keeps a broadcast under ~16 MB.
+DEFAULT_MAX_ROWS = 250_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> int:
+    """Count rows, stopping after ``max_rows + 1``."""
+    return df.limit(max_rows + 1).count()
+
+
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, materialize: bool = False
+) -> DataFrame:
+    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    ``materialize=True`` is for sides that are themselves derived by a shuffle
+    (e.g. a per-user aggregate of the fact): the side is written once to the
+    reliable checkpoint folder, so the size check and the join read the stored
+    result instead of recomputing it, and a lost executor cannot force a rerun
+    of the aggregate.
+    """
+    if materialize:
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    if row_count_at_most(df, max_rows) <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The job this library re-expresses has no streaming path (one-shot CSV ingest,
+full-refresh marts, no watermarks, windows or state), so nothing is built here.
+A refresh is a batch ``creditlake.plans.publish.run``.
+"""
