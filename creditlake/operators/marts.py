@@ -27,7 +27,8 @@ from creditlake.functions.labels import (
     usage_level,
 )
 from creditlake.functions.numeric import ratio, round_half_away, to_amount, to_double
-from creditlake.plans.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
+from creditlake.plans.broadcast import DEFAULT_MAX_ROWS, broadcast_columns
+from creditlake.session import checkpoint_dir
 from creditlake.schemas import ACTION_ADD, ACTION_DEDUCT, DEFAULT_CREDIT_TYPE, SENTINEL_DATE
 
 LEDGER_KEYS = ("activity_date", "org_id", "user_id", "action", "credit_type")
@@ -119,7 +120,7 @@ def non_default_filter() -> Column:
 
 
 def _dimension(df: DataFrame, cols: list[str], max_rows: int) -> DataFrame:
-    return bounded_broadcast(df.select(*cols), max_rows)
+    return broadcast_columns(df, cols, max_rows)
 
 
 # ---------------------------------------------------------------------------
@@ -290,13 +291,14 @@ def most_active_user_per_org(
     Counts are taken per (org, user_id) before the join, so the join carries
     one row per active user instead of one per action. Ties: name ascending.
     """
-    per_user = _measured(ua).groupBy("org_id", "user_id").agg(F.sum("n").alias("cnt"))
+    per_user = _measured(ua).groupBy("org_id", "user_id").agg(F.sum("n").alias("n"))
     usrs = _dimension(users, ["user_id", "user_name"], max_dim_rows)
-    per_name = (
-        per_user.join(usrs, "user_id")
-        .groupBy("org_id", "user_name")
-        .agg(F.sum("cnt").alias("cnt"))
-    )
+    return _top_user(per_user.join(usrs, "user_id"))
+
+
+def _top_user(named: DataFrame) -> DataFrame:
+    """Top-1 ``user_name`` per org over rows carrying (org_id, user_name, n)."""
+    per_name = named.groupBy("org_id", "user_name").agg(F.sum("n").alias("cnt"))
     order_key = F.struct(
         (-F.col("cnt")).alias("neg_cnt"),
         F.col("user_name").isNotNull().alias("not_null"),
@@ -320,6 +322,7 @@ def executive_summary(
     organizations: DataFrame,
     users: DataFrame,
     max_dim_rows: int = DEFAULT_MAX_ROWS,
+    materialize: bool = True,
 ) -> DataFrame:
     """Per organisation, over non-'default' rows whose org and user are known.
 
@@ -327,8 +330,11 @@ def executive_summary(
     The top action and top user are looked up over all rows of the org.
 
     The fact is scanned once: one pre-aggregate keyed by (org, user, action,
-    kept-by-filter, day) feeds the summary and both lookups, and Spark reuses
-    its shuffle for all three branches.
+    kept-by-filter, day) feeds the summary and both lookups. Column pruning
+    gives each consumer a different copy of that aggregate, so Spark would not
+    reuse its shuffle; with ``materialize=True`` it is checkpointed once to the
+    reliable checkpoint folder instead (pass False when ``ua`` is already a
+    stored table, e.g. the daily rollup).
     """
     base = (
         as_ledger(ua)
@@ -345,30 +351,31 @@ def executive_summary(
             F.sum("n_amount").alias("n_amount"),
         )
     )
-    per_day = (
-        base.where(F.col("kept"))
-        .groupBy("org_id", "user_id", "activity_date")
-        .agg(
-            F.sum("amount").alias("amount"),
-            F.sum("n").alias("n"),
-            F.sum("n_amount").alias("n_amount"),
-        )
-    )
-    user_keys = _dimension(users, ["user_id"], max_dim_rows)
+    if materialize:
+        checkpoint_dir(base.sparkSession)
+        base = base.checkpoint(eager=True)
+    usrs = _dimension(users, ["user_id", "user_name"], max_dim_rows)
     orgs = _dimension(organizations, ["org_id", "org_name", "industry"], max_dim_rows)
-    known = per_day.join(user_keys, "user_id", "left_semi").join(orgs, "org_id")
+    named = base.join(usrs, "user_id")
+
+    kept = F.col("kept")
     day = F.col("activity_date")
-    summary = known.groupBy("org_name", "industry", "org_id").agg(
-        F.countDistinct("user_id").alias("total_users"),
-        F.countDistinct("activity_date").alias("active_days"),
-        F.sum("amount").alias("amount"),
-        F.sum("n").alias("total_actions"),
-        F.sum("n_amount").alias("n_amount"),
-        F.min(F.when(day > F.lit(SENTINEL_DATE).cast("date"), day)).alias("first_activity"),
-        F.max("activity_date").alias("last_activity"),
+    summary = (
+        named.join(orgs, "org_id")
+        .groupBy("org_name", "industry", "org_id")
+        .agg(
+            F.countDistinct(F.when(kept, F.col("user_id"))).alias("total_users"),
+            F.countDistinct(F.when(kept, day)).alias("active_days"),
+            F.sum(F.when(kept, F.col("amount"))).alias("amount"),
+            F.sum(F.when(kept, F.col("n"))).alias("total_actions"),
+            F.sum(F.when(kept, F.col("n_amount"))).alias("n_amount"),
+            F.min(F.when(kept & (day > F.lit(SENTINEL_DATE).cast("date")), day)).alias("first_activity"),
+            F.max(F.when(kept, day)).alias("last_activity"),
+        )
+        .where(F.col("total_actions") > 0)
     )
     top_action = primary_action_per_org(base)
-    top_user = most_active_user_per_org(base, users, max_dim_rows)
+    top_user = _top_user(named)
     return (
         summary.join(top_action, "org_id", "left")
         .join(top_user, "org_id", "left")

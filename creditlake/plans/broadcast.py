@@ -9,6 +9,8 @@ skewed partitions it splits.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +21,29 @@ from creditlake.session import checkpoint_dir
 DEFAULT_MAX_ROWS = 250_000
 
 
+# Size decisions already taken for a DataFrame object: {df: {max_rows: fits}}.
+_DECISIONS: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> int:
     """Count rows, stopping after ``max_rows + 1``."""
     return df.limit(max_rows + 1).count()
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (checked once per DataFrame object)."""
+    seen = _DECISIONS.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = row_count_at_most(df, max_rows) <= max_rows
+    return seen[max_rows]
+
+
+def broadcast_columns(df: DataFrame, cols: list[str], max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Project ``df`` to ``cols`` and broadcast it when ``df`` is within ``max_rows``."""
+    narrow = df.select(*cols)
+    return F.broadcast(narrow) if fits(df, max_rows) else narrow
+
+
 def bounded_broadcast(
     df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, materialize: bool = False
 ) -> DataFrame:
@@ -38,6 +58,4 @@ def bounded_broadcast(
     if materialize:
         checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    if row_count_at_most(df, max_rows) <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits(df, max_rows) else df

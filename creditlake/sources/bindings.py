@@ -11,7 +11,8 @@ with the scale factor.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,14 +30,32 @@ B2_ORGS = 10
 B1_DEFAULT_PRIORITY = "4-NOT SPECIFIED"
 
 
-@dataclass(frozen=True)
 class Ledger:
-    """A fact table with its two dimensions and its reporting date."""
+    """A fact table with its two dimensions and its reporting date.
 
-    actions: DataFrame
-    organizations: DataFrame
-    users: DataFrame
-    as_of: str
+    Dimensions are built on first use, so a query that needs only the fact
+    never plans the dimension scans.
+    """
+
+    def __init__(
+        self,
+        actions: DataFrame,
+        organizations: Callable[[], DataFrame],
+        users: Callable[[], DataFrame],
+        as_of: str,
+    ) -> None:
+        self.actions = actions
+        self._organizations = organizations
+        self._users = users
+        self.as_of = as_of
+
+    @cached_property
+    def organizations(self) -> DataFrame:
+        return self._organizations()
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return self._users()
 
 
 def org_key(nation_key: Column) -> Column:
@@ -93,7 +112,12 @@ def orders_ledger(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> L
     ]
     if with_seq:
         cols.append(F.col("o_orderkey").alias("seq"))
-    return Ledger(fact.select(*cols), _organizations(spark, sf_dir), _users(customer), B1_AS_OF)
+    return Ledger(
+        fact.select(*cols),
+        lambda: _organizations(spark, sf_dir),
+        lambda: _users(customer),
+        B1_AS_OF,
+    )
 
 
 def _event_user(events_user_id: Column) -> Column:
@@ -125,9 +149,12 @@ def events_ledger(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> L
     ]
     if with_seq:
         cols.append(F.col("event_id").alias("seq"))
-    customer = read_parquet_table(spark, sf_dir, "customer").where(F.col("c_custkey") < B2_USERS)
-    orgs = _organizations(spark, sf_dir, max_key=B2_ORGS)
-    return Ledger(events.select(*cols), orgs, _users(customer), B2_AS_OF)
+    return Ledger(
+        events.select(*cols),
+        lambda: _organizations(spark, sf_dir, max_key=B2_ORGS),
+        lambda: _users(read_parquet_table(spark, sf_dir, "customer").where(F.col("c_custkey") < B2_USERS)),
+        B2_AS_OF,
+    )
 
 
 def messy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,4 +210,4 @@ def messy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def messy_events_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
     """B2m raw rows with the B2 dimensions (fact still needs cleaning)."""
     dims = events_ledger(spark, sf_dir)
-    return Ledger(messy_events(spark, sf_dir), dims.organizations, dims.users, B2_AS_OF)
+    return Ledger(messy_events(spark, sf_dir), lambda: dims.organizations, lambda: dims.users, B2_AS_OF)
