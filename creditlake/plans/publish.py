@@ -29,6 +29,7 @@ from creditlake.operators.quality import (
 )
 from creditlake.schemas import MART_CONTRACTS, MART_KEYS, ORGANIZATIONS, USER_ACTIONS, USERS
 from creditlake.sources.csv import read_raw_actions
+from creditlake.sources.dimensions import organizations_from, users_from
 
 FACT_TABLE = "user_actions"
 ROLLUP_TABLE = "user_actions_daily"
@@ -86,13 +87,16 @@ def load_fact(spark: SparkSession, clean_df: DataFrame, database: str | None = N
 def load_dimensions(
     spark: SparkSession, organizations: DataFrame, users: DataFrame, database: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Organizations first, then users, then the users → organizations check."""
+    """Organizations first, then users, then the users → organizations check.
+
+    Missing ``created_at`` columns take the load time (the table default).
+    """
     orgs = publish(
-        spark, organizations, "organizations", database, contract=ORGANIZATIONS,
+        spark, organizations_from(organizations), "organizations", database, contract=ORGANIZATIONS,
         not_null=("org_id", "org_name"), unique_keys=("org_id",),
     )
     usrs = publish(
-        spark, users, "users", database, contract=USERS,
+        spark, users_from(users), "users", database, contract=USERS,
         not_null=("user_id", "user_name"), unique_keys=("user_id",),
     )
     assert_no_rows(orphan_users(usrs, orgs), "users.org_id not in organizations")
