@@ -29,6 +29,12 @@ from creditlake.schemas import (
 NUMBER_RE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 MERIDIEM_RE = r"\s+[AaPp][Mm]$"
 
+# Shapes a text must have before a pattern is tried. They only skip hopeless
+# parse attempts (a failed attempt is costly); the pattern still validates.
+ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
+EU_SHAPE = r"^\d{1,2}-\d{1,2}-\d{4}$"
+US_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}\s+[AaPp][Mm]$"
+
 
 def parse_mixed_timestamp(col: Column | str, meridiem: str = "ignore") -> Column:
     """Parse a text column holding epoch seconds or one of three text shapes.
@@ -45,12 +51,12 @@ def parse_mixed_timestamp(col: Column | str, meridiem: str = "ignore") -> Column
         seconds.between(F.lit(EPOCH_MIN_SECONDS), F.lit(EPOCH_MAX_SECONDS)),
         F.timestamp_seconds(seconds),
     )
-    iso = F.try_to_timestamp(s, F.lit(ISO_PATTERN))
-    eu = F.try_to_timestamp(s, F.lit(EU_PATTERN))
+    iso = F.when(s.rlike(ISO_SHAPE), F.try_to_timestamp(s, F.lit(ISO_PATTERN)))
+    eu = F.when(s.rlike(EU_SHAPE), F.try_to_timestamp(s, F.lit(EU_PATTERN)))
     if meridiem == "ignore":
         us_text = F.regexp_replace(s, MERIDIEM_RE, "")
-        us = F.when(s.rlike(MERIDIEM_RE), F.try_to_timestamp(us_text, F.lit(US_PATTERN)))
+        us = F.when(s.rlike(US_SHAPE), F.try_to_timestamp(us_text, F.lit(US_PATTERN)))
     else:
         us_text = F.upper(F.regexp_replace(s, r"\s+", " "))
-        us = F.try_to_timestamp(us_text, F.lit(US_PATTERN_MERIDIEM))
+        us = F.when(s.rlike(US_SHAPE), F.try_to_timestamp(us_text, F.lit(US_PATTERN_MERIDIEM)))
     return F.coalesce(epoch, iso, eu, us)
