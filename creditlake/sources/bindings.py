@@ -2,11 +2,11 @@
 
 B1 (orders): the fact is ``orders`` joined to ``customer`` for the home
 organisation; organisations come from ``nation`` + ``region``, users from
-``customer``. B2 (events): the fact is ``events`` folded onto 20 users and 10
-organisations (nation keys 0-9; users keep their home nation, so some point
-outside the organisation table). B2m: B2 rendered as the messy raw text a CSV export would hold,
-to drive the cleaning step. Every binding reads whole tables, so its work grows
-with the scale factor.
+``customer``. B2 (events): the fact is ``events`` folded onto 20 users (customer keys 0-19)
+and 10 organisations (nation keys 0-9); the dimensions are the same whole
+tables as in B1. B2m: B2 rendered as the messy raw text a CSV export would
+hold, to drive the cleaning step. Every binding reads whole tables, so its work
+grows with the scale factor.
 """
 
 from __future__ import annotations
@@ -66,10 +66,8 @@ def user_key(customer_key: Column) -> Column:
     return F.concat(F.lit("user_"), customer_key.cast("string"))
 
 
-def _organizations(spark: SparkSession, sf_dir: str, max_key: int | None = None) -> DataFrame:
+def _organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_parquet_table(spark, sf_dir, "nation")
-    if max_key is not None:
-        nation = nation.where(F.col("n_nationkey") < max_key)
     region = read_parquet_table(spark, sf_dir, "region")
     joined = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     return organizations_from(
@@ -151,8 +149,8 @@ def events_ledger(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> L
         cols.append(F.col("event_id").alias("seq"))
     return Ledger(
         events.select(*cols),
-        lambda: _organizations(spark, sf_dir, max_key=B2_ORGS),
-        lambda: _users(read_parquet_table(spark, sf_dir, "customer").where(F.col("c_custkey") < B2_USERS)),
+        lambda: _organizations(spark, sf_dir),
+        lambda: _users(read_parquet_table(spark, sf_dir, "customer")),
         B2_AS_OF,
     )
 

@@ -46,13 +46,12 @@ b1_ua AS (
 B2 = f"""
 b2_orgs AS (
   SELECT {_org('n_nationkey')} AS org_id, n_name AS org_name, r_name AS industry
-  FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
-  WHERE n_nationkey < 10),
+  FROM nation LEFT JOIN region ON n_regionkey = r_regionkey),
 b2_users AS (
   SELECT 'user_' || CAST(c_custkey AS VARCHAR) AS user_id, c_name AS user_name,
          lower(c_name) || '@example.com' AS email, {_org('c_nationkey')} AS org_id,
          c_mktsegment AS role
-  FROM customer WHERE c_custkey < 20),
+  FROM customer),
 b2_ev AS (
   SELECT *, user_id % 20 AS u, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
 b2_ua AS (
