@@ -28,7 +28,7 @@ from creditlake.functions.labels import (
 )
 from creditlake.functions.numeric import ratio, round_half_away, to_amount, to_double
 from creditlake.plans.broadcast import DEFAULT_MAX_ROWS, broadcast_columns
-from creditlake.session import checkpoint_dir
+from creditlake.plans.materialize import materialize as materialize_stage
 from creditlake.schemas import ACTION_ADD, ACTION_DEDUCT, DEFAULT_CREDIT_TYPE, SENTINEL_DATE
 
 LEDGER_KEYS = ("activity_date", "org_id", "user_id", "action", "credit_type")
@@ -332,9 +332,9 @@ def executive_summary(
     The fact is scanned once: one pre-aggregate keyed by (org, user, action,
     kept-by-filter, day) feeds the summary and both lookups. Column pruning
     gives each consumer a different copy of that aggregate, so Spark would not
-    reuse its shuffle; with ``materialize=True`` it is checkpointed once to the
-    reliable checkpoint folder instead (pass False when ``ua`` is already a
-    stored table, e.g. the daily rollup).
+    reuse its shuffle; with ``materialize=True`` it is written once to the
+    shared checkpoint folder and each consumer reads only its columns (pass
+    False when ``ua`` is already a stored table, e.g. the daily rollup).
     """
     base = (
         as_ledger(ua)
@@ -352,8 +352,7 @@ def executive_summary(
         )
     )
     if materialize:
-        checkpoint_dir(base.sparkSession)
-        base = base.checkpoint(eager=True)
+        base = materialize_stage(base, "executive-base")
     usrs = _dimension(users, ["user_id", "user_name"], max_dim_rows)
     orgs = _dimension(organizations, ["org_id", "org_name", "industry"], max_dim_rows)
     named = base.join(usrs, "user_id")

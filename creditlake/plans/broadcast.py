@@ -14,7 +14,7 @@ import weakref
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditlake.session import checkpoint_dir
+from creditlake.plans.materialize import materialize as materialize_stage
 
 # About 64 bytes a row for the narrow dimension projections joined here, so the
 # default keeps a broadcast under ~16 MB.
@@ -51,11 +51,10 @@ def bounded_broadcast(
 
     ``materialize=True`` is for sides that are themselves derived by a shuffle
     (e.g. a per-user aggregate of the fact): the side is written once to the
-    reliable checkpoint folder, so the size check and the join read the stored
+    shared checkpoint folder, so the size check and the join read the stored
     result instead of recomputing it, and a lost executor cannot force a rerun
     of the aggregate.
     """
     if materialize:
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = materialize_stage(df, "side")
     return F.broadcast(df) if fits(df, max_rows) else df
