@@ -1,8 +1,8 @@
 """Session construction and shared-storage locations.
 
-Library code never invents machine-local paths: checkpoints go to the folder the
-cluster names in ``spark.checkpoint.dir``; only when that is unset (local runs,
-tests) does it fall back to a folder under the warehouse directory.
+Library code never invents machine-local paths: intermediate stages go to the
+folder the cluster names in ``spark.checkpoint.dir``; only when that is unset
+(local runs) does it fall back to a folder under the warehouse directory.
 """
 
 from __future__ import annotations
@@ -40,14 +40,19 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable checkpoint folder, set from the warehouse only when unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    """The shared folder for intermediate stages.
+
+    ``spark.checkpoint.dir`` as the cluster sets it; when unset (local runs),
+    a folder under the warehouse directory. Nothing is set on the session.
+    """
+    try:  # classic sessions: the application's own subfolder of spark.checkpoint.dir
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # Spark Connect has no SparkContext
+        current = None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        configured = warehouse.rstrip("/") + "/_checkpoints"
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if configured:
+        return configured
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    return warehouse.rstrip("/") + "/_checkpoints"
