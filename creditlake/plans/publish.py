@@ -1,14 +1,18 @@
 """Publishing tables and the end-to-end refresh.
 
-``publish`` writes a result to a staging table, checks it (schema contract,
-NOT NULL columns, unique keys) while the previous version stays readable, then
-swaps it in. Written tables are also the lineage cuts of the pipeline: every
-stage reads the previous stage's stored table, so a lost executor only reruns
-the current stage.
+``publish`` writes a result as a new immutable version table, checks it (schema
+contract, NOT NULL columns, unique keys) while readers still see the previous
+version, then repoints the view ``name`` at it. The swap is a catalog update:
+no data is renamed or copied (a rename on an object store is a full copy). The
+previous version is kept for queries already running; older ones are dropped.
+Written tables are also the lineage cuts of the pipeline: every stage reads the
+previous stage's stored table, so a lost executor only reruns the current stage.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -40,6 +44,16 @@ def _qualified(name: str, database: str | None) -> str:
     return f"{database}.{name}" if database else name
 
 
+def _versions(spark: SparkSession, name: str, database: str | None) -> list[str]:
+    prefix = f"{name}__v"
+    tables = spark.catalog.listTables(dbName=database) if database else spark.catalog.listTables()
+    return sorted(t.name for t in tables if t.name.startswith(prefix) and not t.isTemporary)
+
+
+def _is_view(spark: SparkSession, target: str) -> bool:
+    return spark.catalog.tableExists(target) and spark.catalog.getTable(target).tableType == "VIEW"
+
+
 def publish(
     spark: SparkSession,
     df: DataFrame,
@@ -49,25 +63,34 @@ def publish(
     not_null: Sequence[str] = (),
     unique_keys: Sequence[str] = (),
     sort_within: Sequence[str] = (),
+    keep_versions: int = 2,
 ) -> DataFrame:
-    """Write ``df`` as table ``name`` after checking it; return the stored table."""
+    """Write ``df`` as a new version of ``name`` after checking it; return the published view."""
     target = _qualified(name, database)
-    staging = _qualified(f"{name}__staging", database)
+    version_name = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:6]}"
+    version = _qualified(version_name, database)
     if contract is not None:
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in contract.fields])
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    df.write.mode("overwrite").format("parquet").saveAsTable(staging)
-    staged = spark.table(staging)
-    if contract is not None:
-        assert_schema(staged, T.StructType([T.StructField(f.name, f.dataType) for f in contract.fields]), target)
-    if not_null:
-        assert_clean(null_violations(target, staged, not_null), target)
-    if unique_keys:
-        assert_no_rows(duplicate_keys(staged, unique_keys), f"{target} unique key {tuple(unique_keys)}")
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    df.write.mode("errorifexists").format("parquet").saveAsTable(version)
+    staged = spark.table(version)
+    try:
+        if contract is not None:
+            plain = T.StructType([T.StructField(f.name, f.dataType) for f in contract.fields])
+            assert_schema(staged, plain, target)
+        if not_null:
+            assert_clean(null_violations(target, staged, not_null), target)
+        if unique_keys:
+            assert_no_rows(duplicate_keys(staged, unique_keys), f"{target} unique key {tuple(unique_keys)}")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
+    if spark.catalog.tableExists(target) and not _is_view(spark, target):
+        spark.sql(f"DROP TABLE {target}")  # a plain table from an older layout
+    spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {version}")
+    for old in _versions(spark, name, database)[:-keep_versions]:
+        spark.sql(f"DROP TABLE IF EXISTS {_qualified(old, database)}")
     return spark.table(target)
 
 

@@ -57,12 +57,20 @@ def test_clean_from_csv(spark, csv_path):
 
 
 def test_publish_checks_before_swap(spark):
-    good = spark.createDataFrame([("o1", 1.0)], "org_id string, total_credits double")
-    publish(spark, good, "t_publish", unique_keys=("org_id",))
-    bad = spark.createDataFrame([("o1", 1.0), ("o1", 2.0)], "org_id string, total_credits double")
+    ddl = "org_id string, total_credits double"
+    publish(spark, spark.createDataFrame([("o1", 1.0)], ddl), "t_publish", unique_keys=("org_id",))
+    reader = spark.table("t_publish")  # a query resolved against the first version
+    bad = spark.createDataFrame([("o1", 1.0), ("o1", 2.0)], ddl)
     with pytest.raises(DataQualityError):
         publish(spark, bad, "t_publish", unique_keys=("org_id",))
     assert [tuple(r) for r in spark.table("t_publish").collect()] == [("o1", 1.0)]
+    publish(spark, spark.createDataFrame([("o1", 2.0)], ddl), "t_publish", unique_keys=("org_id",))
+    assert [tuple(r) for r in reader.collect()] == [("o1", 1.0)]  # previous version still readable
+    publish(spark, spark.createDataFrame([("o1", 3.0)], ddl), "t_publish", unique_keys=("org_id",))
+    assert [tuple(r) for r in spark.table("t_publish").collect()] == [("o1", 3.0)]
+    assert spark.catalog.getTable("t_publish").tableType == "VIEW"
+    versions = [t.name for t in spark.catalog.listTables() if t.name.startswith("t_publish__v")]
+    assert len(versions) == 2  # current + previous; the first and the failed one are gone
 
 
 def test_run_end_to_end(spark, csv_path):
