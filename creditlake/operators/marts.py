@@ -359,9 +359,11 @@ def executive_summary(
 
     kept = F.col("kept")
     day = F.col("activity_date")
+    # Grouped per org_id (the dimension's key, so the same groups as grouping by
+    # its name, industry and id); the names are attached after aggregating, and
+    # all three per-org results share one partitioning on org_id.
     summary = (
-        named.join(orgs, "org_id")
-        .groupBy("org_name", "industry", "org_id")
+        named.groupBy("org_id")
         .agg(
             F.countDistinct(F.when(kept, F.col("user_id"))).alias("total_users"),
             F.countDistinct(F.when(kept, day)).alias("active_days"),
@@ -372,6 +374,7 @@ def executive_summary(
             F.max(F.when(kept, day)).alias("last_activity"),
         )
         .where(F.col("total_actions") > 0)
+        .join(orgs, "org_id")
     )
     top_action = primary_action_per_org(base)
     top_user = _top_user(named)
