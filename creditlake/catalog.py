@@ -6,6 +6,7 @@ are returned as ``timestamp_ntz`` so results do not depend on the session zone.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from creditlake.operators import marts as M
 from creditlake.operators import quality as Q
 from creditlake.operators import serve as S
 from creditlake.schemas import INVOICE_IN_DEBIT
+from creditlake.session import checkpoint_dir
 from creditlake.sources import bindings as B
+from creditlake.sources.csv import read_raw_actions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,6 +168,21 @@ def clean_user_actions_normalise_first(spark, sf_dir):
     return _ntz(C.clean(raw, C.CleanOptions(normalise_first=True), keep_seq=True))
 
 
+def clean_user_actions_from_csv(spark, sf_dir):
+    """S1 end to end: the messy rows exported as CSV (in file order), scanned back, cleaned."""
+    raw = B.messy_events(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/creditlake-csv-{uuid.uuid4().hex}"
+    (
+        raw.orderBy("seq")
+        .drop("seq")
+        .write.option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return _ntz(C.clean(read_raw_actions(spark, path)))
+
+
 def cleaning_report(spark, sf_dir):
     return C.cleaning_report(B.messy_events(spark, sf_dir))
 
@@ -175,6 +193,12 @@ def cleaned_marts_finance(spark, sf_dir):
     return M.finance_mart(C.clean(b.actions), b.organizations)
 
 
+def executive_summary_cleaned(spark, sf_dir):
+    """Executive mart over the cleaned messy fact (sentinel dates present)."""
+    b = B.messy_events_ledger(spark, sf_dir)
+    return M.executive_summary(C.clean(b.actions), b.organizations, b.users)
+
+
 # --- exploration and quality ---------------------------------------------------
 
 
@@ -246,8 +270,10 @@ QUERIES: dict[str, Query] = {
     "single_org_filter": single_org_filter,
     "clean_user_actions": clean_user_actions,
     "clean_user_actions_normalise_first": clean_user_actions_normalise_first,
+    "clean_user_actions_from_csv": clean_user_actions_from_csv,
     "cleaning_report": cleaning_report,
     "finance_mart_cleaned": cleaned_marts_finance,
+    "executive_summary_cleaned": executive_summary_cleaned,
     "distinct_ids": distinct_ids,
     "distinct_id_counts": distinct_id_counts,
     "dedup_actions": dedup_actions,

@@ -391,6 +391,10 @@ def _queries() -> dict[str, str]:
         B2M, TYPED, TYPED_NORM, _firsts("b2m_typed_n", "b2m_first_n"),
         _kept("b2m_typed_n", "b2m_first_n", "b2m_kept_n"),
     ) + _finish("b2m_kept_n", False, True)
+    q["clean_user_actions_from_csv"] = _clean(
+        'SELECT org_id, user_id, credit_type, action, credits, "timestamp" FROM b2m_clean'
+    )
+    q["executive_summary_cleaned"] = _with(B2, CLEAN_CTES, CLEAN) + executive_sql("b2m_clean", "b2_orgs", "b2_users")
     q["cleaning_report"] = _with(B2M, TYPED, _firsts("b2m_typed", "b2m_first")) + """
   SELECT CAST(COUNT(*) AS BIGINT) AS rows_in,
          CAST(COUNT(*) FILTER (WHERE t.org_id IS NULL AND t.user_id IS NULL) AS BIGINT) AS dropped_missing_ids,
