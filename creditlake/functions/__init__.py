@@ -7,10 +7,12 @@ from creditlake.functions.labels import (
     usage_level,
 )
 from creditlake.functions.numeric import (
+    amount_to_double,
     exact_avg,
     exact_mean,
     exact_sum,
     round_half_away,
+    sum_amount,
     to_amount,
     to_double,
 )
@@ -18,6 +20,7 @@ from creditlake.functions.text import normalise_text, null_na_tokens, strip_unic
 from creditlake.functions.timestamps import parse_mixed_timestamp
 
 __all__ = [
+    "amount_to_double",
     "customer_status",
     "engagement_level",
     "exact_avg",
@@ -29,6 +32,7 @@ __all__ = [
     "parse_mixed_timestamp",
     "round_half_away",
     "strip_unicode",
+    "sum_amount",
     "to_amount",
     "to_double",
     "usage_level",

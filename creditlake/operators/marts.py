@@ -26,7 +26,13 @@ from creditlake.functions.labels import (
     invoice_status,
     usage_level,
 )
-from creditlake.functions.numeric import ratio, round_half_away, to_amount, to_double
+from creditlake.functions.numeric import (
+    amount_to_double,
+    ratio,
+    round_half_away,
+    sum_amount,
+    to_amount,
+)
 from creditlake.plans.broadcast import DEFAULT_MAX_ROWS, broadcast_columns
 from creditlake.plans.materialize import materialize as materialize_stage
 from creditlake.schemas import ACTION_ADD, ACTION_DEDUCT, DEFAULT_CREDIT_TYPE, SENTINEL_DATE
@@ -76,7 +82,7 @@ def daily_rollup(df: DataFrame) -> DataFrame:
         as_ledger(df)
         .groupBy(*LEDGER_KEYS)
         .agg(
-            F.sum("amount").alias("amount"),
+            sum_amount("amount").alias("amount"),
             F.sum("n").alias("n"),
             F.sum("n_amount").alias("n_amount"),
         )
@@ -133,7 +139,7 @@ def cs_daily_activity(ua: DataFrame) -> DataFrame:
     return (
         led.groupBy(*LEDGER_KEYS)
         .agg(
-            to_double(F.sum("amount")).alias("total_credits_used"),
+            amount_to_double(sum_amount("amount")).alias("total_credits_used"),
             F.sum("n").alias("action_count"),
         )
         .withColumn("usage_level", usage_level("action_count"))
@@ -150,7 +156,7 @@ def finance_org_balance(ua: DataFrame) -> DataFrame:
     return (
         as_ledger(ua)
         .groupBy("org_id")
-        .agg(to_double(F.sum(signed_amount())).alias("total_credits"))
+        .agg(amount_to_double(sum_amount(signed_amount())).alias("total_credits"))
     )
 
 
@@ -173,9 +179,9 @@ def cs_user_mart(
     """
     led = as_ledger(ua).where(analytics_filter())
     per_day = led.groupBy("org_id", "user_id", "activity_date").agg(
-        F.sum(signed_amount()).alias("net"),
-        F.sum(added_amount()).alias("purchased"),
-        F.sum(deducted_amount()).alias("consumed"),
+        sum_amount(signed_amount()).alias("net"),
+        sum_amount(added_amount()).alias("purchased"),
+        sum_amount(deducted_amount()).alias("consumed"),
         F.sum("n").alias("n"),
         F.sum(F.when(_is_add(), F.col("n")).otherwise(0)).alias("n_add"),
         F.sum(F.when(_is_deduct(), F.col("n")).otherwise(0)).alias("n_deduct"),
@@ -187,9 +193,9 @@ def cs_user_mart(
         F.min("activity_date").alias("first_activity_date"),
         F.max("activity_date").alias("last_activity_date"),
         F.countDistinct("activity_date").alias("active_days"),
-        to_double(F.sum("net")).alias("net_credit_balance"),
-        to_double(F.sum("purchased")).alias("total_credits_purchased"),
-        to_double(F.sum("consumed")).alias("total_credits_consumed"),
+        amount_to_double(sum_amount("net")).alias("net_credit_balance"),
+        amount_to_double(sum_amount("purchased")).alias("total_credits_purchased"),
+        amount_to_double(sum_amount("consumed")).alias("total_credits_consumed"),
         F.sum("n").alias("total_actions"),
         F.sum("n_add").alias("purchase_actions"),
         F.sum("n_deduct").alias("usage_actions"),
@@ -233,28 +239,30 @@ def finance_mart(
     this equals join-then-group.
     """
     per_org = as_ledger(ua).groupBy("org_id").agg(
-        F.sum(signed_amount()).alias("net"),
-        F.sum(added_amount()).alias("added"),
-        F.sum(deducted_amount()).alias("used"),
+        sum_amount(signed_amount()).alias("net"),
+        sum_amount(added_amount()).alias("added"),
+        sum_amount(deducted_amount()).alias("used"),
         F.countDistinct("user_id").alias("active_users"),
         F.sum("n").alias("total_transactions"),
-        F.sum("amount").alias("amount"),
+        sum_amount("amount").alias("amount"),
         F.sum("n_amount").alias("n_amount"),
     )
     orgs = _dimension(organizations, ["org_id", "org_name", "industry"], max_dim_rows)
     joined = per_org.join(orgs, "org_id")
-    net = to_double(F.col("net"))
+    net = amount_to_double("net")
     return joined.select(
         F.col("org_name").alias("organization"),
         "industry",
         "org_id",
         net.alias("net_credit_balance"),
-        to_double("added").alias("total_credits_added"),
-        to_double("used").alias("total_credits_used"),
+        amount_to_double("added").alias("total_credits_added"),
+        amount_to_double("used").alias("total_credits_used"),
         "active_users",
         "total_transactions",
         invoice_status(net).alias("invoice_status"),
-        round_half_away(ratio(F.col("amount"), F.col("n_amount"))).alias("avg_transaction_value"),
+        round_half_away(ratio(amount_to_double("amount"), F.col("n_amount"))).alias(
+            "avg_transaction_value"
+        ),
     )
 
 
@@ -346,7 +354,7 @@ def executive_summary(
             "activity_date",
         )
         .agg(
-            F.sum("amount").alias("amount"),
+            sum_amount("amount").alias("amount"),
             F.sum("n").alias("n"),
             F.sum("n_amount").alias("n_amount"),
         )
@@ -367,7 +375,7 @@ def executive_summary(
         .agg(
             F.countDistinct(F.when(kept, F.col("user_id"))).alias("total_users"),
             F.countDistinct(F.when(kept, day)).alias("active_days"),
-            F.sum(F.when(kept, F.col("amount"))).alias("amount"),
+            sum_amount(F.when(kept, F.col("amount"))).alias("amount"),
             F.sum(F.when(kept, F.col("n"))).alias("total_actions"),
             F.sum(F.when(kept, F.col("n_amount"))).alias("n_amount"),
             F.min(F.when(kept & (day > F.lit(SENTINEL_DATE).cast("date")), day)).alias("first_activity"),
@@ -386,9 +394,11 @@ def executive_summary(
             "industry",
             "total_users",
             "active_days",
-            to_double("amount").alias("total_credit_volume"),
+            amount_to_double("amount").alias("total_credit_volume"),
             "total_actions",
-            round_half_away(ratio(F.col("amount"), F.col("n_amount"))).alias("avg_credit_per_action"),
+            round_half_away(ratio(amount_to_double("amount"), F.col("n_amount"))).alias(
+                "avg_credit_per_action"
+            ),
             "primary_action_type",
             "most_active_user",
             "first_activity",

@@ -92,11 +92,10 @@ VERDICT_PASSED = "passed"
 # Numeric representation
 # ---------------------------------------------------------------------------
 
-# Credits are summed exactly in this decimal and exposed as double afterwards,
-# so sums do not depend on row order or partitioning.
-AMOUNT_TYPE = T.DecimalType(18, 4)
-# Re-summing totals that are already sums (mart columns) needs the full width.
-TOTAL_TYPE = T.DecimalType(38, 4)
+# Credits are summed exactly as integer units of 10^-AMOUNT_SCALE credits and
+# exposed as double afterwards, so sums do not depend on row order or partitioning.
+AMOUNT_SCALE = 4
+UNITS_TOTAL_TYPE = T.DecimalType(38, 0)
 # Scale used before rounding an average to two places (half away from zero).
 ROUNDING_TYPE = T.DecimalType(28, 10)
 
