@@ -33,7 +33,7 @@ from creditlake.functions.numeric import (
     sum_amount,
     to_amount,
 )
-from creditlake.plans.broadcast import DEFAULT_MAX_ROWS, broadcast_columns
+from creditlake.plans.broadcast import DEFAULT_MAX_ROWS, broadcast_columns, check_sizes
 from creditlake.plans.materialize import materialize as materialize_stage
 from creditlake.schemas import ACTION_ADD, ACTION_DEDUCT, DEFAULT_CREDIT_TYPE, SENTINEL_DATE
 
@@ -177,6 +177,7 @@ def cs_user_mart(
     Two organisations with one name and industry merge, as in the original
     grouping. ``as_of`` replaces CURRENT_DATE (None = today).
     """
+    check_sizes([organizations, users], max_dim_rows)
     led = as_ledger(ua).where(analytics_filter())
     per_day = led.groupBy("org_id", "user_id", "activity_date").agg(
         sum_amount(signed_amount()).alias("net"),
@@ -359,6 +360,7 @@ def executive_summary(
             F.sum("n_amount").alias("n_amount"),
         )
     )
+    check_sizes([organizations, users], max_dim_rows)
     if materialize:
         base = materialize_stage(base, "executive-base")
     usrs = _dimension(users, ["user_id", "user_name"], max_dim_rows)

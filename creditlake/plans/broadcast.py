@@ -38,6 +38,22 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return seen[max_rows]
 
 
+def check_sizes(frames: list[DataFrame], max_rows: int = DEFAULT_MAX_ROWS) -> None:
+    """Run the size checks of several DataFrames in one query (independent stages run together)."""
+    pending = [df for df in dict.fromkeys(frames) if max_rows not in _DECISIONS.get(df, {})]
+    if not pending:
+        return
+    counts = [
+        df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+        for i, df in enumerate(pending)
+    ]
+    union = counts[0]
+    for part in counts[1:]:
+        union = union.unionByName(part)
+    for row in union.collect():
+        _DECISIONS.setdefault(pending[row.i], {})[max_rows] = row.n <= max_rows
+
+
 def broadcast_columns(df: DataFrame, cols: list[str], max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """Project ``df`` to ``cols`` and broadcast it when ``df`` is within ``max_rows``."""
     narrow = df.select(*cols)
