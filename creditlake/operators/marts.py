@@ -134,16 +134,22 @@ def _dimension(df: DataFrame, cols: list[str], max_rows: int) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def cs_daily_activity(ua: DataFrame) -> DataFrame:
+def cs_daily_activity(ua: DataFrame, rolled_up: bool = False) -> DataFrame:
+    """A1. ``rolled_up=True`` means ``ua`` is the daily rollup, already one row per
+    mart key, so the mart is a filter and a projection (no shuffle)."""
     led = as_ledger(ua).where(analytics_filter())
-    return (
-        led.groupBy(*LEDGER_KEYS)
-        .agg(
+    if rolled_up:
+        grouped = led.select(
+            *LEDGER_KEYS,
+            amount_to_double("amount").alias("total_credits_used"),
+            F.col("n").alias("action_count"),
+        )
+    else:
+        grouped = led.groupBy(*LEDGER_KEYS).agg(
             amount_to_double(sum_amount("amount")).alias("total_credits_used"),
             F.sum("n").alias("action_count"),
         )
-        .withColumn("usage_level", usage_level("action_count"))
-    )
+    return grouped.withColumn("usage_level", usage_level("action_count"))
 
 
 # ---------------------------------------------------------------------------

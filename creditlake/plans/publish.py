@@ -127,15 +127,25 @@ def load_dimensions(
 
 
 def build_marts(
-    ledger: DataFrame, organizations: DataFrame, users: DataFrame, as_of=None
+    ledger: DataFrame,
+    organizations: DataFrame,
+    users: DataFrame,
+    as_of=None,
+    rolled_up: bool = False,
 ) -> dict[str, DataFrame]:
-    """The five marts as lazy DataFrames over the fact or its daily rollup."""
+    """The five marts as lazy DataFrames over the fact or its stored daily rollup.
+
+    With ``rolled_up=True`` (``ledger`` is the stored rollup) the daily mart is a
+    projection of it and the executive mart reads it directly (no stage).
+    """
     return {
-        "customer_success_daily_activity": M.cs_daily_activity(ledger),
+        "customer_success_daily_activity": M.cs_daily_activity(ledger, rolled_up=rolled_up),
         "finance_org_credit_balance": M.finance_org_balance(ledger),
         "enhanced_customer_success_view": M.cs_user_mart(ledger, organizations, users, as_of),
         "enhanced_finance_view": M.finance_mart(ledger, organizations),
-        "executive_summary_view": M.executive_summary(ledger, organizations, users),
+        "executive_summary_view": M.executive_summary(
+            ledger, organizations, users, materialize=not rolled_up
+        ),
     }
 
 
@@ -162,7 +172,7 @@ def run(
     result.tables[FACT_TABLE] = fact
     rollup = publish(spark, M.daily_rollup(fact), ROLLUP_TABLE, database)
     result.tables[ROLLUP_TABLE] = rollup
-    for name, df in build_marts(rollup, orgs, usrs, as_of).items():
+    for name, df in build_marts(rollup, orgs, usrs, as_of, rolled_up=True).items():
         result.tables[name] = publish(
             spark, df, name, database,
             contract=MART_CONTRACTS[name], unique_keys=MART_KEYS.get(name, ()),

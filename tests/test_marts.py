@@ -236,6 +236,7 @@ def test_marts_equal_from_fact_and_from_rollup(spark):
     orgs, users = _orgs(spark), _users(spark)
     pairs = [
         (M.cs_daily_activity(ua), M.cs_daily_activity(rollup)),
+        (M.cs_daily_activity(ua), M.cs_daily_activity(rollup, rolled_up=True)),
         (M.finance_org_balance(ua), M.finance_org_balance(rollup)),
         (M.finance_mart(ua, orgs), M.finance_mart(rollup, orgs)),
         (M.cs_user_mart(ua, orgs, users, "2024-01-05"), M.cs_user_mart(rollup, orgs, users, "2024-01-05")),
