@@ -17,6 +17,7 @@ from creditlake.operators import explore as X
 from creditlake.operators import marts as M
 from creditlake.operators import quality as Q
 from creditlake.operators import serve as S
+from creditlake.plans.publish import run
 from creditlake.schemas import INVOICE_IN_DEBIT
 from creditlake.session import checkpoint_dir
 from creditlake.sources import bindings as B
@@ -168,19 +169,43 @@ def clean_user_actions_normalise_first(spark, sf_dir):
     return _ntz(C.clean(raw, C.CleanOptions(normalise_first=True), keep_seq=True))
 
 
-def clean_user_actions_from_csv(spark, sf_dir):
-    """S1 end to end: the messy rows exported as CSV (in file order), scanned back, cleaned."""
-    raw = B.messy_events(spark, sf_dir)
+def _messy_csv(spark, sf_dir) -> str:
+    """The messy rows exported as CSV (in file order) to the shared stage folder."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/creditlake-csv-{uuid.uuid4().hex}"
     (
-        raw.orderBy("seq")
+        B.messy_events(spark, sf_dir)
+        .orderBy("seq")
         .drop("seq")
         .write.option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    return _ntz(C.clean(read_raw_actions(spark, path)))
+    return path
+
+
+def clean_user_actions_from_csv(spark, sf_dir):
+    """S1 end to end: the messy rows exported as CSV, scanned back, cleaned."""
+    return _ntz(C.clean(read_raw_actions(spark, _messy_csv(spark, sf_dir))))
+
+
+PIPELINE_DATABASE = "creditlake_registry"
+
+
+def pipeline_run_report(spark, sf_dir):
+    """The whole refresh (S3, S9-S12): CSV → dimensions → fact → rollup → five marts.
+
+    Tables are published into their own database inside the shared stage
+    folder; the result is the table report of the run.
+    """
+    location = f"{checkpoint_dir(spark).rstrip('/')}/{PIPELINE_DATABASE}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {PIPELINE_DATABASE} LOCATION '{location}'")
+    dims = B.events_ledger(spark, sf_dir)
+    result = run(
+        spark, _messy_csv(spark, sf_dir), dims.organizations, dims.users,
+        as_of=dims.as_of, database=PIPELINE_DATABASE,
+    )
+    return result.report
 
 
 def cleaning_report(spark, sf_dir):
@@ -272,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "clean_user_actions_normalise_first": clean_user_actions_normalise_first,
     "clean_user_actions_from_csv": clean_user_actions_from_csv,
     "cleaning_report": cleaning_report,
+    "pipeline_run_report": pipeline_run_report,
     "finance_mart_cleaned": cleaned_marts_finance,
     "executive_summary_cleaned": executive_summary_cleaned,
     "distinct_ids": distinct_ids,

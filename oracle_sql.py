@@ -395,6 +395,23 @@ def _queries() -> dict[str, str]:
         'SELECT org_id, user_id, credit_type, action, credits, "timestamp" FROM b2m_clean'
     )
     q["executive_summary_cleaned"] = _with(B2, CLEAN_CTES, CLEAN) + executive_sql("b2m_clean", "b2_orgs", "b2_users")
+    marts = {
+        "user_actions": "SELECT * FROM b2m_clean",
+        "customer_success_daily_activity": cs_daily_sql("b2m_clean"),
+        "finance_org_credit_balance": finance_balance_sql("b2m_clean"),
+        "enhanced_customer_success_view": cs_user_sql("b2m_clean", "b2_orgs", "b2_users", B2_AS_OF),
+        "enhanced_finance_view": finance_mart_sql("b2m_clean", "b2_orgs"),
+        "executive_summary_view": executive_sql("b2m_clean", "b2_orgs", "b2_users"),
+    }
+    run_counts = "\n  UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS total_records FROM ({sql})"
+        for name, sql in marts.items()
+    )
+    q["pipeline_run_report"] = _with(B2, CLEAN_CTES, CLEAN) + f"""
+  SELECT table_name, total_records,
+         CASE WHEN total_records = 0 THEN 'empty' WHEN total_records < 10 THEN 'low_count'
+              ELSE 'passed' END AS verdict
+  FROM ({run_counts})"""
     q["cleaning_report"] = _with(B2M, TYPED, _firsts("b2m_typed", "b2m_first")) + """
   SELECT CAST(COUNT(*) AS BIGINT) AS rows_in,
          CAST(COUNT(*) FILTER (WHERE t.org_id IS NULL AND t.user_id IS NULL) AS BIGINT) AS dropped_missing_ids,
