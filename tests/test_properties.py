@@ -98,3 +98,46 @@ def test_hot_user_with_a_third_of_rows(spark):
     ua = cleaned.repartition(3)
     balance = {r.org_id: r.total_credits for r in M.finance_org_balance(ua).collect()}
     assert set(balance) == {"o1", "o2"}
+
+
+def test_results_identical_beyond_the_broadcast_bound(spark):
+    """With the bound forced to one row, every dimension join is a shuffle join."""
+    rows = [
+        ("o1", "u0", "t1", "add", 2.5, dt.datetime(2024, 1, 1)),
+        ("o1", "u1", "t2", "deduct", 1.25, dt.datetime(2024, 1, 2)),
+        ("o2", "u2", "default", "add", 4.0, dt.datetime(2024, 1, 2)),
+        ("o3", "u3", "t1", None, 3.0, dt.datetime(2024, 1, 3)),
+        ("o9", "u9", "t1", "add", 1.0, dt.datetime(2024, 1, 3)),
+    ]
+    ua = spark.createDataFrame(rows, FACT_DDL)
+    orgs = spark.createDataFrame(ORGS, ORGS_DDL)
+    users = spark.createDataFrame(USERS, USERS_DDL)
+    builds = (
+        lambda cap: M.finance_mart(ua, orgs, max_dim_rows=cap),
+        lambda cap: M.cs_user_mart(ua, orgs, users, "2024-01-05", max_dim_rows=cap),
+        lambda cap: M.executive_summary(ua, orgs, users, max_dim_rows=cap),
+        lambda cap: M.most_active_user_per_org(ua, users, max_dim_rows=cap),
+    )
+    raw = raw_rows(spark, [("o1", "u1", "t", "add", "1", "2024-01-02 00:00:00"),
+                           ("o2", "u1", "t", "add", "1", "2024-01-01 00:00:00"),
+                           ("o1", "u2", "t", "add", "1", None)])
+    expected = [sorted(build(250_000).collect()) for build in builds]
+    expected_clean = sorted(clean(raw).collect())
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:  # leave only the library's own broadcast decisions
+            spark.conf.set(k, "-1")
+        for build, want in zip(builds, expected):
+            small = build(1)
+            plan = small._jdf.queryExecution().sparkPlan().toString()
+            assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+            assert sorted(small.collect()) == want
+        from creditlake.operators.clean import CleanOptions
+        assert sorted(clean(raw, CleanOptions(broadcast_max_users=1)).collect()) == expected_clean
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
