@@ -30,6 +30,8 @@ FINANCE_PAGE = {"invoice_status": INVOICE_IN_DEBIT, "limit": 5, "offset": 2}
 LOOKUP_ORG = "org_007"
 CS_PAGE = {"engagement_level": "Regular User", "customer_status": "At Risk - Inactive", "limit": 20, "offset": 10}
 EXECUTIVE_PAGE = {"industry": "ASIA", "limit": 3}
+FINANCE_FIRST_PAGE = {"limit": 10}
+CS_LOOKUP = {"organization": "NATION_17", "user": "Customer#000000042"}
 
 
 def _ntz(df: DataFrame) -> DataFrame:
@@ -110,6 +112,14 @@ def finance_list_page(spark, sf_dir):
     return S.finance_page(finance_mart(spark, sf_dir), **FINANCE_PAGE)
 
 
+def finance_first_page(spark, sf_dir):
+    return S.finance_page(finance_mart(spark, sf_dir), **FINANCE_FIRST_PAGE)
+
+
+def cs_user_lookup(spark, sf_dir):
+    return S.customer_success_page(cs_user_mart(spark, sf_dir), **CS_LOOKUP)
+
+
 def finance_org_lookup(spark, sf_dir):
     return S.finance_lookup(finance_mart(spark, sf_dir), LOOKUP_ORG)
 
@@ -284,8 +294,10 @@ QUERIES: dict[str, Query] = {
     "most_active_user_per_org": most_active_user_per_org,
     "finance_mart_from_rollup": marts_from_rollup,
     "finance_list_page": finance_list_page,
+    "finance_first_page": finance_first_page,
     "finance_org_lookup": finance_org_lookup,
     "cs_user_list_page": cs_user_list_page,
+    "cs_user_lookup": cs_user_lookup,
     "executive_list": executive_list,
     "platform_metrics": platform_metrics,
     "industry_breakdown": industry_breakdown,

@@ -347,6 +347,14 @@ def _queries() -> dict[str, str]:
         f"  ORDER BY net_credit_balance DESC NULLS FIRST, org_id ASC NULLS FIRST, "
         f"{_tie(FINANCE_COLS, ['net_credit_balance', 'org_id'])} LIMIT 5 OFFSET 2"
     )
+    q["finance_first_page"] = _b1(
+        f"SELECT * FROM ({fin_b1})\n"
+        f"  ORDER BY net_credit_balance DESC NULLS FIRST, org_id ASC NULLS FIRST, "
+        f"{_tie(FINANCE_COLS, ['net_credit_balance', 'org_id'])} LIMIT 10"
+    )
+    q["cs_user_lookup"] = _b1(
+        f"SELECT * FROM ({cs_b1}) WHERE organization = 'NATION_17' AND user_name = 'Customer#000000042'"
+    )
     q["finance_org_lookup"] = _b1(f"SELECT * FROM ({fin_b1}) WHERE org_id = 'org_007' LIMIT 1")
     cs_used = ["total_actions", "organization", "user_name", "user_email"]
     q["cs_user_list_page"] = _b1(
