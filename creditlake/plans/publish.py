@@ -16,18 +16,17 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditlake.operators import marts as M
 from creditlake.operators.clean import CleanOptions, clean
 from creditlake.operators.quality import (
-    assert_clean,
+    DataQualityError,
     assert_no_rows,
     assert_schema,
     duplicate_keys,
-    null_violations,
     orphan_users,
     table_check,
 )
@@ -73,14 +72,20 @@ def publish(
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in contract.fields])
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
+    nulls = None
+    if not_null:  # counted while writing: no second pass over the data
+        nulls = Observation(f"not_null_{version_name}")
+        df = df.observe(nulls, *[F.count_if(F.col(c).isNull()).alias(c) for c in not_null])
     df.write.mode("errorifexists").format("parquet").saveAsTable(version)
     staged = spark.table(version)
     try:
         if contract is not None:
             plain = T.StructType([T.StructField(f.name, f.dataType) for f in contract.fields])
             assert_schema(staged, plain, target)
-        if not_null:
-            assert_clean(null_violations(target, staged, not_null), target)
+        if nulls is not None:
+            bad = {c: n for c, n in nulls.get.items() if n}
+            if bad:
+                raise DataQualityError(f"{target}: NULL in NOT NULL columns {bad}")
         if unique_keys:
             assert_no_rows(duplicate_keys(staged, unique_keys), f"{target} unique key {tuple(unique_keys)}")
     except Exception:

@@ -88,3 +88,13 @@ def test_run_end_to_end(spark, csv_path):
     assert sorted(spark.table("executive_summary_view").collect()) == sorted(direct.collect())
     finance = {r.org_id: r.net_credit_balance for r in spark.table("enhanced_finance_view").collect()}
     assert finance == {"org_1": 7.5, "org_2": -1.0}
+
+
+def test_publish_rejects_nulls_counted_during_the_write(spark):
+    ddl = "org_id string, user_id string"
+    publish(spark, spark.createDataFrame([("o1", "u1")], ddl), "t_not_null", not_null=("org_id", "user_id"))
+    bad = spark.createDataFrame([("o1", None), (None, None)], ddl)
+    with pytest.raises(DataQualityError, match="user_id"):
+        publish(spark, bad, "t_not_null", not_null=("org_id", "user_id"))
+    assert [tuple(r) for r in spark.table("t_not_null").collect()] == [("o1", "u1")]
+    assert len([t for t in spark.catalog.listTables() if t.name.startswith("t_not_null__v")]) == 1
