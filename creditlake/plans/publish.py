@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from creditlake.operators import marts as M
 from creditlake.operators.clean import CleanOptions, clean
+from creditlake.plans.materialize import stage_scope
 from creditlake.operators.quality import (
     DataQualityError,
     assert_no_rows,
@@ -173,7 +174,8 @@ def run(
     result = RunResult()
     orgs, usrs = load_dimensions(spark, organizations, users, database)
     result.tables["organizations"], result.tables["users"] = orgs, usrs
-    fact = load_fact(spark, clean(read_raw_actions(spark, csv_path), options), database)
+    with stage_scope(spark):  # the cleaning stages are dropped once the fact is published
+        fact = load_fact(spark, clean(read_raw_actions(spark, csv_path), options), database)
     result.tables[FACT_TABLE] = fact
     rollup = publish(spark, M.daily_rollup(fact), ROLLUP_TABLE, database)
     result.tables[ROLLUP_TABLE] = rollup

@@ -78,7 +78,14 @@ def test_run_end_to_end(spark, csv_path):
     users = spark.createDataFrame(
         [("user_1", "Ann", "a@x", "org_1", "admin"), ("user_2", "Bob", "b@x", "org_2", "user")], USERS_DDL
     )
+    def stages():
+        if not spark.catalog.databaseExists("creditlake_stages"):
+            return set()
+        return {t.name for t in spark.catalog.listTables(dbName="creditlake_stages")}
+
+    before = stages()
     result = run(spark, csv_path, orgs, users, as_of="2024-01-31")
+    assert stages() == before  # the cleaning stage was dropped after the fact was published
     report = {r.table_name: (r.total_records, r.verdict) for r in result.report.collect()}
     assert report["user_actions"] == (3, "low_count")
     assert set(report) == {"user_actions", *MART_NAMES}
