@@ -34,6 +34,7 @@ CASES = [
     ("1731542400000", None),
     ("1e9", ts("2001-09-09 01:46:40")),
     (" 1700000000 ", ts("2023-11-14 22:13:20")),
+    (" 12 ", None),  # a number, but 1970 is outside the epoch range
     # not numbers, not dates
     ("12d", None),
     ("inf", None),
