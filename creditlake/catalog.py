@@ -77,7 +77,7 @@ def most_active_user_per_org(spark, sf_dir):
     return M.most_active_user_per_org(b.actions, b.users)
 
 
-def marts_from_rollup(spark, sf_dir):
+def finance_mart_from_rollup(spark, sf_dir):
     """Finance mart built from the stored-rollup path (daily rollup, then mart)."""
     b = B.orders_ledger(spark, sf_dir)
     return M.finance_mart(M.daily_rollup(b.actions), b.organizations)
@@ -222,7 +222,7 @@ def cleaning_report(spark, sf_dir):
     return C.cleaning_report(B.messy_events(spark, sf_dir))
 
 
-def cleaned_marts_finance(spark, sf_dir):
+def finance_mart_cleaned(spark, sf_dir):
     """Finance mart over the cleaned messy fact (cleaning → mart end to end)."""
     b = B.messy_events_ledger(spark, sf_dir)
     return M.finance_mart(C.clean(b.actions), b.organizations)
@@ -292,7 +292,7 @@ QUERIES: dict[str, Query] = {
     "executive_summary_events": executive_summary_events,
     "primary_action_per_org": primary_action_per_org,
     "most_active_user_per_org": most_active_user_per_org,
-    "finance_mart_from_rollup": marts_from_rollup,
+    "finance_mart_from_rollup": finance_mart_from_rollup,
     "finance_list_page": finance_list_page,
     "finance_first_page": finance_first_page,
     "finance_org_lookup": finance_org_lookup,
@@ -310,7 +310,7 @@ QUERIES: dict[str, Query] = {
     "clean_user_actions_from_csv": clean_user_actions_from_csv,
     "cleaning_report": cleaning_report,
     "pipeline_run_report": pipeline_run_report,
-    "finance_mart_cleaned": cleaned_marts_finance,
+    "finance_mart_cleaned": finance_mart_cleaned,
     "executive_summary_cleaned": executive_summary_cleaned,
     "distinct_ids": distinct_ids,
     "distinct_id_counts": distinct_id_counts,
