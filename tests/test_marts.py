@@ -255,3 +255,34 @@ def test_read_order(spark):
     ordered = M.in_read_order(mart, "enhanced_finance_view").collect()
     assert [r.org_id for r in ordered] == ["o2", "o1"]
     assert M.in_read_order(mart.select("*"), "enhanced_finance_view").select(F.col("org_id")).count() == 2
+
+
+def test_read_orders_of_every_mart(spark):
+    rows = [
+        ("o1", "u1", "t", "add", 1.0, "2024-01-01"),
+        ("o1", "u2", "t", "deduct", 9.0, "2024-01-03"),
+        ("o2", "u3", "t", "add", 5.0, "2024-01-03"),
+        ("o2", "u3", "t", "add", 6.0, "2024-01-02"),
+    ]
+    ua, orgs, users = fact_rows(spark, rows), _orgs(spark), _users(spark)
+    daily = M.in_read_order(M.cs_daily_activity(ua), "customer_success_daily_activity").collect()
+    assert [(str(r.activity_date), r.org_id, r.user_id) for r in daily] == [
+        ("2024-01-03", "o1", "u2"), ("2024-01-03", "o2", "u3"),
+        ("2024-01-02", "o2", "u3"), ("2024-01-01", "o1", "u1"),
+    ]
+    balance = M.in_read_order(M.finance_org_balance(ua), "finance_org_credit_balance").collect()
+    assert [r.org_id for r in balance] == ["o1", "o2"]
+    cs = M.in_read_order(M.cs_user_mart(ua, orgs, users, "2024-01-05"), "enhanced_customer_success_view")
+    assert [(r.total_actions, r.organization, r.user_name) for r in cs.collect()] == [
+        (2, "Org Two", "Cid"), (1, "Org One", "Ann"), (1, "Org One", "Bob"),
+    ]
+    ex = M.in_read_order(M.executive_summary(ua, orgs, users), "executive_summary_view").collect()
+    assert [(r.organization, r.total_credit_volume) for r in ex] == [("Org Two", 11.0), ("Org One", 10.0)]
+
+
+def test_sample_rows_is_bounded(spark):
+    from creditlake.operators.quality import sample_rows
+
+    df = spark.range(100)
+    assert len(sample_rows(df, 5).collect()) == 5
+    assert len(sample_rows(spark.range(3), 10).collect()) == 3
