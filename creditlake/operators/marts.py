@@ -33,7 +33,7 @@ from creditlake.functions.numeric import (
     sum_amount,
     to_amount,
 )
-from creditlake.plans.broadcast import DEFAULT_MAX_ROWS, broadcast_columns, check_sizes
+from creditlake.plans.broadcast import DEFAULT_MAX_ROWS, broadcast_columns, check_sizes, fits
 from creditlake.plans.materialize import materialize as materialize_stage
 from creditlake.schemas import ACTION_ADD, ACTION_DEDUCT, DEFAULT_CREDIT_TYPE, SENTINEL_DATE
 
@@ -342,14 +342,127 @@ def executive_summary(
     """Per organisation, over non-'default' rows whose org and user are known.
 
     ``first_activity`` skips the 1990-01-01 sentinel; ``last_activity`` does not.
-    The top action and top user are looked up over all rows of the org.
-
-    The fact is scanned once: one pre-aggregate keyed by (org, user, action,
-    kept-by-filter, day) feeds the summary and both lookups. Column pruning
-    gives each consumer a different copy of that aggregate, so Spark would not
-    reuse its shuffle; with ``materialize=True`` it is written once to the
-    shared checkpoint folder and each consumer reads only its columns (pass
-    False when ``ua`` is already a stored table, e.g. the daily rollup).
+    The top action (all rows of the org) and the top user name (rows of known
+    users) come from the same pass.
+
+    When the users dimension is within the broadcast bound, the fact is read
+    once: broadcast-joined to user names, then one grouping-sets aggregation
+    produces the (org, user), (org, day), (org, action) and (org, name) grains,
+    and one per-organisation aggregation finishes the summary and both lookups
+    (distinct counts are plain row counts of the first two grains). Otherwise
+    see ``_executive_staged``.
+    """
+    check_sizes([organizations, users], max_dim_rows)
+    if fits(users, max_dim_rows):
+        return _executive_one_pass(ua, organizations, users, max_dim_rows)
+    return _executive_staged(ua, organizations, users, max_dim_rows, materialize)
+
+
+def _top1_key(count: Column, value: Column) -> Column:
+    """Ordering for top-1 picks: count descending, then value ascending, NULL first."""
+    return F.struct((-count).alias("neg_cnt"), value.isNotNull().alias("not_null"), value.alias("value"))
+
+
+def _executive_one_pass(
+    ua: DataFrame, organizations: DataFrame, users: DataFrame, max_dim_rows: int
+) -> DataFrame:
+    names = F.broadcast(
+        users.select("user_id", "user_name", F.lit(True).alias("known"))
+    )  # within the bound: fits() was checked by the caller
+    rows = (
+        as_ledger(ua)
+        .join(names, "user_id", "left")
+        .withColumns(
+            {
+                "known": F.coalesce(F.col("known"), F.lit(False)),
+                "kept": F.coalesce(non_default_filter(), F.lit(False)),
+            }
+        )
+    )
+    # One grouping-sets aggregation (hash-based, combined map-side) yields:
+    #   per (org, user):   credit sums and counts  -> distinct users = rows
+    #   per (org, day):    one row per active day  -> distinct days, first/last
+    #   per (org, action): counts over all rows    -> top action
+    #   per (org, name):   counts of known users   -> top user name
+    sets = rows.groupingSets(
+        [
+            ["org_id", "user_id", "kept", "known"],
+            ["org_id", "activity_date", "kept", "known"],
+            ["org_id", "action"],
+            ["org_id", "known", "user_name"],
+        ],
+        "org_id", "user_id", "activity_date", "kept", "known", "action", "user_name",
+    ).agg(
+        sum_amount("amount").alias("amount"),
+        F.sum("n").alias("n"),
+        F.sum("n_amount").alias("n_amount"),
+        F.grouping("user_id").alias("g_user"),
+        F.grouping("activity_date").alias("g_day"),
+        F.grouping("action").alias("g_action"),
+    )
+    counted = F.col("kept") & F.col("known")
+    user_row = (F.col("g_user") == 0) & counted
+    day = F.col("activity_date")
+    day_row = (F.col("g_day") == 0) & counted & day.isNotNull()  # COUNT(DISTINCT) skips NULL
+    action_row = F.col("g_action") == 0
+    name_row = (F.col("g_user") == 1) & (F.col("g_day") == 1) & (F.col("g_action") == 1) & F.col("known")
+    per_org = (
+        sets.groupBy("org_id")
+        .agg(
+            F.count_if(user_row).alias("total_users"),
+            F.count_if(day_row).alias("active_days"),
+            sum_amount(F.when(user_row, F.col("amount"))).alias("amount"),
+            F.sum(F.when(user_row, F.col("n"))).alias("total_actions"),
+            F.sum(F.when(user_row, F.col("n_amount"))).alias("n_amount"),
+            F.min(F.when(day_row & (day > F.lit(SENTINEL_DATE).cast("date")), day)).alias("first_activity"),
+            F.max(F.when(day_row, day)).alias("last_activity"),
+            F.min_by(F.col("action"), F.when(action_row, _top1_key(F.col("n"), F.col("action")))).alias(
+                "primary_action_type"
+            ),
+            F.min_by(
+                F.col("user_name"), F.when(name_row, _top1_key(F.col("n"), F.col("user_name")))
+            ).alias("most_active_user"),
+        )
+        .where(F.col("total_actions") > 0)
+    )
+    orgs = _dimension(organizations, ["org_id", "org_name", "industry"], max_dim_rows)
+    return _executive_output(per_org.join(orgs, "org_id"))
+
+
+def _executive_output(df: DataFrame) -> DataFrame:
+    return df.select(
+        F.col("org_name").alias("organization"),
+        "industry",
+        "total_users",
+        "active_days",
+        amount_to_double("amount").alias("total_credit_volume"),
+        "total_actions",
+        round_half_away(ratio(amount_to_double("amount"), F.col("n_amount"))).alias(
+            "avg_credit_per_action"
+        ),
+        "primary_action_type",
+        "most_active_user",
+        "first_activity",
+        "last_activity",
+    )
+
+
+def _executive_staged(
+    ua: DataFrame,
+    organizations: DataFrame,
+    users: DataFrame,
+    max_dim_rows: int,
+    materialize: bool,
+) -> DataFrame:
+    """Executive mart when the users dimension is too large to broadcast.
+
+    The fact is pre-aggregated per (org, user, action, kept-by-filter, day), so
+    the shuffle join with users carries aggregated rows. That pre-aggregate
+    feeds the summary and both lookups; column pruning would give each
+    consumer its own copy (three scans of the fact), so with
+    ``materialize=True`` it is written once to the shared checkpoint folder
+    and each consumer reads only its columns (pass False when ``ua`` is
+    already a stored table, e.g. the daily rollup).
     """
     base = (
         as_ledger(ua)
@@ -366,7 +479,6 @@ def executive_summary(
             F.sum("n_amount").alias("n_amount"),
         )
     )
-    check_sizes([organizations, users], max_dim_rows)
     if materialize:
         base = materialize_stage(base, "executive-base")
     usrs = _dimension(users, ["user_id", "user_name"], max_dim_rows)
@@ -394,24 +506,8 @@ def executive_summary(
     )
     top_action = primary_action_per_org(base)
     top_user = _top_user(named)
-    return (
-        summary.join(top_action, "org_id", "left")
-        .join(top_user, "org_id", "left")
-        .select(
-            F.col("org_name").alias("organization"),
-            "industry",
-            "total_users",
-            "active_days",
-            amount_to_double("amount").alias("total_credit_volume"),
-            "total_actions",
-            round_half_away(ratio(amount_to_double("amount"), F.col("n_amount"))).alias(
-                "avg_credit_per_action"
-            ),
-            "primary_action_type",
-            "most_active_user",
-            "first_activity",
-            "last_activity",
-        )
+    return _executive_output(
+        summary.join(top_action, "org_id", "left").join(top_user, "org_id", "left")
     )
 
 
