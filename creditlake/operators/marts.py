@@ -185,21 +185,45 @@ def cs_user_mart(
     """
     check_sizes([organizations, users], max_dim_rows)
     led = as_ledger(ua).where(analytics_filter())
-    per_day = led.groupBy("org_id", "user_id", "activity_date").agg(
-        sum_amount(signed_amount()).alias("net"),
-        sum_amount(added_amount()).alias("purchased"),
-        sum_amount(deducted_amount()).alias("consumed"),
-        F.sum("n").alias("n"),
-        F.sum(F.when(_is_add(), F.col("n")).otherwise(0)).alias("n_add"),
-        F.sum(F.when(_is_deduct(), F.col("n")).otherwise(0)).alias("n_deduct"),
-    )
     orgs = _dimension(organizations, ["org_id", "org_name", "industry"], max_dim_rows)
     usrs = _dimension(users, ["user_id", "user_name", "role", "email"], max_dim_rows)
-    joined = per_day.join(orgs, "org_id").join(usrs, "user_id")
-    grouped = joined.groupBy("org_name", "industry", "user_name", "role", "email", "user_id").agg(
+    keys = ["org_name", "industry", "user_name", "role", "email", "user_id"]
+    if fits(organizations, max_dim_rows) and fits(users, max_dim_rows):
+        # both broadcast: attach names row by row (no shuffle), aggregate once per day
+        rows = led.join(orgs, "org_id").join(usrs, "user_id")
+        per_day = rows.groupBy(*keys, "activity_date").agg(
+            sum_amount(signed_amount()).alias("net"),
+            sum_amount(added_amount()).alias("purchased"),
+            sum_amount(deducted_amount()).alias("consumed"),
+            F.sum("n").alias("n"),
+            F.sum(F.when(_is_add(), F.col("n")).otherwise(0)).alias("n_add"),
+            F.sum(F.when(_is_deduct(), F.col("n")).otherwise(0)).alias("n_deduct"),
+        )
+    else:
+        # a dimension is too large to broadcast: pre-aggregate, shuffle-join the
+        # aggregated rows, then merge days of organisations that share a name
+        per_org_day = led.groupBy("org_id", "user_id", "activity_date").agg(
+            sum_amount(signed_amount()).alias("net"),
+            sum_amount(added_amount()).alias("purchased"),
+            sum_amount(deducted_amount()).alias("consumed"),
+            F.sum("n").alias("n"),
+            F.sum(F.when(_is_add(), F.col("n")).otherwise(0)).alias("n_add"),
+            F.sum(F.when(_is_deduct(), F.col("n")).otherwise(0)).alias("n_deduct"),
+        )
+        per_day = (
+            per_org_day.join(orgs, "org_id")
+            .join(usrs, "user_id")
+            .groupBy(*keys, "activity_date")
+            .agg(
+                *[sum_amount(c).alias(c) for c in ("net", "purchased", "consumed")],
+                *[F.sum(c).alias(c) for c in ("n", "n_add", "n_deduct")],
+            )
+        )
+    # one row per (user key, day): distinct days are a count of non-NULL days
+    grouped = per_day.groupBy(*keys).agg(
         F.min("activity_date").alias("first_activity_date"),
         F.max("activity_date").alias("last_activity_date"),
-        F.countDistinct("activity_date").alias("active_days"),
+        F.count("activity_date").alias("active_days"),
         amount_to_double(sum_amount("net")).alias("net_credit_balance"),
         amount_to_double(sum_amount("purchased")).alias("total_credits_purchased"),
         amount_to_double(sum_amount("consumed")).alias("total_credits_consumed"),
