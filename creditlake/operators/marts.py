@@ -327,11 +327,14 @@ def most_active_user_per_org(
 ) -> DataFrame:
     """User name with most actions in the org (all rows; one name = one group).
 
-    Counts are taken per (org, user_id) before the join, so the join carries
-    one row per active user instead of one per action. Ties: name ascending.
+    With users beyond the broadcast bound, counts are taken per (org, user_id)
+    before the shuffle join, so it carries one row per active user instead of
+    one per action. Ties: name ascending.
     """
-    per_user = _measured(ua).groupBy("org_id", "user_id").agg(F.sum("n").alias("n"))
     usrs = _dimension(users, ["user_id", "user_name"], max_dim_rows)
+    if fits(users, max_dim_rows):  # broadcast: name every row, no shuffle before counting
+        return _top_user(_measured(ua).join(usrs, "user_id"))
+    per_user = _measured(ua).groupBy("org_id", "user_id").agg(F.sum("n").alias("n"))
     return _top_user(per_user.join(usrs, "user_id"))
 
 
