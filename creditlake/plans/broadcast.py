@@ -30,8 +30,18 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> int:
     return df.limit(max_rows + 1).count()
 
 
+# Exact row counts already known for a DataFrame object (e.g. observed while writing it).
+_KNOWN_ROWS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def remember_row_count(df: DataFrame, rows: int) -> None:
+    _KNOWN_ROWS[df] = rows
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows (checked once per DataFrame object)."""
+    if df in _KNOWN_ROWS:
+        return _KNOWN_ROWS[df] <= max_rows
     seen = _DECISIONS.setdefault(df, {})
     if max_rows not in seen:
         seen[max_rows] = row_count_at_most(df, max_rows) <= max_rows
@@ -72,5 +82,5 @@ def bounded_broadcast(
     of the aggregate.
     """
     if materialize:
-        df = materialize_stage(df, "side")
+        df = materialize_stage(df, "side")  # its row count is observed while writing
     return F.broadcast(df) if fits(df, max_rows) else df
