@@ -141,3 +141,21 @@ def test_results_identical_beyond_the_broadcast_bound(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+_raw_row = st.tuples(
+    st.sampled_from(["org_1", " ORG_1 ", "org_2", None]),
+    st.sampled_from(["u1", "u2", "U1 ", None]),
+    st.sampled_from(["t", " Default", None]),
+    st.sampled_from(["add", "DEDUCT ", None]),
+    st.sampled_from(["1", "2.5", None, "x"]),
+    st.sampled_from(["2024-01-01 00:00:00", "2024-01-01 00:00:00", "02-01-2024", "1700000000", "bad", None]),
+)
+
+
+@_settings
+@given(st.lists(_raw_row, min_size=1, max_size=30), st.integers(min_value=1, max_value=6))
+def test_cleaning_does_not_depend_on_order_or_partitioning(spark, rows, parts):
+    raw = raw_rows(spark, rows)  # seq = position, as a file scan would assign it
+    shuffled = raw.orderBy("credit_type", "user_id").repartition(parts)
+    assert sorted(clean(raw, keep_seq=True).collect()) == sorted(clean(shuffled, keep_seq=True).collect())
