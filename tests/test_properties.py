@@ -158,4 +158,7 @@ _raw_row = st.tuples(
 def test_cleaning_does_not_depend_on_order_or_partitioning(spark, rows, parts):
     raw = raw_rows(spark, rows)  # seq = position, as a file scan would assign it
     shuffled = raw.orderBy("credit_type", "user_id").repartition(parts)
-    assert sorted(clean(raw, keep_seq=True).collect()) == sorted(clean(shuffled, keep_seq=True).collect())
+    def by_seq(df):
+        return sorted(df.collect(), key=lambda r: r.seq)
+
+    assert by_seq(clean(raw, keep_seq=True)) == by_seq(clean(shuffled, keep_seq=True))
