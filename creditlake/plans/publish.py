@@ -186,3 +186,34 @@ def run(
         )
     result.report = table_check({n: result.tables[n] for n in (FACT_TABLE, *MART_NAMES)})
     return result
+
+
+def refresh_marts(
+    spark: SparkSession,
+    names: Sequence[str] | None = None,
+    as_of=None,
+    database: str | None = None,
+) -> dict[str, DataFrame]:
+    """Recompute marts from the currently published fact and dimensions.
+
+    Like a materialized-view refresh: nothing is re-ingested; the daily rollup
+    is rebuilt from ``user_actions``, then each chosen mart (default: all five)
+    is published again. Readers keep the previous version until each swap.
+    """
+    names = list(names or MART_NAMES)
+    unknown = set(names) - set(MART_NAMES)
+    if unknown:
+        raise ValueError(f"unknown marts: {sorted(unknown)}")
+    fact = spark.table(_qualified(FACT_TABLE, database))
+    orgs = spark.table(_qualified("organizations", database))
+    usrs = spark.table(_qualified("users", database))
+    rollup = publish(spark, M.daily_rollup(fact), ROLLUP_TABLE, database)
+    marts = build_marts(rollup, orgs, usrs, as_of, rolled_up=True)
+    return {
+        name: publish(
+            spark, marts[name], name, database,
+            contract=MART_CONTRACTS[name], unique_keys=MART_KEYS.get(name, ()),
+        )
+        for name in names
+    }
+

@@ -9,7 +9,7 @@ import pytest
 from creditlake.operators import marts as M
 from creditlake.operators.clean import clean
 from creditlake.operators.quality import DataQualityError
-from creditlake.plans.publish import MART_NAMES, publish, run
+from creditlake.plans.publish import MART_NAMES, publish, refresh_marts, run
 from creditlake.sources.csv import read_raw_actions
 from conftest import ORGS_DDL, USERS_DDL
 
@@ -116,3 +116,23 @@ def test_publish_rejects_nulls_counted_during_the_write(spark):
         publish(spark, bad, "t_not_null", not_null=("org_id", "user_id"))
     assert [tuple(r) for r in spark.table("t_not_null").collect()] == [("o1", "u1")]
     assert len([t for t in spark.catalog.listTables() if t.name.startswith("t_not_null__v")]) == 1
+
+
+def test_refresh_marts_recomputes_from_the_published_fact(spark, csv_path):
+    orgs = spark.createDataFrame([("org_1", "One", "Tech"), ("org_2", "Two", "Retail")], ORGS_DDL)
+    users = spark.createDataFrame(
+        [("user_1", "Ann", "a@x", "org_1", "admin"), ("user_2", "Bob", "b@x", "org_2", "user")], USERS_DDL
+    )
+    run(spark, csv_path, orgs, users, as_of="2024-01-31")
+    before = {r.org_id: r.total_credits for r in spark.table("finance_org_credit_balance").collect()}
+    # a correction lands in the fact table: one more purchase for org_2
+    extra = spark.createDataFrame(
+        [("org_2", "user_2", "type_b", "add", 4.0, None)],
+        "org_id string, user_id string, credit_type string, action string, credits double, timestamp timestamp",
+    )
+    publish(spark, spark.table("user_actions").unionByName(extra), "user_actions")
+    refreshed = refresh_marts(spark, ["finance_org_credit_balance"], as_of="2024-01-31")
+    after = {r.org_id: r.total_credits for r in refreshed["finance_org_credit_balance"].collect()}
+    assert after == {**before, "org_2": before["org_2"] + 4.0}
+    with pytest.raises(ValueError):
+        refresh_marts(spark, ["no_such_mart"])
