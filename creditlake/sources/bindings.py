@@ -123,7 +123,8 @@ def _event_user(events_user_id: Column) -> Column:
 
 
 def _event_k(props: Column) -> Column:
-    return F.get_json_object(props, "$.k").cast("int")
+    """The integer ``k`` of the events' ``{"k": n}`` props (a regex: JSON parsing is ~10x dearer)."""
+    return F.regexp_extract(props, r'"k"\s*:\s*(-?\d+)', 1).try_cast("int")
 
 
 def events_ledger(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> Ledger:
