@@ -33,7 +33,7 @@ MERIDIEM_RE = r"\s+[AaPp][Mm]$"
 # parse attempts (a failed attempt is costly); the pattern still validates.
 ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 EU_SHAPE = r"^\d{1,2}-\d{1,2}-\d{4}$"
-US_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}\s+[AaPp][Mm]$"
+US_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2} [AaPp][Mm]$"
 
 
 def parse_mixed_timestamp(col: Column | str, meridiem: str = "ignore") -> Column:
@@ -51,12 +51,13 @@ def parse_mixed_timestamp(col: Column | str, meridiem: str = "ignore") -> Column
         seconds.between(F.lit(EPOCH_MIN_SECONDS), F.lit(EPOCH_MAX_SECONDS)),
         F.timestamp_seconds(seconds),
     )
-    iso = F.when(s.rlike(ISO_SHAPE), F.try_to_timestamp(s, F.lit(ISO_PATTERN)))
-    eu = F.when(s.rlike(EU_SHAPE), F.try_to_timestamp(s, F.lit(EU_PATTERN)))
+    # A space in the original formats matches any run of whitespace; edges must not have any.
+    t = F.regexp_replace(s, r"\s+", " ")
+    iso = F.when(t.rlike(ISO_SHAPE), F.try_to_timestamp(t, F.lit(ISO_PATTERN)))
+    eu = F.when(t.rlike(EU_SHAPE), F.try_to_timestamp(t, F.lit(EU_PATTERN)))
     if meridiem == "ignore":
-        us_text = F.regexp_replace(s, MERIDIEM_RE, "")
-        us = F.when(s.rlike(US_SHAPE), F.try_to_timestamp(us_text, F.lit(US_PATTERN)))
+        us_text = F.regexp_replace(t, MERIDIEM_RE, "")
+        us = F.when(t.rlike(US_SHAPE), F.try_to_timestamp(us_text, F.lit(US_PATTERN)))
     else:
-        us_text = F.upper(F.regexp_replace(s, r"\s+", " "))
-        us = F.when(s.rlike(US_SHAPE), F.try_to_timestamp(us_text, F.lit(US_PATTERN_MERIDIEM)))
+        us = F.when(t.rlike(US_SHAPE), F.try_to_timestamp(F.upper(t), F.lit(US_PATTERN_MERIDIEM)))
     return F.coalesce(epoch, iso, eu, us)

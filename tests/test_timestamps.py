@@ -14,6 +14,9 @@ CASES = [
     ("2024-1-5 3:4:5", ts("2024-01-05 03:04:05")),
     ("2024-02-30 00:00:00", None),
     (" 2024-11-24 00:00:00", None),
+    ("2024-11-24  00:00:00", ts("2024-11-24 00:00:00")),  # a format space matches a run of whitespace
+    ("2024-11-24\t00:00:00", ts("2024-11-24 00:00:00")),
+    ("2024-11-24 00:00:00 ", None),
     ("2024-11-24", None),
     # European text, one- and two-digit day
     ("19-12-2024", ts("2024-12-19 00:00:00")),
@@ -24,6 +27,7 @@ CASES = [
     ("01/02/2024 12:00 AM", ts("2024-01-02 12:00:00")),
     ("1/2/2024 14:05 pm", ts("2024-01-02 14:05:00")),
     ("10/29/2024 14:00", None),
+    ("01/02/2024  02:30\tPM", ts("2024-01-02 02:30:00")),
     # epoch seconds inside the closed range 1990-01-01 .. 2050-01-01
     ("1700000000", ts("2023-11-14 22:13:20")),
     ("1700000000.5", ts("2023-11-14 22:13:20.500000")),
