@@ -138,14 +138,23 @@ def normalise_and_fill(raw: DataFrame, options: CleanOptions = CleanOptions()) -
 
 
 def cleaning_report(raw: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:
-    """Q7: one row (rows_in, dropped_missing_ids, dropped_org_rule, rows_out) in one pass."""
+    """Q7: one row of counts in one pass.
+
+    rows_in; dropped_missing_ids (both ids missing); dropped_org_rule (every other
+    drop), split into dropped_org_missing, dropped_user_missing and
+    dropped_other_org (a second organisation); rows_out.
+    """
     typed = prepare(raw, options)
     annotated = annotate_first_org(typed, options.broadcast_max_users)
-    both_missing = F.col("org_id").isNull() & F.col("user_id").isNull()
-    kept = F.coalesce(F.col("org_id") == F.col("first_org"), F.lit(False))
+    org, user = F.col("org_id"), F.col("user_id")
+    both_missing = org.isNull() & user.isNull()
+    kept = F.coalesce(org == F.col("first_org"), F.lit(False))
     return annotated.agg(
         F.count(F.lit(1)).alias("rows_in"),
         F.count_if(both_missing).alias("dropped_missing_ids"),
         F.count_if(~both_missing & ~kept).alias("dropped_org_rule"),
+        F.count_if(org.isNull() & user.isNotNull()).alias("dropped_org_missing"),
+        F.count_if(user.isNull() & org.isNotNull()).alias("dropped_user_missing"),
+        F.count_if(org.isNotNull() & user.isNotNull() & ~kept).alias("dropped_other_org"),
         F.count_if(kept).alias("rows_out"),
     )

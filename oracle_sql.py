@@ -425,6 +425,10 @@ def _queries() -> dict[str, str]:
          CAST(COUNT(*) FILTER (WHERE t.org_id IS NULL AND t.user_id IS NULL) AS BIGINT) AS dropped_missing_ids,
          CAST(COUNT(*) FILTER (WHERE NOT (t.org_id IS NULL AND t.user_id IS NULL)
                                AND NOT COALESCE(t.org_id = f.first_org, FALSE)) AS BIGINT) AS dropped_org_rule,
+         CAST(COUNT(*) FILTER (WHERE t.org_id IS NULL AND t.user_id IS NOT NULL) AS BIGINT) AS dropped_org_missing,
+         CAST(COUNT(*) FILTER (WHERE t.user_id IS NULL AND t.org_id IS NOT NULL) AS BIGINT) AS dropped_user_missing,
+         CAST(COUNT(*) FILTER (WHERE t.org_id IS NOT NULL AND t.user_id IS NOT NULL
+                               AND t.org_id <> f.first_org) AS BIGINT) AS dropped_other_org,
          CAST(COUNT(*) FILTER (WHERE COALESCE(t.org_id = f.first_org, FALSE)) AS BIGINT) AS rows_out
   FROM b2m_typed t LEFT JOIN b2m_first f ON t.user_id = f.user_id"""
     q["finance_mart_cleaned"] = _with(B2, CLEAN_CTES, CLEAN) + finance_mart_sql("b2m_clean", "b2_orgs")

@@ -96,6 +96,7 @@ def test_cleaning_report_counts_each_rule(spark):
     ]
     r = cleaning_report(raw_rows(spark, rows)).collect()[0]
     assert (r.rows_in, r.dropped_missing_ids, r.dropped_org_rule, r.rows_out) == (5, 1, 2, 2)
+    assert (r.dropped_org_missing, r.dropped_user_missing, r.dropped_other_org) == (0, 1, 1)
 
 
 _text = st.sampled_from(["org_1", " ORG_1 ", "Org_2", None, "u1", "U1 ", "add", " Deduct", "x"])
