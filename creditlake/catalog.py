@@ -246,7 +246,9 @@ def distinct_id_counts(spark, sf_dir):
 
 
 def dedup_actions(spark, sf_dir):
-    return _ntz(X.dedup_actions(_clean(spark, sf_dir, keep_seq=True)))
+    """A21 through the cleaning flag (off by default in the pipeline)."""
+    raw = B.messy_events(spark, sf_dir)
+    return _ntz(C.clean(raw, C.CleanOptions(dedup=True), keep_seq=True))
 
 
 def duplicate_keys(spark, sf_dir):

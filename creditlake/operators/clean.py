@@ -44,6 +44,9 @@ class CleanOptions:
     normalise_first: bool = False
     meridiem: str = "ignore"
     broadcast_max_users: int = DEFAULT_MAX_ROWS
+    # Off by default, as in the source: keep the first row (file order) per
+    # (org_id, user_id, credit_type, timestamp) after cleaning.
+    dedup: bool = False
 
 
 def parse_timestamps(raw: DataFrame, meridiem: str = "ignore") -> DataFrame:
@@ -128,7 +131,12 @@ def clean(raw: DataFrame, options: CleanOptions = CleanOptions(), keep_seq: bool
     """Raw text rows (with ``seq``) → ``user_actions`` rows."""
     typed = prepare(raw, options)
     kept = single_org_filter(typed, options.broadcast_max_users)
-    return finish(kept, normalised=options.normalise_first, keep_seq=keep_seq)
+    if not options.dedup:
+        return finish(kept, normalised=options.normalise_first, keep_seq=keep_seq)
+    from creditlake.operators.explore import dedup_actions
+
+    deduped = dedup_actions(finish(kept, normalised=options.normalise_first, keep_seq=True))
+    return deduped if keep_seq else deduped.drop("seq")
 
 
 def normalise_and_fill(raw: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:

@@ -116,3 +116,19 @@ def test_normalise_first_is_idempotent(spark, rows):
     twice = clean(as_text, opts, keep_seq=True)
     key = lambda r: r.seq
     assert sorted(once.collect(), key=key) == sorted(twice.collect(), key=key)
+
+
+def test_dedup_flag_keeps_the_first_row_per_key(spark):
+    rows = [
+        ("org_1", "u1", "t", "add", "1", "2024-01-01 00:00:00"),
+        ("org_1", "u1", "t", "deduct", "2", "2024-01-01 00:00:00"),  # same key, later in the file
+        ("org_1", "u1", "t", "add", "3", None),
+        ("org_1", "u1", "t", "add", "4", "bad"),  # both become the 1990 sentinel: same key
+    ]
+    raw = raw_rows(spark, rows)
+    assert clean(raw).count() == 4
+    kept = sorted((r.seq, r.credits) for r in clean(raw, CleanOptions(dedup=True), keep_seq=True).collect())
+    assert kept == [(0, 1.0), (2, 3.0)]
+    assert clean(raw, CleanOptions(dedup=True)).columns == [
+        "org_id", "user_id", "credit_type", "action", "credits", "timestamp",
+    ]
