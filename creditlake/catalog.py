@@ -194,6 +194,12 @@ def _messy_csv(spark, sf_dir) -> str:
     return path
 
 
+def clean_user_actions_rule_twice(spark, sf_dir):
+    """The notebook variant: the single-organisation rule again after normalising."""
+    raw = B.messy_events(spark, sf_dir)
+    return _ntz(C.clean(raw, C.CleanOptions(rule_again_after_normalise=True), keep_seq=True))
+
+
 def clean_user_actions_from_csv(spark, sf_dir):
     """S1 end to end: the messy rows exported as CSV, scanned back, cleaned."""
     return _ntz(C.clean(read_raw_actions(spark, _messy_csv(spark, sf_dir))))
@@ -309,6 +315,7 @@ QUERIES: dict[str, Query] = {
     "single_org_filter": single_org_filter,
     "clean_user_actions": clean_user_actions,
     "clean_user_actions_normalise_first": clean_user_actions_normalise_first,
+    "clean_user_actions_rule_twice": clean_user_actions_rule_twice,
     "clean_user_actions_from_csv": clean_user_actions_from_csv,
     "cleaning_report": cleaning_report,
     "pipeline_run_report": pipeline_run_report,

@@ -47,6 +47,9 @@ class CleanOptions:
     # Off by default, as in the source: keep the first row (file order) per
     # (org_id, user_id, credit_type, timestamp) after cleaning.
     dedup: bool = False
+    # The exploration notebook's variant: apply the single-organisation rule a
+    # second time on the normalised, filled rows (sentinel dates sort first then).
+    rule_again_after_normalise: bool = False
 
 
 def parse_timestamps(raw: DataFrame, meridiem: str = "ignore") -> DataFrame:
@@ -131,12 +134,16 @@ def clean(raw: DataFrame, options: CleanOptions = CleanOptions(), keep_seq: bool
     """Raw text rows (with ``seq``) → ``user_actions`` rows."""
     typed = prepare(raw, options)
     kept = single_org_filter(typed, options.broadcast_max_users)
-    if not options.dedup:
+    if not (options.dedup or options.rule_again_after_normalise):
         return finish(kept, normalised=options.normalise_first, keep_seq=keep_seq)
-    from creditlake.operators.explore import dedup_actions
-
-    deduped = dedup_actions(finish(kept, normalised=options.normalise_first, keep_seq=True))
-    return deduped if keep_seq else deduped.drop("seq")
+    out = finish(kept, normalised=options.normalise_first, keep_seq=True)
+    if options.rule_again_after_normalise:
+        out = single_org_filter(out, options.broadcast_max_users)
+    if options.dedup:
+        from creditlake.operators.explore import dedup_actions
+
+        out = dedup_actions(out)
+    return out if keep_seq else out.drop("seq")
 
 
 def normalise_and_fill(raw: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:

@@ -399,6 +399,9 @@ def _queries() -> dict[str, str]:
         B2M, TYPED, TYPED_NORM, _firsts("b2m_typed_n", "b2m_first_n"),
         _kept("b2m_typed_n", "b2m_first_n", "b2m_kept_n"),
     ) + _finish("b2m_kept_n", False, True)
+    q["clean_user_actions_rule_twice"] = _with(
+        CLEAN_CTES, CLEAN, _firsts("b2m_clean", "b2m_first2"), _kept("b2m_clean", "b2m_first2", "b2m_kept2")
+    ) + 'SELECT org_id, user_id, credit_type, action, credits, "timestamp", seq FROM b2m_kept2'
     q["clean_user_actions_from_csv"] = _clean(
         'SELECT org_id, user_id, credit_type, action, credits, "timestamp" FROM b2m_clean'
     )

@@ -132,3 +132,17 @@ def test_dedup_flag_keeps_the_first_row_per_key(spark):
     assert clean(raw, CleanOptions(dedup=True)).columns == [
         "org_id", "user_id", "credit_type", "action", "credits", "timestamp",
     ]
+
+
+def test_rule_again_after_normalising(spark):
+    rows = [
+        ("org_1", "u1", "t", "add", "1", "2024-01-02 00:00:00"),
+        ("org_2", "u1 ", "t", "add", "1", "2024-01-01 00:00:00"),  # another raw user, own first org
+        ("org_2", "u1 ", "t", "add", "1", None),  # unparsed: sentinel 1990 after filling
+    ]
+    raw = raw_rows(spark, rows)
+    once = sorted((r.seq, r.org_id) for r in clean(raw, keep_seq=True).collect())
+    assert once == [(0, "org_1"), (1, "org_2"), (2, "org_2")]  # 'u1' sits in two orgs
+    twice = clean(raw, CleanOptions(rule_again_after_normalise=True), keep_seq=True).collect()
+    # normalised, 'u1' has one history; its earliest row is the 1990 sentinel row in org_2
+    assert sorted((r.seq, r.org_id) for r in twice) == [(1, "org_2"), (2, "org_2")]
