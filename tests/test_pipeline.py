@@ -11,6 +11,7 @@ from creditlake.operators.clean import clean
 from creditlake.operators.quality import DataQualityError
 from creditlake.plans.publish import MART_NAMES, publish, refresh_marts, run
 from creditlake.sources.csv import read_raw_actions
+from creditlake.sources.tables import read_table
 from conftest import ORGS_DDL, USERS_DDL
 
 CSV = '''org_id,user_id,credit_type,action,credits,timestamp,notes
@@ -100,7 +101,7 @@ def test_run_end_to_end(spark, csv_path):
     report = {r.table_name: (r.total_records, r.verdict) for r in result.report.collect()}
     assert report["user_actions"] == (3, "low_count")
     assert set(report) == {"user_actions", *MART_NAMES}
-    fact = spark.table("user_actions")
+    fact = read_table(spark, "user_actions")  # S5: full scan of a published table
     assert fact.count() == 3
     direct = M.executive_summary(fact, spark.table("organizations"), spark.table("users"))
     assert sorted(spark.table("executive_summary_view").collect()) == sorted(direct.collect())
