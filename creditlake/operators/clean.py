@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from creditlake.functions.text import normalise_text
 from creditlake.functions.timestamps import NUMBER_RE, parse_mixed_timestamp
-from creditlake.plans.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
+from creditlake.plans.broadcast import bounded_broadcast
 from creditlake.schemas import (
     DEFAULT_CREDIT_TYPE,
     DEFAULT_CREDITS,
@@ -43,7 +43,7 @@ from creditlake.schemas import (
 class CleanOptions:
     normalise_first: bool = False
     meridiem: str = "ignore"
-    broadcast_max_users: int = DEFAULT_MAX_ROWS
+    broadcast_max_users: int | None = None  # None: the session's broadcast bound
     # Off by default, as in the source: keep the first row (file order) per
     # (org_id, user_id, credit_type, timestamp) after cleaning.
     dedup: bool = False
@@ -105,13 +105,13 @@ def first_org_per_user(df: DataFrame) -> DataFrame:
     )
 
 
-def annotate_first_org(df: DataFrame, max_users: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def annotate_first_org(df: DataFrame, max_users: int | None = None) -> DataFrame:
     """Attach ``first_org`` to every row (NULL when the user has none)."""
     firsts = bounded_broadcast(first_org_per_user(df), max_users, materialize=True)
     return df.join(firsts, on="user_id", how="left")
 
 
-def single_org_filter(df: DataFrame, max_users: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def single_org_filter(df: DataFrame, max_users: int | None = None) -> DataFrame:
     """P1 + P2: drop rows without both ids, keep each user's first organisation."""
     kept = df.where(F.col("org_id").isNotNull() | F.col("user_id").isNotNull())
     return (

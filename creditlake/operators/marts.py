@@ -33,7 +33,7 @@ from creditlake.functions.numeric import (
     sum_amount,
     to_amount,
 )
-from creditlake.plans.broadcast import DEFAULT_MAX_ROWS, broadcast_columns, check_sizes, fits
+from creditlake.plans.broadcast import broadcast_columns, check_sizes, fits
 from creditlake.plans.materialize import materialize as materialize_stage
 from creditlake.schemas import ACTION_ADD, ACTION_DEDUCT, DEFAULT_CREDIT_TYPE, SENTINEL_DATE
 
@@ -125,7 +125,7 @@ def non_default_filter() -> Column:
     return F.col("credit_type") != DEFAULT_CREDIT_TYPE
 
 
-def _dimension(df: DataFrame, cols: list[str], max_rows: int) -> DataFrame:
+def _dimension(df: DataFrame, cols: list[str], max_rows: int | None) -> DataFrame:
     return broadcast_columns(df, cols, max_rows)
 
 
@@ -176,7 +176,7 @@ def cs_user_mart(
     organizations: DataFrame,
     users: DataFrame,
     as_of=None,
-    max_dim_rows: int = DEFAULT_MAX_ROWS,
+    max_dim_rows: int | None = None,
 ) -> DataFrame:
     """Inner join on the action's org and user; grouped by names (+ user_id).
 
@@ -262,7 +262,7 @@ def cs_user_mart(
 
 
 def finance_mart(
-    ua: DataFrame, organizations: DataFrame, max_dim_rows: int = DEFAULT_MAX_ROWS
+    ua: DataFrame, organizations: DataFrame, max_dim_rows: int | None = None
 ) -> DataFrame:
     """Per organisation; actions of orgs missing from the dimension vanish (inner join).
 
@@ -323,7 +323,7 @@ def primary_action_per_org(ua: DataFrame) -> DataFrame:
 
 
 def most_active_user_per_org(
-    ua: DataFrame, users: DataFrame, max_dim_rows: int = DEFAULT_MAX_ROWS
+    ua: DataFrame, users: DataFrame, max_dim_rows: int | None = None
 ) -> DataFrame:
     """User name with most actions in the org (all rows; one name = one group).
 
@@ -363,7 +363,7 @@ def executive_summary(
     ua: DataFrame,
     organizations: DataFrame,
     users: DataFrame,
-    max_dim_rows: int = DEFAULT_MAX_ROWS,
+    max_dim_rows: int | None = None,
     materialize: bool = True,
 ) -> DataFrame:
     """Per organisation, over non-'default' rows whose org and user are known.
@@ -391,7 +391,7 @@ def _top1_key(count: Column, value: Column) -> Column:
 
 
 def _executive_one_pass(
-    ua: DataFrame, organizations: DataFrame, users: DataFrame, max_dim_rows: int
+    ua: DataFrame, organizations: DataFrame, users: DataFrame, max_dim_rows: int | None
 ) -> DataFrame:
     names = F.broadcast(
         users.select("user_id", "user_name", F.lit(True).alias("known"))
@@ -478,7 +478,7 @@ def _executive_staged(
     ua: DataFrame,
     organizations: DataFrame,
     users: DataFrame,
-    max_dim_rows: int,
+    max_dim_rows: int | None,
     materialize: bool,
 ) -> DataFrame:
     """Executive mart when the users dimension is too large to broadcast.

@@ -11,14 +11,23 @@ from __future__ import annotations
 
 import weakref
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditlake.plans.materialize import materialize as materialize_stage
 
 # About 64 bytes a row for the narrow dimension projections joined here, so the
-# default keeps a broadcast under ~16 MB.
+# default keeps a broadcast under ~16 MB. A cluster can set its own bound in the
+# session conf (e.g. to fit its executors' memory) without code changes.
 DEFAULT_MAX_ROWS = 250_000
+BOUND_CONF = "spark.creditlake.broadcastMaxRows"
+
+
+def broadcast_bound(spark: SparkSession, max_rows: int | None = None) -> int:
+    """An explicit bound, else ``spark.creditlake.broadcastMaxRows``, else the default."""
+    if max_rows is not None:
+        return int(max_rows)
+    return int(spark.conf.get(BOUND_CONF, str(DEFAULT_MAX_ROWS)))
 
 
 # Size decisions already taken for a DataFrame object: {df: {max_rows: fits}}.
@@ -38,8 +47,9 @@ def remember_row_count(df: DataFrame, rows: int) -> None:
     _KNOWN_ROWS[df] = rows
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
+def fits(df: DataFrame, max_rows: int | None = None) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows (checked once per DataFrame object)."""
+    max_rows = broadcast_bound(df.sparkSession, max_rows)
     if df in _KNOWN_ROWS:
         return _KNOWN_ROWS[df] <= max_rows
     seen = _DECISIONS.setdefault(df, {})
@@ -48,8 +58,11 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return seen[max_rows]
 
 
-def check_sizes(frames: list[DataFrame], max_rows: int = DEFAULT_MAX_ROWS) -> None:
+def check_sizes(frames: list[DataFrame], max_rows: int | None = None) -> None:
     """Run the size checks of several DataFrames in one query (independent stages run together)."""
+    if not frames:
+        return
+    max_rows = broadcast_bound(frames[0].sparkSession, max_rows)
     pending = [df for df in dict.fromkeys(frames) if max_rows not in _DECISIONS.get(df, {})]
     if not pending:
         return
@@ -64,14 +77,14 @@ def check_sizes(frames: list[DataFrame], max_rows: int = DEFAULT_MAX_ROWS) -> No
         _DECISIONS.setdefault(pending[row.i], {})[max_rows] = row.n <= max_rows
 
 
-def broadcast_columns(df: DataFrame, cols: list[str], max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def broadcast_columns(df: DataFrame, cols: list[str], max_rows: int | None = None) -> DataFrame:
     """Project ``df`` to ``cols`` and broadcast it when ``df`` is within ``max_rows``."""
     narrow = df.select(*cols)
     return F.broadcast(narrow) if fits(df, max_rows) else narrow
 
 
 def bounded_broadcast(
-    df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, materialize: bool = False
+    df: DataFrame, max_rows: int | None = None, materialize: bool = False
 ) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 

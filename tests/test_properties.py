@@ -162,3 +162,17 @@ def test_cleaning_does_not_depend_on_order_or_partitioning(spark, rows, parts):
         return sorted(df.collect(), key=lambda r: r.seq)
 
     assert by_seq(clean(raw, keep_seq=True)) == by_seq(clean(shuffled, keep_seq=True))
+
+
+def test_broadcast_bound_comes_from_the_session(spark):
+    from creditlake.plans.broadcast import BOUND_CONF, DEFAULT_MAX_ROWS, broadcast_bound, fits
+
+    assert broadcast_bound(spark, 7) == 7
+    assert broadcast_bound(spark) == DEFAULT_MAX_ROWS
+    spark.conf.set(BOUND_CONF, "2")
+    try:
+        assert broadcast_bound(spark) == 2
+        assert not fits(spark.range(3))
+        assert fits(spark.range(2))
+    finally:
+        spark.conf.unset(BOUND_CONF)
