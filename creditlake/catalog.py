@@ -83,6 +83,12 @@ def finance_mart_from_rollup(spark, sf_dir):
     return M.finance_mart(M.daily_rollup(b.actions), b.organizations)
 
 
+def executive_summary_from_rollup(spark, sf_dir):
+    """Executive mart over the daily rollup (the input run() gives it)."""
+    b = B.orders_ledger(spark, sf_dir)
+    return M.executive_summary(M.daily_rollup(b.actions), b.organizations, b.users, materialize=False)
+
+
 # --- marts on B2 (events): all label values are reached ----------------------
 
 
@@ -90,6 +96,12 @@ def cs_daily_activity(spark, sf_dir):
     return M.cs_daily_activity(B.events_ledger(spark, sf_dir).actions)
 
 
+def cs_daily_activity_from_rollup(spark, sf_dir):
+    """Daily mart as a projection of the daily rollup (the run() path)."""
+    rollup = M.daily_rollup(B.events_ledger(spark, sf_dir).actions)
+    return M.cs_daily_activity(rollup, rolled_up=True)
+
+
 def cs_user_mart_events(spark, sf_dir):
     b = B.events_ledger(spark, sf_dir)
     return M.cs_user_mart(b.actions, b.organizations, b.users, b.as_of)
@@ -293,11 +305,13 @@ QUERIES: dict[str, Query] = {
     "finance_mart": finance_mart,
     "cs_daily_activity": cs_daily_activity,
     "cs_daily_activity_orders": cs_daily_activity_orders,
+    "cs_daily_activity_from_rollup": cs_daily_activity_from_rollup,
     "cs_user_mart": cs_user_mart,
     "cs_user_mart_events": cs_user_mart_events,
     "finance_mart_events": finance_mart_events,
     "executive_summary": executive_summary,
     "executive_summary_events": executive_summary_events,
+    "executive_summary_from_rollup": executive_summary_from_rollup,
     "primary_action_per_org": primary_action_per_org,
     "most_active_user_per_org": most_active_user_per_org,
     "finance_mart_from_rollup": finance_mart_from_rollup,

@@ -342,6 +342,8 @@ def _queries() -> dict[str, str]:
     q["primary_action_per_org"] = _b1(top_action_sql("b1_ua"))
     q["most_active_user_per_org"] = _b1(top_user_sql("b1_ua", "b1_users"))
     q["finance_mart_from_rollup"] = _b1(fin_b1)
+    q["executive_summary_from_rollup"] = _b1(ex_b1)
+    q["cs_daily_activity_from_rollup"] = _b2(cs_daily_sql("b2_ua"))
     q["finance_list_page"] = _b1(
         f"SELECT * FROM ({fin_b1}) WHERE invoice_status = 'In Debit - Invoice Required'\n"
         f"  ORDER BY net_credit_balance DESC NULLS FIRST, org_id ASC NULLS FIRST, "
