@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +41,20 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """Send this package's source to the Python workers, once a context, as the cluster may not have it installed."""
+    context = spark.sparkContext
+    if not getattr(context, "_creditlake_shipped", False):
+        root = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="llm-source-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        context._creditlake_shipped = True
+    return spark
+
+
 def kept(df: DataFrame) -> DataFrame:
     """Cut the lineage in the shared checkpoint folder, so that a lost executor costs a re-read only."""
     ready(df.sparkSession)

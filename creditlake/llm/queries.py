@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import chat, fingerprints, mixing, quality, warc
+from creditlake.llm import bpe, bwt_dedup, chat, fingerprints, mixing, quality, seed_extend, token_counts, warc
 from creditlake.llm.common import table
 
 
@@ -61,6 +62,13 @@ def op1_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("headers", F.array_join(lines, "\n"))
 
 
+def op2_bwt_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in a 50-byte string of an earlier one, removed."""
+    cut = bwt_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.col(f"__{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans")]
+    return cut.select("doc_id", *counts, F.sha2(F.col("__kept"), 256).alias("kept_sha256"))
+
+
 def op3_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document, of its edited text, and their likeness."""
     docs = fingerprints.with_next(table(spark, sf_dir, "documents"))
@@ -103,6 +111,27 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by the 32k piece vocabulary."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), model)
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+def op8_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a 50-word passage of an earlier one, removed."""
+    cut = seed_extend.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.col("__kept").cast("binary"), 256).alias("kept_sha256")
+    return cut.select("doc_id", F.col("__n_words").alias("n_words"), F.col("__n_removed").alias("n_removed"), digest)
+
+
+def op9_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded by the 50k byte-level vocabulary."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    emitted = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return bpe.encode(table(spark, sf_dir, "documents"), vocabulary, emit=bpe.emit_digests, emitted=emitted)
+
+
 def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations formatted along their best branch, read back from the formatted text."""
     told = "</s>[INST] ok [/INST]"
@@ -131,5 +160,6 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_revisits, op3_bottom_k, op4_mix, op6_quality_rules, op10_reply_trees)
+    f.__name__: f
+    for f in (op1_revisits, op2_bwt_intervals, op3_bottom_k, op4_mix, op6_quality_rules, op7_token_counts, op8_seed_extend, op9_tree_bpe, op10_reply_trees)
 }
