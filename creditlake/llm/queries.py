@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import bpe, bwt_dedup, chat, fingerprints, mixing, quality, seed_extend, token_counts, warc
+from creditlake.llm import bpe, bwt_dedup, chat, fingerprints, mixing, near_dedup, quality, seed_extend, token_counts, warc
 from creditlake.llm.common import table
 
 
@@ -99,6 +99,12 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "__mix.source_size", "__mix.target", taken)
 
 
+def op5_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicates among all documents."""
+    found = near_dedup.near_components(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of every document; thresholds from the labels, by language."""
     scored = quality.scores(table(spark, sf_dir, "documents"))
@@ -161,5 +167,5 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_revisits, op2_bwt_intervals, op3_bottom_k, op4_mix, op6_quality_rules, op7_token_counts, op8_seed_extend, op9_tree_bpe, op10_reply_trees)
+    for f in (op1_revisits, op2_bwt_intervals, op3_bottom_k, op4_mix, op5_lsh_forest, op6_quality_rules, op7_token_counts, op8_seed_extend, op9_tree_bpe, op10_reply_trees)
 }
