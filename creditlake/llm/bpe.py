@@ -161,6 +161,10 @@ def emit_digests(vocabulary: Codec, ids: list[int]) -> tuple:
     return len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def emit_ids_and_digest(vocabulary: Codec, ids: list[int]) -> tuple:
+    return len(ids), np.asarray(ids, np.int32), hashlib.sha256(vocabulary.decode(ids).encode()).hexdigest()
+
+
 def encode(
     docs: DataFrame,
     path: str,

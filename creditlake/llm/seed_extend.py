@@ -69,9 +69,9 @@ def remove_repeats(
     def extended(key: tuple, table: pa.Table, shares: pa.Table) -> pa.Table:
         ids, only = own_id(table.column("__id")), read_shared(shares)[0]
         found = [(h, a, ids[at + grams.owner[s]]) for at, _, grams, s, h, a in windows_of(table, only)]
-        if not found:
+        window, anchor, doc = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0),) * 3
+        if not len(window):
             return as_table([], WINDOWS)
-        window, anchor, doc = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.lexsort((doc, anchor, window))
         window, anchor, doc = window[order], anchor[order], doc[order]
         head = group_heads(window, anchor)
