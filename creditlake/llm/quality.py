@@ -81,7 +81,8 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
         .withColumn("__n", F.size("__words"))
         .withColumn("__windows", windows)
         .withColumn("__starts", found)
-        .withColumn("__f", F.struct(*[c.cast("long").alias(k) for k, c in counts.items()]))
+        # Generated, so that a filter on the counts is not pushed below them, where each would be made many times.
+        .withColumn("__f", F.explode(F.array(F.struct(*[c.cast("long").alias(k) for k, c in counts.items()]))))
         .drop("__words", "__lines", "__n", "__windows", "__starts")
     )
 

@@ -96,7 +96,7 @@ def test_the_binomial_test_is_exact(spark):
         assert ok == (k < 0.005 * n and binomial_below(k, n, 0.005) <= 0.001), (k, n)
 
 
-def labelled(spark, n=6000):
+def labelled(spark, n=12_000):
     """Clean documents with few symbols, some of them shouting, and bad ones full of symbols."""
     rng = random.Random(9)
     rows, labels = [], []
