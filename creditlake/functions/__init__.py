@@ -1,39 +1 @@
 """Column expressions: every function returns a ``Column`` evaluated JVM-side."""
-
-from creditlake.functions.labels import (
-    customer_status,
-    engagement_level,
-    invoice_status,
-    usage_level,
-)
-from creditlake.functions.numeric import (
-    amount_to_double,
-    exact_avg,
-    exact_mean,
-    exact_sum,
-    round_half_away,
-    sum_amount,
-    to_amount,
-    to_double,
-)
-from creditlake.functions.text import normalise_text, null_na_tokens, strip_unicode
-from creditlake.functions.timestamps import parse_mixed_timestamp
-
-__all__ = [
-    "amount_to_double",
-    "customer_status",
-    "engagement_level",
-    "exact_avg",
-    "exact_mean",
-    "exact_sum",
-    "invoice_status",
-    "normalise_text",
-    "null_na_tokens",
-    "parse_mixed_timestamp",
-    "round_half_away",
-    "strip_unicode",
-    "sum_amount",
-    "to_amount",
-    "to_double",
-    "usage_level",
-]

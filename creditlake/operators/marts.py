@@ -30,6 +30,7 @@ from creditlake.functions.numeric import (
     amount_to_double,
     ratio,
     round_half_away,
+    signed,
     sum_amount,
     to_amount,
 )
@@ -99,15 +100,15 @@ def _is_deduct() -> Column:
 
 def signed_amount() -> Column:
     """Add → +credits, deduct → -credits, anything else → 0."""
-    return F.when(_is_add(), F.col("amount")).when(_is_deduct(), -F.col("amount")).otherwise(0)
+    return signed("amount", _is_add(), _is_deduct())
 
 
 def added_amount() -> Column:
-    return F.when(_is_add(), F.col("amount")).otherwise(0)
+    return signed("amount", _is_add())
 
 
 def deducted_amount() -> Column:
-    return F.when(_is_deduct(), F.col("amount")).otherwise(0)
+    return signed("amount", _is_deduct())
 
 
 def analytics_filter() -> Column:

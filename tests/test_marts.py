@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from creditlake.operators import marts as M
@@ -299,3 +301,15 @@ def test_executive_null_timestamp_counts_as_action_not_day(spark):
         r = M.executive_summary(ua, _orgs(spark), _users(spark), max_dim_rows=cap).collect()[0]
         assert (r.total_actions, r.active_days, r.total_credit_volume) == (2, 1, 3.0)
         assert (r.first_activity, r.last_activity) == (dt.date(2024, 1, 2), dt.date(2024, 1, 2))
+
+
+def test_credits_of_any_size_are_neither_rounded_nor_dropped(spark):
+    """More than four decimals, totals beyond a long of units, 1e300 and NaN."""
+    rows = [("o", "u", "t", "add", x, "2024-01-01") for x in (0.00004, 0.00004, 0.00004)]
+    rows += [("big", "u", "t", "add", 1e15, "2024-01-01"), ("big", "u", "t", "deduct", 0.25, "2024-01-01")]
+    rows += [("huge", "u", "t", "add", 1e300, "2024-01-01"), ("nan", "u", "t", "add", float("nan"), "2024-01-01")]
+    found = {r["org_id"]: r["total_credits"] for r in M.finance_org_balance(fact_rows(spark, rows)).collect()}
+    assert found["o"] == pytest.approx(0.00012, rel=1e-12)
+    assert found["big"] == 1e15 - 0.25
+    assert found["huge"] == 1e300
+    assert math.isnan(found["nan"])
