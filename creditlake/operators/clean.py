@@ -88,14 +88,17 @@ def prepare(raw: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame
     return df
 
 
-def first_org_per_user(df: DataFrame) -> DataFrame:
+def first_org_per_user(df: DataFrame, org_breaks_ties: bool = False) -> DataFrame:
     """(user_id, first_org) for every user with at least one non-null org.
 
-    Order: timestamp ascending, unparsed timestamps last, then ``seq``.
+    Order: timestamp ascending, unparsed timestamps last, then ``seq``. With
+    ``org_breaks_ties`` the org_id comes before ``seq``: the notebook has sorted
+    its rows by (org_id, user_id) before its second pass, and its sorts are stable.
     """
     order_key = F.struct(
         F.col("timestamp").isNull().alias("unparsed"),
         F.col("timestamp").alias("ts"),
+        *([F.col("org_id").alias("org")] if org_breaks_ties else []),
         F.col("seq").alias("seq"),
     )
     return (
@@ -105,17 +108,20 @@ def first_org_per_user(df: DataFrame) -> DataFrame:
     )
 
 
-def annotate_first_org(df: DataFrame, max_users: int | None = None) -> DataFrame:
+def annotate_first_org(df: DataFrame, max_users: int | None = None, org_breaks_ties: bool = False) -> DataFrame:
     """Attach ``first_org`` to every row (NULL when the user has none)."""
-    firsts = bounded_broadcast(first_org_per_user(df), max_users, materialize=True)
+    firsts = bounded_broadcast(first_org_per_user(df, org_breaks_ties), max_users, materialize=True)
     return df.join(firsts, on="user_id", how="left")
 
 
-def single_org_filter(df: DataFrame, max_users: int | None = None) -> DataFrame:
-    """P1 + P2: drop rows without both ids, keep each user's first organisation."""
-    kept = df.where(F.col("org_id").isNotNull() | F.col("user_id").isNotNull())
+def single_org_filter(df: DataFrame, max_users: int | None = None, org_breaks_ties: bool = False) -> DataFrame:
+    """P1 + P2: drop rows without both ids, keep each user's first organisation.
+
+    A row kept has both ids, so rows with a missing one never enter the join.
+    """
+    kept = df.where(F.col("org_id").isNotNull() & F.col("user_id").isNotNull())
     return (
-        annotate_first_org(kept, max_users)
+        annotate_first_org(kept, max_users, org_breaks_ties)
         .where(F.col("org_id") == F.col("first_org"))
         .drop("first_org")
     )
@@ -138,7 +144,7 @@ def clean(raw: DataFrame, options: CleanOptions = CleanOptions(), keep_seq: bool
         return finish(kept, normalised=options.normalise_first, keep_seq=keep_seq)
     out = finish(kept, normalised=options.normalise_first, keep_seq=True)
     if options.rule_again_after_normalise:
-        out = single_org_filter(out, options.broadcast_max_users)
+        out = single_org_filter(out, options.broadcast_max_users, org_breaks_ties=True)
     if options.dedup:
         from creditlake.operators.explore import dedup_actions
 

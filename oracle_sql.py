@@ -130,12 +130,12 @@ b2m_typed_n AS (
   FROM b2m_typed)"""
 
 
-def _firsts(src: str, name: str) -> str:
+def _firsts(src: str, name: str, tie: str = "seq") -> str:
     return f"""
 {name} AS (
   SELECT user_id, org_id AS first_org FROM (
     SELECT user_id, org_id,
-           row_number() OVER (PARTITION BY user_id ORDER BY ("timestamp" IS NULL), "timestamp", seq) AS rn
+           row_number() OVER (PARTITION BY user_id ORDER BY ("timestamp" IS NULL), "timestamp", {tie}) AS rn
     FROM {src} WHERE user_id IS NOT NULL AND org_id IS NOT NULL)
   WHERE rn = 1)"""
 
@@ -402,7 +402,7 @@ def _queries() -> dict[str, str]:
         _kept("b2m_typed_n", "b2m_first_n", "b2m_kept_n"),
     ) + _finish("b2m_kept_n", False, True)
     q["clean_user_actions_rule_twice"] = _with(
-        CLEAN_CTES, CLEAN, _firsts("b2m_clean", "b2m_first2"), _kept("b2m_clean", "b2m_first2", "b2m_kept2")
+        CLEAN_CTES, CLEAN, _firsts("b2m_clean", "b2m_first2", "org_id, seq"), _kept("b2m_clean", "b2m_first2", "b2m_kept2")
     ) + 'SELECT org_id, user_id, credit_type, action, credits, "timestamp", seq FROM b2m_kept2'
     q["clean_user_actions_from_csv"] = _clean(
         'SELECT org_id, user_id, credit_type, action, credits, "timestamp" FROM b2m_clean'
@@ -473,8 +473,11 @@ def _queries() -> dict[str, str]:
               ELSE 'passed' END AS verdict
   FROM ({counts})"""
     q["null_violations"] = _with(B1, CLEAN_CTES, CLEAN) + """
-  SELECT 'user_actions' AS table_name, 'not_null' AS check_name, 'org_id' AS column_name,
-         CAST(COUNT(*) FILTER (WHERE org_id IS NULL) AS BIGINT) AS violations FROM b2m_clean
+  SELECT 'raw_actions' AS table_name, 'not_null' AS check_name, 'org_id' AS column_name,
+         CAST(COUNT(*) FILTER (WHERE org_id IS NULL) AS BIGINT) AS violations FROM b2m_raw
+  UNION ALL SELECT 'raw_actions', 'not_null', 'user_id', CAST(COUNT(*) FILTER (WHERE user_id IS NULL) AS BIGINT) FROM b2m_raw
+  UNION ALL SELECT 'raw_actions', 'primary_key', 'user_id', CAST(COUNT(*) - COUNT(DISTINCT coalesce(user_id, chr(1))) AS BIGINT) FROM b2m_raw
+  UNION ALL SELECT 'user_actions', 'not_null', 'org_id', CAST(COUNT(*) FILTER (WHERE org_id IS NULL) AS BIGINT) FROM b2m_clean
   UNION ALL SELECT 'user_actions', 'not_null', 'user_id', CAST(COUNT(*) FILTER (WHERE user_id IS NULL) AS BIGINT) FROM b2m_clean
   UNION ALL SELECT 'organizations', 'not_null', 'org_id', CAST(COUNT(*) FILTER (WHERE org_id IS NULL) AS BIGINT) FROM b1_orgs
   UNION ALL SELECT 'organizations', 'not_null', 'org_name', CAST(COUNT(*) FILTER (WHERE org_name IS NULL) AS BIGINT) FROM b1_orgs
@@ -484,7 +487,7 @@ def _queries() -> dict[str, str]:
   UNION ALL SELECT 'users', 'primary_key', 'user_id', CAST(COUNT(*) - COUNT(DISTINCT user_id) AS BIGINT) FROM b1_users"""
     q["orphan_users"] = _b2(
         """SELECT u.org_id, u.user_id, u.user_name, u.email, u.role FROM b2_users u
-  WHERE u.org_id IS NOT NULL AND u.org_id NOT IN (SELECT org_id FROM b2_orgs)"""
+  WHERE u.org_id IS NOT NULL AND u.org_id NOT IN (SELECT org_id FROM b2_orgs WHERE industry <> 'ASIA')"""
     )
     return q
 

@@ -146,3 +146,13 @@ def test_rule_again_after_normalising(spark):
     twice = clean(raw, CleanOptions(rule_again_after_normalise=True), keep_seq=True).collect()
     # normalised, 'u1' has one history; its earliest row is the 1990 sentinel row in org_2
     assert sorted((r.seq, r.org_id) for r in twice) == [(1, "org_2"), (2, "org_2")]
+
+
+def test_rule_again_breaks_ties_by_organisation(spark):
+    """The notebook's rows are sorted by (org_id, user_id) before its second pass, and its sorts are stable."""
+    rows = [
+        ("org_2", "u1 ", "t", "add", "1", None),
+        ("org_1", "u1", "t", "add", "1", None),
+    ]
+    twice = clean(raw_rows(spark, rows), CleanOptions(rule_again_after_normalise=True), keep_seq=True).collect()
+    assert [(r.seq, r.org_id) for r in twice] == [(1, "org_1")]
