@@ -11,6 +11,7 @@ previous stage's stored table, so a lost executor only reruns the current stage.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Mapping, Sequence
@@ -46,9 +47,9 @@ def _qualified(name: str, database: str | None) -> str:
 
 
 def _versions(spark: SparkSession, name: str, database: str | None) -> list[str]:
-    prefix = f"{name}__v"
+    version = re.compile(rf"{re.escape(name.lower())}__v[0-9]{{20}}_[0-9a-f]{{6}}")
     tables = spark.catalog.listTables(dbName=database) if database else spark.catalog.listTables()
-    return sorted(t.name for t in tables if t.name.startswith(prefix) and not t.isTemporary)
+    return sorted(t.name for t in tables if version.fullmatch(t.name.lower()) and not t.isTemporary)
 
 
 def _is_view(spark: SparkSession, target: str) -> bool:
@@ -72,8 +73,8 @@ def publish(
     version = _qualified(version_name, database)
     if contract is not None:
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in contract.fields])
-    if sort_within:
-        df = df.sortWithinPartitions(*sort_within)
+    if sort_within:  # ranges over the cluster, so that each file covers few keys
+        df = df.repartitionByRange(*sort_within).sortWithinPartitions(*sort_within)
     nulls = None
     if not_null:  # counted while writing: no second pass over the data
         nulls = Observation(f"not_null_{version_name}")
@@ -110,17 +111,19 @@ def load_fact(spark: SparkSession, clean_df: DataFrame, database: str | None = N
         database,
         contract=USER_ACTIONS,
         not_null=("org_id", "user_id"),
-        sort_within=("org_id", "user_id"),
+        sort_within=("org_id", "user_id", "timestamp"),
     )
 
 
 def load_dimensions(
     spark: SparkSession, organizations: DataFrame, users: DataFrame, database: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Organizations first, then users, then the users → organizations check.
+    """The users → organizations check, then organizations, then users.
 
-    Missing ``created_at`` columns take the load time (the table default).
+    Neither table is published if a user's organisation is unknown. Missing
+    ``created_at`` columns take the load time (the table default).
     """
+    assert_no_rows(orphan_users(users, organizations), "users.org_id not in organizations")
     orgs = publish(
         spark, organizations_from(organizations), "organizations", database, contract=ORGANIZATIONS,
         not_null=("org_id", "org_name"), unique_keys=("org_id",),
@@ -129,7 +132,6 @@ def load_dimensions(
         spark, users_from(users), "users", database, contract=USERS,
         not_null=("user_id", "user_name"), unique_keys=("user_id",),
     )
-    assert_no_rows(orphan_users(usrs, orgs), "users.org_id not in organizations")
     return orgs, usrs
 
 
