@@ -54,5 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    master = spark.conf.get("spark.master", "local")
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
     return warehouse.rstrip("/") + "/_checkpoints"
