@@ -17,22 +17,22 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_no_python_and_no_sort_merge_join(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMALL))
+    plan = _plan(entry.QUERIES[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas"):
         assert node not in plan
     assert "SortMergeJoin" not in plan
 
 
 def test_cleaning_never_shuffles_the_raw_rows(spark):
-    plan = _plan(entry.queries()["clean_user_actions"](spark, SF_SMALL))
+    plan = _plan(entry.QUERIES["clean_user_actions"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning" not in plan
 
 
 def test_executive_mart_reads_the_fact_once(spark):
-    plan = _plan(entry.queries()["executive_summary"](spark, SF_SMALL))
+    plan = _plan(entry.QUERIES["executive_summary"](spark, SF_SMALL))
     assert plan.count("orders.parquet") == 1
     assert "Expand" in plan  # the grouping sets
 
