@@ -89,7 +89,7 @@ def executive_summary_from_rollup(spark, sf_dir):
     return M.executive_summary(M.daily_rollup(b.actions), b.organizations, b.users, materialize=False)
 
 
-# --- marts on B2 (events): all label values are reached ----------------------
+# --- marts on B2 (events): reaches every usage label ---------------------------
 
 
 def cs_daily_activity(spark, sf_dir):
