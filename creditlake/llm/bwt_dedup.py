@@ -9,8 +9,9 @@ derives where neighbouring suffixes differ, by increasing length of the common
 prefix, stopping at 50. What is left between two such borders is one 50-byte
 string; the least id among its documents tells who keeps it.
 
-An anchor that is in many parts is dealt out by whole strings, which spread it
-over all tasks. Blocks hold whole groups, about BLOCK_BYTES in sum.
+An anchor at more than HOT places is dealt out by whole strings, which spread it
+over all tasks. Blocks hold whole groups, about BLOCK_BYTES in sum. Only ids and
+compressed bytes are sent; hashes and anchors are derived from the bytes again.
 
 Nulls: a null text is the empty one; a null id counts as less than any other.
 Rows with one id do not cost each other bytes, and equal rows get equal
@@ -31,20 +32,31 @@ from creditlake.llm.grams import Grams, Runs, Texts, U, byte_units, covered, mix
 from creditlake.llm.repeats import as_table, cut_by, dealt, find, group_heads, own_id, read_shared, runs_of, shared_anchors
 
 LENGTH = 50
-GRAM = 20
+GRAM = 16
 BATCH_BYTES = 1 << 20
 BLOCK_BYTES = 2 << 20
-HOT_PARTS = 64
+HOT = 20_000
 #: Lengths of prefixes that are sorted and told apart before the expansion begins.
 FIRST = 8
-TYPES = {"anchor": U, "stretch": U, "doc": np.int64, "flags": np.uint8, "size": np.uint8, "data": np.uint8, "runs": np.uint8, "run": np.uint8, "least": np.int64}
-STRETCHES = ("anchor", "stretch", "doc", "flags", "size", "data")
-ANSWERS = ("anchor", "stretch", "flags", "runs", "run", "least")
+TYPES = {"stretch": U, "flags": np.uint8, "size": np.uint8, "runs": np.uint8, "run": np.uint8, "hot": U}
+STRETCHES = ("doc", "flags", "size", "data")
+ANSWERS = ("stretch", "runs", "run", "least", "hot")
 SEVERAL, SINGLE = 1, 2  # flags: several documents of the part; a string by itself
 
 
-def stack(table: pa.Table, names: tuple[str, ...]) -> dict[str, np.ndarray]:
-    return {n: np.concatenate([np.frombuffer(x, TYPES[n]) for x in table.column(n).to_pylist()] or [np.zeros(0, TYPES[n])]) for n in names}
+def stack(table: pa.Table, *names: str) -> list[np.ndarray]:
+    """The arrays of all rows of a table, one after the other."""
+    return [np.concatenate([np.frombuffer(x, TYPES[n]) for x in table.column(n).to_pylist()] or [np.zeros(0, TYPES[n])]) for n in names]
+
+
+def planes(ids: np.ndarray) -> bytes:
+    """64-bit ids byte by byte: the high bytes, mostly equal, then compress to nothing."""
+    return ids.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unplanes(table: pa.Table, name: str) -> np.ndarray:
+    ids = [np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(np.int64).ravel() for x in table.column(name).to_pylist()]
+    return np.concatenate(ids) if ids else np.zeros(0, np.int64)
 
 
 def binaries(names: tuple[str, ...]) -> str:
@@ -143,27 +155,27 @@ def single(runs: Runs, hot: np.ndarray) -> tuple[Runs, np.ndarray]:
 
 
 def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, hot_parts: int = HOT_PARTS
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT
 ) -> DataFrame:
     """``docs`` without the text, with ``__n_bytes``, ``__n_removed``, ``__n_spans`` and ``__kept`` (binary)."""
     own, n = dealt(docs, doc_id, text)
-    buckets = 4 * n
-    shared = shared_anchors(own, n, byte_units, length, gram, BATCH_BYTES, hot_parts)
+    shared = shared_anchors(own, n, byte_units, length, gram, BATCH_BYTES, hot)
     stretches_ddl = f"bucket int, part int, {binaries(STRETCHES)}"
     answers_ddl = f"part int, {binaries(ANSWERS)}"
 
-    def stretches_of(table: pa.Table, only: np.ndarray, hot: np.ndarray) -> Iterator[tuple]:
-        """(first row, row after, units, runs, which are single strings, stretch hashes) of the shared anchors."""
+    def stretches_of(table: pa.Table, only: np.ndarray | None, crowded: np.ndarray) -> Iterator[tuple]:
+        """(first row, row after, units, runs, which are single strings, stretch hashes) of the anchors ``only`` (all, if None)."""
         for at, to, grams, runs in runs_of(Texts.of(table.column("__text")), byte_units, length, gram, BATCH_BYTES):
-            known = find(only, runs.hash >> U(17))
-            runs = Runs(*[x[known >= 0] for x in runs])
-            runs, alone = single(runs, hot[known[known >= 0]])
+            if only is not None:
+                runs = Runs(*[x[find(only, runs.hash >> U(17)) >= 0] for x in runs])
+            runs, alone = single(runs, find(crowded, runs.hash >> U(17)) >= 0)
             yield at, to, grams, runs, alone, stretch_hash(grams, runs.first, runs.last - runs.first + length)
 
     def stretches(key: tuple, table: pa.Table, shares: pa.Table) -> pa.Table:
         ids, texts = own_id(table.column("__id")), Texts.of(table.column("__text"))
         found = []
-        for at, _, grams, runs, alone, hashes in stretches_of(table, *read_shared(shares)):
+        only, crowded = read_shared(shares)
+        for at, _, grams, runs, alone, hashes in stretches_of(table, only, only[crowded]):
             begin = runs.first + texts.begins[at]
             found.append((hashes, runs.last - runs.first + length, ids[at + grams.owner[runs.first]], runs.hash, alone, begin))
         if not found:
@@ -175,23 +187,33 @@ def remove_repeats(
         several = doc[np.append(head[1:], len(doc)) - 1] != doc[head] if len(doc) else doc[head] > 0
         hashes, size, doc, anchor, alone, begin = (x[head] for x in (hashes, size, doc, anchor, alone, begin))
         flags = (several * SEVERAL + alone * SINGLE).astype(np.uint8)
-        bucket = np.where(alone, hashes >> U(20), anchor & U(0xFFFFFFFF)) % U(buckets)
-        entry = {"anchor": anchor >> U(17), "stretch": hashes, "doc": doc, "flags": flags, "size": size.astype(np.uint8)}
+        bucket = np.where(alone, hashes >> U(20), anchor & U(0xFFFFFFFF)) % U(n)
         rows = []
         for b, mine in cut_by(bucket):
-            row = {k: v[mine].tobytes() for k, v in entry.items()}
-            rows.append(row | {"bucket": b, "part": key[0].as_py(), "data": texts.data[spans(begin[mine], size[mine])].tobytes()})
+            data = pa.compress(texts.data[spans(begin[mine], size[mine])].tobytes(), "zstd", asbytes=True)
+            row = {"bucket": b, "part": key[0].as_py(), "doc": planes(doc[mine]), "flags": flags[mine].tobytes()}
+            rows.append(row | {"size": size[mine].astype(np.uint8).tobytes(), "data": data})
         return as_table(rows, stretches_ddl)
 
     def solved(table: pa.Table) -> pa.Table:
         """Answers for the stretches with a string that a document with a smaller id has."""
-        x = stack(table, STRETCHES)
-        part = np.repeat(table.column("part").to_numpy(), [len(b) for b in table.column("flags").to_pylist()])
-        size = x["size"].astype(np.int64)
-        begin = np.cumsum(size) - size
-        group = np.where(x["flags"] & SINGLE, x["stretch"], x["anchor"])
-        order = np.lexsort((x["doc"], x["stretch"], group))
-        group, stretch, doc = group[order], x["stretch"][order], x["doc"][order]
+        flags, size = stack(table, "flags", "size")
+        size, ids = size.astype(np.int64), unplanes(table, "doc")
+        rows_of = [np.frombuffer(x, np.uint8) for x in table.column("size").to_pylist()]
+        part = np.repeat(table.column("part").to_numpy(), [len(x) for x in rows_of])
+        lengths = [int(x.sum()) for x in rows_of]
+        data = [pa.decompress(x, k, "zstd", asbytes=True) for x, k in zip(table.column("data").to_pylist(), lengths, strict=True)]
+        texts = Texts(np.frombuffer(b"".join(data), np.uint8), np.append(0, np.cumsum(size)))
+        begin = texts.begins[:-1]
+        anchors, hashes = [], []
+        for at, to, grams, runs in runs_of(texts, byte_units, length, gram, BATCH_BYTES):  # a run a stretch
+            anchors.append(runs.hash)
+            hashes.append(stretch_hash(grams, runs.first, size[at:to]))
+        anchor, stretch = np.concatenate(anchors), np.concatenate(hashes)
+        alone = (flags & SINGLE) > 0
+        group = np.where(alone, stretch, anchor)
+        order = np.lexsort((ids, stretch, group))
+        group, stretch, doc = group[order], stretch[order], ids[order]
         one = group_heads(group, stretch)
         stretch_of = np.repeat(np.arange(len(one)), np.diff(np.append(one, len(order))))
         # Blocks of whole groups, about BLOCK_BYTES of different stretches each.
@@ -205,8 +227,8 @@ def remove_repeats(
         while at < len(group_begin):
             to = max(at + 1, int(np.searchsorted(np.cumsum(group_bytes[at:]), BLOCK_BYTES, "right")) + at)
             a, b = group_begin[at], group_begin[to] if to < len(group_begin) else len(one)
-            data = x["data"][spans(begin[order[one[a:b]]], sizes[a:b])]
-            least[window_at[a] : window_at[b - 1] + windows[b - 1]] = least_ids(data, sizes[a:b], doc[one[a:b]], length)
+            block = texts.data[spans(begin[order[one[a:b]]], sizes[a:b])]
+            least[window_at[a] : window_at[b - 1] + windows[b - 1]] = least_ids(block, sizes[a:b], doc[one[a:b]], length)
             at = to
         # Runs of strings of a stretch with the same least id.
         of = np.repeat(np.arange(len(one)), windows)
@@ -215,14 +237,16 @@ def remove_repeats(
         runs = np.bincount(of[run], minlength=len(one))
         run_at = np.cumsum(runs) - runs
         lowest = np.minimum.reduceat(run_least, run_at) if len(one) else run_least
-        tell = np.flatnonzero((lowest[stretch_of] < doc) | ((x["flags"][order] & SEVERAL) > 0))
+        tell = np.flatnonzero((lowest[stretch_of] < doc) | ((flags[order] & SEVERAL) > 0))
         rows = []
         for p, mine in cut_by(part[order][tell]):
             mine = tell[mine]
             s = stretch_of[mine]
             got = spans(run_at[s], runs[s])
-            arrays = (x["anchor"][order][mine], stretch[mine], x["flags"][order][mine], runs[s].astype(np.uint8), run_size[got].astype(np.uint8), run_least[got])
-            rows.append({"part": p} | {k: v.tobytes() for k, v in zip(ANSWERS, arrays, strict=True)})
+            crowded = np.unique(anchor[order][mine][alone[order][mine]] >> U(17))
+            arrays = (stretch[mine], runs[s].astype(np.uint8), run_size[got].astype(np.uint8))
+            sent = {k: v.tobytes() for k, v in zip(ANSWERS, arrays, strict=False)}
+            rows.append({"part": p, "least": planes(run_least[got]), "hot": crowded.tobytes()} | sent)
         return as_table(rows, answers_ddl)
 
     out = StructType(own.schema.fields[3:])
@@ -231,24 +255,20 @@ def remove_repeats(
 
     def removed(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         ids, texts = own_id(table.column("__id")), Texts.of(table.column("__text"))
-        x = stack(answers, ANSWERS)
-        runs_at = np.cumsum(x["runs"].astype(np.int64)) - x["runs"]
-        order = np.argsort(x["stretch"])
-        known = x["stretch"][order]
-        by_anchor = np.argsort(x["anchor"], kind="stable")
-        head = group_heads(x["anchor"][by_anchor])
-        only = x["anchor"][by_anchor][head]
-        hot = np.logical_or.reduceat((x["flags"][by_anchor] & SINGLE) > 0, head) if len(head) else np.zeros(0, bool)
+        stretch, counts, run, crowded = stack(answers, "stretch", "runs", "run", "hot")
+        least_of, counts = unplanes(answers, "least"), counts.astype(np.int64)
+        runs_at = np.cumsum(counts) - counts
+        order = np.argsort(stretch)
+        known, crowded = stretch[order], np.unique(crowded)
         n_removed, n_spans, kept = [], [], []
-        for at, to, grams, runs, _, hashes in stretches_of(table, only, hot):
+        for at, to, grams, runs, _, hashes in stretches_of(table, None, crowded):
             found = find(known, hashes)
             here = np.flatnonzero(found >= 0)
             answer = order[found[here]]
-            counts = x["runs"][answer].astype(np.int64)
-            got = spans(runs_at[answer], counts)
-            size = x["run"][got].astype(np.int64)
+            got = spans(runs_at[answer], counts[answer])
+            size = run[got].astype(np.int64)
             start = spans(runs.first[here], runs.last[here] - runs.first[here] + 1)
-            least = np.repeat(x["least"][got], size)
+            least = np.repeat(least_of[got], size)
             start = start[least < ids[at + grams.owner[start]]]
             gone = covered(start, length, len(grams.hashes))
             begins = texts.begins[at : to + 1] - texts.begins[at]

@@ -20,7 +20,7 @@ from creditlake.llm.common import kept, parts_for, shipped, text_bytes, whole
 from creditlake.llm.grams import Grams, Runs, Texts, U, batches, winnowed
 
 PART_BYTES = 8 << 20
-ANCHORS = "bucket int, low binary, high binary, part binary"
+ANCHORS = "bucket int, low binary, high binary, part binary, places binary"
 SHARED = "part int, low binary, high binary"
 ID_SHIFT = U(17)
 NO_ID = -(1 << 63)
@@ -91,10 +91,11 @@ def find(sorted_values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def shared_anchors(
-    docs: DataFrame, n_parts: int, units: Callable[[Texts], Grams], length: int, gram: int, batch_bytes: int, hot_parts: int
+    docs: DataFrame, n_parts: int, units: Callable[[Texts], Grams], length: int, gram: int, batch_bytes: int, hot: int
 ) -> DataFrame:
-    """For each part the anchors that occur in several documents: 47 bits of the hash, and a bit set for those in many parts."""
+    """For each part the anchors that occur in several documents: 47 bits of the hash, and a bit set for those at more than ``hot`` places."""
     buckets = n_parts
+    kind = np.uint16 if n_parts < 1 << 16 else np.uint32
 
     def anchors(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows:
@@ -106,33 +107,33 @@ def shared_anchors(
             if not hashes:
                 continue
             value, owner = np.concatenate(hashes), np.concatenate(owners)
-            order = np.lexsort((owner, value))
-            value, owner = value[order], owner[order]
-            one = group_heads(value, owner)
-            value, at = value[one], part[owner[one]]
-            order = np.lexsort((at, value))
-            value, at = value[order], at[order]
+            at = part[owner]
+            order = np.lexsort((owner, at, value))
+            value, owner, at = value[order], owner[order], at[order]
             head = group_heads(value, at)
-            several = np.diff(np.append(head, len(value))) > 1
-            value, at = value[head], at[head]
+            places = np.diff(np.append(head, len(value)))
+            value, at, several = value[head], at[head], owner[head] != owner[head + places - 1]
             entry = ((value >> ID_SHIFT) << U(1)) | several
+            places = np.minimum(places, 0xFFFF).astype(np.uint16)
             for bucket, mine in cut_by((value & U(0xFFFFFFFF)) % U(buckets)):
                 low, high = split(entry[mine])
-                sent = {"bucket": bucket, "low": low, "high": high, "part": at[mine].astype(np.int32).tobytes()}
+                sent = {"bucket": bucket, "low": low, "high": high, "part": at[mine].astype(kind).tobytes(), "places": places[mine].tobytes()}
                 yield from as_table([sent], ANCHORS).to_batches()
 
     def several(table: pa.Table) -> pa.Table:
-        columns = [table.column(c).to_pylist() for c in ("low", "high", "part")]
+        columns = [table.column(c).to_pylist() for c in ("low", "high", "part", "places")]
         entry = np.concatenate([unsplit(a, b) for a, b in zip(*columns[:2], strict=True)])
-        part = np.concatenate([np.frombuffer(p, np.int32) for p in columns[2]])
+        part = np.concatenate([np.frombuffer(p, kind) for p in columns[2]])
+        places = np.concatenate([np.frombuffer(p, np.uint16) for p in columns[3]])
         value = entry >> U(1)
         order = np.argsort(value, kind="stable")
-        value, part, multi = value[order], part[order], (entry[order] & U(1)) > 0
+        value, part, multi, places = value[order], part[order], (entry[order] & U(1)) > 0, places[order]
         head = group_heads(value)
         size = np.diff(np.append(head, len(value)))
         good = (size > 1) | np.logical_or.reduceat(multi, head)
+        crowded = np.add.reduceat(places.astype(np.int64), head) > hot
         stay = np.repeat(good, size)
-        value = (value << U(1)) | np.repeat(size > hot_parts, size)
+        value = (value << U(1)) | np.repeat(crowded, size)
         value, part = value[stay], part[stay]
         rows = [(p, *split(np.sort(value[mine]))) for p, mine in cut_by(part)]
         return as_table([dict(zip(("part", "low", "high"), r, strict=True)) for r in rows], SHARED)
@@ -142,7 +143,7 @@ def shared_anchors(
 
 
 def read_shared(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """A part's shared anchors (47 bits, ascending) and which of them are in many parts."""
+    """A part's shared anchors (47 bits, ascending) and which of them are at very many places."""
     entries = [unsplit(a, b) for a, b in zip(table.column("low").to_pylist(), table.column("high").to_pylist(), strict=True)]
     value = np.sort(np.concatenate(entries)) if entries else np.zeros(0, U)
     value = value[group_heads(value >> U(1))] if len(value) else value

@@ -53,7 +53,7 @@ def remove_repeats(
     text that loses no word is kept as it is.
     """
     own, n = dealt(docs, doc_id, text)
-    shared = shared_anchors(own, n, word_units, length, gram, BATCH_BYTES, n)
+    shared = shared_anchors(own, n, word_units, length, gram, BATCH_BYTES, 1 << 62)
 
     def windows_of(table: pa.Table, only: np.ndarray | None):
         """(first row, units, start, hash, anchor) of the windows with one of the anchors ``only`` (all, if None)."""
