@@ -34,7 +34,7 @@ from creditlake.llm.repeats import as_table, cut_by, dealt, find, group_heads, o
 LENGTH = 50
 GRAM = 16
 BATCH_BYTES = 1 << 20
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1_900_000
 HOT = 20_000
 #: Lengths of prefixes that are sorted and told apart before the expansion begins.
 FIRST = 8
@@ -77,17 +77,28 @@ def suffix_order(text: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.nda
         size *= 2
     prefix, most = key, int(left.max(initial=0))
     order = np.argsort(key, kind="stable")
+    new = np.append(True, prefix[order][1:] != prefix[order][:-1])
+    differs = new
+    n = len(text)
     while size <= most:
-        sorted_key = key[order]
-        rank = np.empty(len(key), np.int64)
-        rank[order] = np.cumsum(np.append(0, sorted_key[1:] != sorted_key[:-1]))
-        ahead = np.zeros_like(rank)
-        ahead[:-size] = rank[size:] + 1
-        key = rank * (len(rank) + 1) + np.where(left >= size, ahead, 0)
-        order = np.argsort(key, kind="stable")
-        size *= 2
-    sorted_prefix = prefix[order]
-    return order, np.append(True, sorted_prefix[1:] != sorted_prefix[:-1])
+        # Only suffixes that still tie are sorted again, by the ranks of what follows; two at a time, if they fit 63 bits.
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(new)
+        tied = np.flatnonzero(~(new & np.append(new[1:], True)))
+        if not len(tied):
+            break
+        at = order[tied]
+        parts = 3 if n < (1 << 21) - 1 else 2
+        key = rank[at]
+        for k in range(1, parts):
+            ahead = np.where(left[at] >= k * size, rank[np.minimum(at + k * size, n - 1)], 0)
+            key = key * (n + 1) + ahead
+        sort = np.argsort(key, kind="stable")
+        order[tied], key = at[sort], key[sort]
+        new = new.copy()
+        new[tied[1:]] |= key[1:] != key[:-1]
+        size *= parts
+    return order, differs
 
 
 def borders(text: np.ndarray, order: np.ndarray, border: np.ndarray, length: int) -> np.ndarray:
