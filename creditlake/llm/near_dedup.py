@@ -5,11 +5,11 @@ with equal sets form a class, and one text stands for it. Each of TREES trees
 takes the minhash values of a class in an order of its own. Classes that agree
 on a tree's first DEPTH values share a region; there the rows are sorted by the
 values that follow, and each class is a candidate for its neighbours with the
-longest common prefix, for the region's first class and for the one nearest to
-the region's consensus. A region with many classes is split by further values,
-the deeper the more it holds, and the classes that stand for the splits meet
-again in a region of their own. Work and candidates grow with the rows, never
-with the square of a group.
+longest common prefix, for the first class of its piece of the region and for
+the one nearest to the piece's consensus. Regions are range-partitioned in that
+order, neighbours meet across borders, and the leads of pieces meet again.
+Classes of regions with more than NEIGHBOURS + 1 classes, where not all meet,
+go through an exact prefix join on their full sets afterwards.
 
 Candidates whose estimated similarity is clearly too low are left out (a pair
 at the threshold is missed with a probability of about 1e-5); links are
@@ -27,13 +27,14 @@ results; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditlake.llm.common import kept, shipped
+from creditlake.llm.common import kept, shipped, spread_lookup
 from creditlake.llm.components import components
 from creditlake.llm.grams import Texts, U, batches, chained, joined, mixed, word_units
 from creditlake.llm.repeats import cut_by, group_heads
@@ -48,6 +49,9 @@ BATCH_BYTES = 2 << 20
 PERCENT = 75
 LEAST_ESTIMATE = 0.58
 SPLIT = 4096
+LAST = 10_000
+RARE = 32
+HOT = 1_000
 LIKELY = 0.85
 NO_ID = (1 << 63) - 1
 _random = np.random.default_rng(77)
@@ -78,15 +82,24 @@ def sets(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return value, np.searchsorted(owner, np.arange(len(texts) + 1))
 
 
+def class_hashes(value: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each set."""
+    full = np.flatnonzero(np.diff(begins))
+    heads = begins[:-1][full]
+    cls, cls2 = np.zeros(len(begins) - 1, U), np.zeros(len(begins) - 1, U)
+    if len(full):
+        cls[full], cls2[full] = np.add.reduceat(mixed(value), heads), np.add.reduceat(mixed(value ^ FACTORS[0]), heads)
+    return mixed(cls + np.diff(begins).astype(U)), cls2
+
+
 def signatures(value: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of each set: two hashes, a byte of each minhash value, and the keys of its regions."""
     n = len(begins) - 1
     full = np.flatnonzero(np.diff(begins))
     heads = begins[:-1][full]
-    cls, cls2 = np.zeros(n, U), np.zeros(n, U)
+    cls, cls2 = class_hashes(value, begins)
     low = np.zeros((n, VALUES), U)
     if len(full):
-        cls[full], cls2[full] = np.add.reduceat(mixed(value), heads), np.add.reduceat(mixed(value ^ FACTORS[0]), heads)
         for k in range(VALUES):
             low[full, k] = np.minimum.reduceat(value * FACTORS[k], heads)
     low = mixed(low)
@@ -96,7 +109,7 @@ def signatures(value: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
         for d in range(DEPTH):
             key = joined(key, low[:, t * STRIDE + d])
         keys[:, t] = key
-    return mixed(cls + np.diff(begins).astype(U)), cls2, (low & U(0xFF)).astype(np.uint8), keys
+    return cls, cls2, (low & U(0xFF)).astype(np.uint8), keys
 
 
 def signed_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -130,51 +143,49 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.rint(100 * (equal - 1 / 256) / (1 - 1 / 256)).astype(np.int32)
 
 
-def region_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidates among the rows (key, tree, sub, cls, rep, n, sig) of each region, and the rows that stand for a region."""
+def region_pairs(members: DataFrame, piece: int, parts: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Candidates among the rows (key, tree, cls, rep, n, sig, size) of each region, and the rows (key, tree, cls) that have to meet again.
+
+    Rows are range-partitioned in their order, so a region may lie in many
+    tasks, and a task holds ``piece`` rows at a time. A row meets its
+    neighbours across pieces, as the last ones of a piece go into the next;
+    the outer rows of a task and the leads of a region in pieces meet again.
+    """
 
     def walk(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by region; whole regions are worked off together."""
-        held: list[pa.Table] = []
+        held, outer = None, None
         for row in rows:
-            batch = pa.Table.from_batches([row])
-            if not batch.num_rows:
-                continue
-            region = [np.asarray(batch.column(c)) for c in ("key", "sub")]
-            last = np.flatnonzero((region[0] != region[0][-1]) | (region[1] != region[1][-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if held and (cut or not same_region(held[-1], batch)):
-                if cut and same_region(held[-1], batch.slice(0, 1)):
-                    held.append(batch.slice(0, cut))
-                    yield candidates(pa.concat_tables(held))
-                    held = [batch.slice(cut)]
-                    continue
-                yield candidates(pa.concat_tables(held))
-                held = []
-            if cut:
-                yield candidates(batch.slice(0, cut))
-            held.append(batch.slice(cut))
-        if held:
-            yield candidates(pa.concat_tables(held))
+            for at in range(0, row.num_rows, piece):
+                own = pa.Table.from_batches([row.slice(at, piece)])
+                if outer is None or len(outer) < NEIGHBOURS:
+                    outer = own.slice(0, NEIGHBOURS) if outer is None else pa.concat_tables([outer, own]).slice(0, NEIGHBOURS)
+                own = own if held is None else pa.concat_tables([held, own])
+                yield candidates(own)
+                held = own.slice(max(0, len(own) - NEIGHBOURS))
+        if held is not None:
+            yield met_again(pa.concat_tables([outer, held]))
 
     ddl = "a long, b long, ra long, rb long, est int, lead boolean, key long, tree int"
-    found = kept(members.repartition("key", "sub").sortWithinPartitions("key", "sub").mapInArrow(walk, ddl))
-    return found.where("not lead").drop("lead", "key", "tree"), found.where("lead").select("key", "tree", F.col("a").alias("cls"))
+    order = ("key", "turn", "cls")
+    # The tree's order goes on after the values of the key, around the end; 32 of them decide.
+    turn = F.substring(F.concat("sig", "sig"), F.col("tree") * STRIDE + DEPTH + 1, F.lit(32))
+    rows = members.withColumn("turn", turn)
+    dealt = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    found = kept(dealt.sortWithinPartitions(*order).drop("turn").mapInArrow(walk, ddl))
+    return found.where("not lead").drop("lead", "key", "tree"), found.where("lead").select("key", "tree", F.col("a").alias("cls")).distinct()
 
 
-def same_region(held: pa.Table, batch: pa.Table) -> bool:
-    return all(held.column(c)[-1].as_py() == batch.column(c)[0].as_py() for c in ("key", "sub"))
+def met_again(rows: pa.Table) -> pa.RecordBatch:
+    none = np.zeros(len(rows), np.int64)
+    columns = {"a": np.asarray(rows.column("cls")), "b": none, "ra": none, "rb": none, "est": none.astype(np.int32)}
+    columns |= {"lead": np.ones(len(rows), bool), "key": np.asarray(rows.column("key")), "tree": np.asarray(rows.column("tree"))}
+    return pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
 
 
 def candidates(table: pa.Table) -> pa.RecordBatch:
-    key, sub, tree, cls, rep, n = (np.asarray(table.column(c)) for c in ("key", "sub", "tree", "cls", "rep", "n"))
+    key, tree, cls, rep, n, whole = (np.asarray(table.column(c)) for c in ("key", "tree", "cls", "rep", "n", "size"))
     sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, VALUES)
-    # The tree's order goes on after the values of the key, around the end; 32 of them decide.
-    following = (tree[:, None] * STRIDE + DEPTH + np.arange(32)) % VALUES
-    prefix = np.ascontiguousarray(np.take_along_axis(sig, following, 1)).view(">u8")
-    order = np.lexsort((*prefix.T[::-1], sub, key))
-    key, sub, tree, cls, rep, n, sig = (x[order] for x in (key, sub, tree, cls, rep, n, sig))
-    head = group_heads(key, sub)
+    head = group_heads(key)
     size = np.diff(np.append(head, len(key)))
     region = np.repeat(np.arange(len(head)), size)
     i = np.arange(len(key))
@@ -199,7 +210,7 @@ def candidates(table: pa.Table) -> pa.RecordBatch:
     good = est >= 100 * LEAST_ESTIMATE
     x, y, est = x[good], y[good], est[good]
     lead = np.unique(np.concatenate(leads))
-    lead = lead[sub[lead] != 0]  # only split regions need someone to stand for them
+    lead = lead[size[region[lead]] < whole[lead]]  # only regions in pieces need someone to stand for them
     none = np.zeros(len(lead), np.int64)
     columns = {
         "a": np.concatenate([cls[x], cls[lead]]),
@@ -214,24 +225,94 @@ def candidates(table: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
 
 
-def forest_pairs(classes: DataFrame, split: int = SPLIT) -> DataFrame:
-    """Candidate pairs (a, b, ra, rb, est) of classes, each once."""
+def forest_pairs(classes: DataFrame, split: int = SPLIT) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b, ra, rb, est) of classes, each once, and the classes of regions where not all meet."""
     spread = classes.select("cls", F.posexplode("keys").alias("tree", "key"))
-    crowded = spread.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    crowded = kept(spread.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
     of = classes.select("cls", "rep", "n", "sig")
-    members = kept(spread.join(crowded, "key")).join(of, "cls")
-    # Two further values for each factor of four above ``split``, and a salt for what the values can't part.
-    deeper = F.when(F.col("size") > split, F.least(F.lit(24), 2 * F.ceil(F.log(F.col("size") / split) / F.log(F.lit(4.0))))).otherwise(0).cast("int")
-    turned = F.substring(F.concat("sig", "sig"), F.col("tree") * STRIDE + DEPTH + 1, deeper)
-    salt = F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / (16 * split)))
-    sub = F.when(F.col("size") > split, F.xxhash64(turned, salt).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long"))
-    fields = ("key", "tree", "sub", "cls", "rep", "n", "sig")
-    found, leads = region_pairs(members.withColumn("sub", sub).select(*fields))
+    members = kept(spread.join(crowded, "key").join(of, "cls"))
+    crowd = kept(members.where(F.col("size") > NEIGHBOURS + 1).select("cls").distinct())
+    found, again = region_pairs(members, split)
     rounds = [found]
-    again = leads.distinct().join(of, "cls").withColumn("sub", F.lit(0).cast("long")).select(*fields)
-    rounds.append(region_pairs(again)[0])
-    every = rounds[0].unionByName(rounds[1])
-    return kept(every.groupBy("a", "b", "ra", "rb").agg(F.max("est").alias("est")))
+    while True:
+        again = kept(again)
+        left = again.count()
+        sized = again.join(again.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "key").join(of, "cls")
+        if left <= LAST:
+            rounds.append(region_pairs(sized, LAST, 1)[0])
+            break
+        found, again = region_pairs(sized, LAST, -(-left // LAST))
+        rounds.append(found)
+    every = reduce(DataFrame.unionByName, rounds)
+    return kept(every.groupBy("a", "b", "ra", "rb").agg(F.max("est").alias("est"))), crowd
+
+
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(cls, grams) of each class, once; ``texts`` has (cls, text), also texts of other classes."""
+
+    def listed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows:
+            for at in range(0, row.num_rows, 256):
+                part = row.slice(at, 256)
+                value, begins = sets(Texts.of(part.column("text")))
+                grams = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(value.view(np.int64)))
+                good = pa.array(class_hashes(value, begins)[0].view(np.int64) == part.column("cls").to_numpy())
+                yield pa.RecordBatch.from_arrays([part.column("cls"), grams], ["cls", "grams"]).filter(good)
+
+    return texts.mapInArrow(listed, "cls long, grams array<long>").groupBy("cls").agg(F.first("grams").alias("grams"))
+
+
+def spread_join(rows: DataFrame, small: DataFrame) -> DataFrame:
+    """Join on ``g`` to one row a shingle of ``small``, of which ``size`` rows have it; the ones of many rows don't meet in one task."""
+    hot = small.where(F.col("size") > HOT)
+    tried = spread_lookup(rows, hot, "g", F.col("cls"))
+    rest = tried.where("size is null").select(*rows.columns).join(small.where(F.col("size") <= HOT), "g")
+    return tried.where("size is not null").unionByName(rest)
+
+
+def crowd_links(crowd: DataFrame, texts: DataFrame, rare: int = RARE) -> DataFrame:
+    """All similar pairs (a, b) of the classes ``crowd`` (cls, n, label) of different labels, but for links that follow from others.
+
+    A prefix join, exact: in an order by rarity two similar sets share one of
+    their first n - ceil(0.75 n) + 1 shingles. Those that at most ``rare``
+    classes share are joined. What is left shares no rare shingle, so it must
+    be similar by the common shingles alone: a class stays if these are at
+    least 0.75 of it, and of each pair they are 6/7 of one (``top``). Of a
+    label's classes with the same common shingles the smallest stays. The
+    next round joins by the shingles that few tops have, and so on.
+    """
+    items = kept(crowd.join(shingle_sets(texts), "cls").withColumn("top", F.lit(True)))
+    full = items.select("cls", "grams")
+    need = F.ceil(F.col("n") * PERCENT / 100)
+    links = []
+
+    def fits(o: Column) -> Column:
+        enough = (100 + PERCENT) * F.least(F.col("left"), o["left"]) >= PERCENT * (F.col("n") + o["n"])
+        return (F.col("label") != o["label"]) & enough & (~F.col("top") | (F.col("cls") < o["cls"]))
+
+    while True:
+        if items.where("top").isEmpty():
+            return reduce(DataFrame.unionByName, links) if links else crowd.select(F.col("cls").alias("a"), F.col("cls").alias("b")).limit(0)
+        # Pairs of one label need no link, so only shingles of several labels count.
+        each = items.select("cls", "label", "top", F.explode("grams").alias("g"))
+        shared = each.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.count_if("top").alias("df"), F.min("label").alias("l"), F.max("label").alias("m"))
+        met = spread_join(each.select("cls", "g"), kept(shared.where("l <> m and df > 0").select("g", "size", "df")))
+        order = met.groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "g", "size"))).alias("order"))
+        order = items.drop("grams").join(order, "cls").withColumn("left", F.size("order")).where(F.col("left") >= need)
+        order = kept(order)
+        first = order.select("cls", "n", "label", "top", "left", F.explode(F.slice("order", F.lit(1), (F.col("left") - need + 1).cast("int"))).alias("s"))
+        first = first.where(F.col("s.df") <= rare).select("cls", "n", "label", "top", "left", "s.g", "s.size")
+        tops = first.where("top").groupBy("g", "size").agg(F.collect_list(F.struct("cls", "n", "label", "left")).alias("tops"))
+        apart = spread_join(first.drop("size"), kept(tops)).withColumn("o", F.explode(F.filter("tops", lambda o: fits(o))))
+        pairs = apart.select(F.least("cls", "o.cls").alias("a"), F.greatest("cls", "o.cls").alias("b")).distinct()
+        both = pairs.join(full.toDF("a", "ga"), "a").join(full.toDF("b", "gb"), "b")
+        links.append(kept(both.where((100 + PERCENT) * F.size(F.array_intersect("ga", "gb")) >= PERCENT * (F.size("ga") + F.size("gb"))).select("a", "b")))
+        common = order.withColumn("grams", F.transform(F.filter("order", lambda s: s["df"] > rare), lambda s: s["g"])).drop("order", "left")
+        common = common.where(F.size("grams") >= need).withColumn("top", (100 + PERCENT) * F.size("grams") >= 2 * PERCENT * F.col("n"))
+        same = common.groupBy("label", F.xxhash64(F.array_sort("grams")).alias("common"))
+        one = F.min_by(F.struct("cls", "n", "label", "grams", "top"), F.struct("n", "cls")).alias("one")
+        items = kept(same.agg(one).select("one.*"))
+        rare *= 16
 
 
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -242,7 +323,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             for at in range(0, row.num_rows, 256):
                 part = row.slice(at, 256)
                 (x, xs), (y, ys) = (sets(Texts.of(part.column(c))) for c in ("text_a", "text_b"))
-                (ca, *_), (cb, *_) = signatures(x, xs), signatures(y, ys)
+                (ca, _), (cb, _) = class_hashes(x, xs), class_hashes(y, ys)
                 good = (ca.view(np.int64) == part.column("a").to_numpy()) & (cb.view(np.int64) == part.column("b").to_numpy())
                 size = np.array([len(np.intersect1d(x[xs[i] : xs[i + 1]], y[ys[i] : ys[i + 1]], True)) for i in range(part.num_rows)])
                 union = np.diff(xs) + np.diff(ys) - size
@@ -261,8 +342,9 @@ def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     classes = kept(
         rows.where("n > 0").groupBy("cls", "cls2", "n").agg(F.min("id").alias("rep"), first.alias("s")).select("cls", "rep", "n", "s.sig", "s.keys")
     )
-    pairs = forest_pairs(classes)
-    wanted = pairs.select(F.col("a").alias("cls"), F.col("ra").alias("rep")).union(pairs.select("b", "rb")).distinct()
+    pairs, crowd = forest_pairs(classes)
+    crowd = crowd.join(classes.select("cls", "rep", "n"), "cls")
+    wanted = pairs.select(F.col("a").alias("cls"), F.col("ra").alias("rep")).union(pairs.select("b", "rb")).union(crowd.select("cls", "rep")).distinct()
     own = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("rep"), F.col(text).cast("string").alias("text"))
     texts = kept(own.join(wanted, "rep").select("cls", "text"))
     # Rows of one document that are in several classes connect these.
@@ -282,6 +364,10 @@ def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rest = kept(rest.where("la is null or lb is null or la <> lb").select("a", "b"))
     links = confirm(rest, texts).union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
     labels = kept(components(links))
+    # Classes of crowded regions met only some of the others there.
+    labelled = crowd.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "n", F.coalesce("label", "cls").alias("label"))
+    links = crowd_links(kept(labelled), texts.join(crowd.select("cls"), "cls", "left_semi"))
+    labels = kept(components(links.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))))
 
     named = rows.where("n > 0").select("cls", "id").distinct().join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     label = F.coalesce("label", "cls")
