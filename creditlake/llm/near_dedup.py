@@ -19,8 +19,8 @@ first a likely partner of each class, then all candidates that are not
 connected yet.
 
 Nulls: a null or empty text has the empty set and is linked with nothing. Rows
-with one id are one document; rows without an id are one document that is never
-a component's smallest. Repeated rows are equal. Empty tables give empty
+with one id are one document; rows without an id connect no other documents,
+are never a component's smallest and all report the least of their components. Repeated rows are equal. Empty tables give empty
 results; other columns are ignored.
 """
 
@@ -348,8 +348,9 @@ def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     own = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("rep"), F.col(text).cast("string").alias("text"))
     texts = kept(own.join(wanted, "rep").select("cls", "text"))
     # Rows of one document that are in several classes connect these.
-    several = rows.where("n > 0").groupBy("id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z")
-    ties = rows.where("n > 0").join(several, "id").select("a", F.col("cls").alias("b")).where("a <> b").distinct()
+    named_rows = rows.where((F.col("n") > 0) & (F.col("id") != NO_ID))
+    several = named_rows.groupBy("id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z")
+    ties = named_rows.join(several, "id").select("a", F.col("cls").alias("b")).where("a <> b").distinct()
 
     either = pairs.select("a", "b", F.col("b").alias("of"), F.col("ra").alias("to"), "est").union(
         pairs.select("a", "b", F.col("a"), F.col("rb"), "est")
@@ -374,6 +375,10 @@ def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     least = named.groupBy(label.alias("label")).agg(F.min("id").alias("component"))
     by_class = kept(named.select("cls", label.alias("label")).distinct().join(least, "label").select("cls", "component"))
     out = rows.join(by_class, "cls", "left").withColumn("component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")))
+    # Rows without an id connect nothing; they report the least of their components.
+    unnamed = out.where((F.col("n") > 0) & (F.col("id") == NO_ID)).agg(F.min("component").alias("unnamed"))
+    reported = F.when((F.col("n") > 0) & (F.col("id") == NO_ID), F.col("unnamed")).otherwise(F.col("component"))
+    out = out.crossJoin(F.broadcast(unnamed)).withColumn("component", reported)
     real = [F.when(F.col(c) != NO_ID, F.col(c)) for c in ("id", "component")]
     return out.select(real[0].alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), real[1].alias("component_id"))
 

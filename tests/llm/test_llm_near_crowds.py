@@ -76,3 +76,10 @@ def test_no_task_holds_a_region(spark):
     assert neighbours == 600
     # Two leads a piece and the outer rows of each task come again, not the region.
     assert 0 < again.count() < 300
+
+
+def test_rows_without_id_connect_nothing(spark):
+    rows = [(None, "a b c d e f"), (5, "a b c d e f"), (None, "q r s t u v"), (9, "q r s t u v")]
+    docs = spark.createDataFrame(rows, DDL)
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_components(docs).where("doc_id is not null").collect()}
+    assert found == {5: 5, 9: 9}
