@@ -156,6 +156,33 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
 FROM e GROUP BY conv_id
 """
 
+OP11 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM w GROUP BY lang),
+f AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+  FROM w, unnest([1, 2, 3, 4, 5]) AS ks(k), unnest(range(1, len(ws) - k + 2)) AS starts(i) GROUP BY ALL HAVING count(*) >= 100
+), c AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+longer AS (
+  SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, max(a) AS most
+  FROM c, unnest([2, 3, 4]) AS ks(k), unnest(range(1, len(ws) - k + 2)) AS starts(i) WHERE k < len(ws) GROUP BY ALL
+), cuts AS (
+  SELECT c.lang, c.phrase, a, n, l.f AS l, r.f AS r, cut, 1000 * a * n // (l.f * r.f) AS score
+  FROM c JOIN n USING (lang), unnest([1, 2, 3, 4]) AS cs(cut)
+  JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:cut], ' ')
+  JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[cut + 1:], ' ') WHERE cut < len(c.ws)
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT best.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * a
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_revisits": OP1,
     "op2_bwt_intervals": OP2,
@@ -164,4 +191,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": OP6,
     "op8_seed_extend": OP8,
     "op10_reply_trees": OP10,
+    "op11_rollup_phrases": OP11,
 }

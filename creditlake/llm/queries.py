@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import bpe, bwt_dedup, chat, fingerprints, mixing, near_dedup, quality, seed_extend, token_counts, warc
+from creditlake.llm import bpe, bwt_dedup, chat, collocations, fingerprints, mixing, near_dedup, quality, seed_extend, token_counts, warc
 from creditlake.llm.common import table
 
 
@@ -165,7 +165,15 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_rollup_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two to five words of each language of ``documents``."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_revisits, op2_bwt_intervals, op3_bottom_k, op4_mix, op5_lsh_forest, op6_quality_rules, op7_token_counts, op8_seed_extend, op9_tree_bpe, op10_reply_trees)
+    for f in (
+        op1_revisits, op2_bwt_intervals, op3_bottom_k, op4_mix, op5_lsh_forest, op6_quality_rules, op7_token_counts,
+        op8_seed_extend, op9_tree_bpe, op10_reply_trees, op11_rollup_phrases,
+    )
 }
