@@ -9,11 +9,15 @@ the count of a prefix is that of the phrase, as every occurrence begins at one
 place. The first level, by language alone, is the number of words.
 
 A window goes on past a pair of words only if the pair may be frequent: a first
-pass adds up, by a hash of (language, pair), at most LEAST per stretch of text,
-and a hash whose sum stays below LEAST holds no frequent pair. A phrase with
-LEAST occurrences has no such pair in it, so its count stays exact; other long
-windows fall to short ones. The pass's outcome is one bit a hash, broadcast:
-the number of hashes follows the size of the texts up to 2**MOST_BITS (16 MB).
+pass adds up, by a hash of (language, word or pair), at most LEAST per stretch
+of text, and a hash whose sum stays below LEAST holds nothing frequent. A
+phrase with LEAST occurrences has no such word or pair in it, so its count
+stays exact; other long windows fall to short ones, and rare words count for
+their language only. The pass's outcome is one bit a hash, broadcast: the
+number of hashes follows the size of the texts up to 2**MOST_BITS (16 MB).
+Windows of three words and more go through a ROLLUP of their own, whose sums
+over one or two words join the short ones; so no short window is expanded to
+the levels of the long ones.
 
 A phrase's score is the least over its cuts in two of floor(1000 a n / (l r)),
 in exact decimals. Phrases inside a longer frequent phrase that occurs in all
@@ -39,6 +43,7 @@ from pyspark.sql import functions as F
 from creditlake.llm.common import kept, shipped, spread_lookup, text_bytes
 from creditlake.llm.grams import LOWER, Texts, U, batches, joined, word_units
 from creditlake.llm.repeats import as_table, cut_by
+from creditlake.plans.materialize import materialize
 
 LEAST = 100
 LONGEST = 5
@@ -47,13 +52,13 @@ ABSORB_PERCENT = 100
 NO_LANG = "und"
 STRETCH_BYTES = 8 << 20
 LEAST_BITS, MOST_BITS = 16, 27
-RANGE_BITS = 7
+INNER_BITS = 16
 HOT = 1_000
 BREAK = np.zeros(256, bool)
 BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 GAP = BREAK.copy()
 GAP[[0x20, 0x09]] = True
-PAIRS = "bucket int, low binary, count binary"
+HASHES = "bucket int, low binary, count binary"
 
 
 class Stretch(NamedTuple):
@@ -90,38 +95,42 @@ def stretches(batch: pa.RecordBatch, most: int = STRETCH_BYTES) -> Iterator[Stre
         yield Stretch(words.indices.to_numpy(), words.dictionary, lang.indices.to_numpy()[owner], lang.dictionary, linked)
 
 
-def pair_hashes(own: Stretch, at: np.ndarray, bits: int) -> np.ndarray:
-    """``bits`` bits of a hash of (language, word, next word) for the words ``at``."""
+def word_hashes(own: Stretch) -> np.ndarray:
+    """A hash of (language, word) for each word."""
     hashes = word_units(Texts.of(own.words)).hashes
     lang = np.array([zlib.crc32(x.encode()) for x in own.langs.to_pylist()], U)
-    return joined(joined(lang[own.lang[at]], hashes[own.code[at]]), hashes[own.code[at + 1]]) >> U(64 - bits)
+    return joined(lang[own.lang], hashes[own.code])
 
 
-def frequent_pairs(docs: DataFrame, bits: int, least: int = LEAST) -> bytes:
-    """One bit for each of 2**bits hashes: may a pair of words with this hash be frequent?"""
-    inner = bits - RANGE_BITS
+def frequent_hashes(docs: DataFrame, bits: int, least: int = LEAST) -> bytes:
+    """One bit for each of 2**bits hashes: may a word or a pair of words with this hash be frequent?"""
 
     def counted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows:
             for own in stretches(row):
-                value, count = np.unique(pair_hashes(own, np.flatnonzero(own.linked), bits), return_counts=True)
+                single = word_hashes(own)
+                at = np.flatnonzero(own.linked)
+                value = np.concatenate([single, joined(single[at], single[at + 1])]) >> U(64 - bits)
+                value, count = np.unique(value, return_counts=True)
                 count = np.minimum(count, least).astype(np.uint16)
-                low = (value & U((1 << inner) - 1)).astype(np.uint32)
+                low = (value & U((1 << INNER_BITS) - 1)).astype(np.uint16)
                 found = [
-                    {"bucket": b, "low": low[m].tobytes(), "count": count[m].tobytes()} for b, m in cut_by((value >> U(inner)).astype(np.int64))
+                    {"bucket": b, "low": np.diff(low[m], prepend=np.uint16(0)).tobytes(), "count": count[m].tobytes()}
+                    for b, m in cut_by((value >> U(INNER_BITS)).astype(np.int64))
                 ]
-                yield from as_table(found, PAIRS).to_batches()
+                yield from as_table(found, HASHES).to_batches()
 
     def judged(table: pa.Table) -> pa.Table:
-        total = np.zeros(1 << inner, np.int64)
+        total = np.zeros(1 << INNER_BITS, np.int64)
         for low, count in zip(table.column("low").to_pylist(), table.column("count").to_pylist(), strict=True):
-            total[np.frombuffer(low, np.uint32)] += np.frombuffer(count, np.uint16)  # a stretch has a hash once
+            at = np.cumsum(np.frombuffer(low, np.uint16), dtype=np.int64)
+            total[at] += np.frombuffer(count, np.uint16)  # a stretch has a hash once
         packed = np.packbits(total >= least).tobytes()
         return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()), "bits": pa.array([packed], pa.binary())})
 
-    ranges = docs.mapInArrow(counted, PAIRS).groupBy("bucket").applyInArrow(judged, "bucket int, bits binary").collect()
-    size = (1 << inner) // 8
-    out = bytearray(size << RANGE_BITS)
+    ranges = docs.mapInArrow(counted, HASHES).groupBy("bucket").applyInArrow(judged, "bucket int, bits binary").collect()
+    size = (1 << INNER_BITS) // 8
+    out = bytearray(size << (bits - INNER_BITS))
     for r in ranges:
         out[r["bucket"] * size : (r["bucket"] + 1) * size] = r["bits"]
     return bytes(out)
@@ -132,70 +141,92 @@ def window_columns(longest: int) -> list[str]:
 
 
 def windows(docs: DataFrame, bits: int, frequent: bytes, longest: int = LONGEST) -> DataFrame:
-    """(lang, w1 .. , n): padded windows and how often they occur in a stretch of text; one for each word occurrence."""
+    """(lang, w1 .. , n): padded windows and how often they occur in a stretch of text.
+
+    One for each word occurrence; those of rare words are all padding.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     names = ["lang", *window_columns(longest), "n"]
 
     def counted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(shared.value, np.uint8)
+
+        def often(hashes: np.ndarray) -> np.ndarray:
+            key = hashes >> U(64 - bits)
+            return (known[key >> U(3)] >> (U(7) - (key & U(7))).astype(np.uint8)) & 1 > 0
+
         for row in rows:
             for own in stretches(row):
+                single = word_hashes(own)
+                real = np.append(often(single), np.zeros(longest, bool))
                 at = np.flatnonzero(own.linked)
-                key = pair_hashes(own, at, bits)
-                goes_on = np.zeros(len(own.code) + longest, bool)
-                goes_on[at] = (known[key >> U(3)] >> (U(7) - (key & U(7))).astype(np.uint8)) & 1 > 0
+                at = at[real[at] & real[at + 1]]
+                goes_on = np.zeros(len(real), bool)
+                goes_on[at] = often(joined(single[at], single[at + 1]))
                 n_words = len(own.words)
-                head = own.lang.astype(np.int64) * n_words + own.code
-                alone = np.flatnonzero(~goes_on[: len(head)])
+                code = np.append(np.where(real[: len(single)], own.code, -1), np.full(longest, -1))
+                head = own.lang.astype(np.int64) * (n_words + 1) + code[: len(single)] + 1
+                alone = np.flatnonzero(~goes_on[: len(single)])
                 _, first, count = np.unique(head[alone], return_index=True, return_counts=True)
-                yield rows_of(own, alone[first], goes_on, count)
+                yield rows_of(own, code, alone[first], goes_on, count)
                 several = np.flatnonzero(goes_on)
                 if not len(several):
                     continue
                 # Windows are numbered column by column, so that their numbers stay small and exact.
                 number = head[several]
                 follows = np.ones(len(several), bool)
-                code = np.append(own.code, np.full(longest, -1, own.code.dtype))
                 for k in range(1, longest):
                     follows &= goes_on[several + k - 1]
                     _, first, number, count = np.unique(
                         number * (n_words + 1) + np.where(follows, code[several + k] + 1, 0), return_index=True, return_inverse=True, return_counts=True
                     )
-                yield rows_of(own, several[first], goes_on, count)
+                yield rows_of(own, code, several[first], goes_on, count)
 
-    def rows_of(own: Stretch, at: np.ndarray, goes_on: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    def rows_of(own: Stretch, code: np.ndarray, at: np.ndarray, goes_on: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
         columns = [own.langs.take(pa.array(own.lang[at]))]
-        there = np.ones(len(at), bool)
+        there = code[at] >= 0
         for k in range(longest):
             if k:
                 there &= goes_on[at + k - 1]
-            place = np.where(there, at + k, 0)
-            columns.append(own.words.take(pa.array(own.code[place], mask=~there)))
+            columns.append(own.words.take(pa.array(code[np.where(there, at + k, 0)], mask=~there)))
         return pa.RecordBatch.from_arrays([*columns, pa.array(count.astype(np.int64))], names)
 
     ddl = ", ".join(f"{c} string" for c in names[:-1]) + ", n long"
     return docs.mapInArrow(counted, ddl)
 
 
+def rolled_up(counted: DataFrame, columns: list[str]) -> DataFrame:
+    """(lang, words, f) of all prefixes of the windows that have no padding."""
+    summed = counted.rollup("lang", *columns).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
+    phrase, real = F.array().cast("array<string>"), F.lit(False)
+    for k in range(len(columns) + 1):
+        here = F.col("level") == (1 << (len(columns) - k)) - 1
+        phrase = F.when(here, F.array(*columns[:k]).cast("array<string>")).otherwise(phrase)
+        real = real | (here & (F.col(columns[k - 1]).isNotNull() if k else F.lit(True)))
+    return summed.where(real).select("lang", phrase.alias("words"), "f")
+
+
 def phrase_counts(
     docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST, bits: int | None = None
 ) -> DataFrame:
-    """(lang, words, f): each language's words (an empty list) and all phrases of up to ``longest`` words that occur ``least`` times, kept."""
+    """(lang, words, f): each language's words (an empty list) and all phrases of up to ``longest`` words that occur ``least`` times, kept.
+
+    Of single words only those are sure to be there that a longer phrase has.
+    """
     shipped(docs.sparkSession)
     own = docs.select(F.col(text).cast("string").alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANG)).alias("lang"))
     if bits is None:
         bits = min(MOST_BITS, max(LEAST_BITS, (text_bytes(own) >> 6).bit_length()))
-    columns = window_columns(longest)
-    counted = windows(own, bits, frequent_pairs(own, bits, least), longest).groupBy("lang", *columns).agg(F.sum("n").alias("n"))
-    # The shortest prefix of each window has the most rows; all sums are combined before they are sent.
-    summed = counted.rollup("lang", *columns).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
-    phrase = F.array()
-    real = F.lit(False)
-    for k in range(longest + 1):
-        here = F.col("level") == (1 << (longest - k)) - 1
-        phrase = F.when(here, F.array(*columns[:k]).cast("array<string>")).otherwise(phrase.cast("array<string>"))
-        real = real | (here & (F.lit(True) if k == 0 else F.col(columns[k - 1]).isNotNull() & (F.col("f") >= least)))
-    return kept(summed.where(real).select("lang", phrase.alias("words"), "f"))
+    columns = window_columns(max(longest, 2))
+    # Stored once, as Parquet: both rollups read it.
+    made = materialize(windows(own, bits, frequent_hashes(own, bits, least), len(columns)), "windows")
+    ending = F.col(columns[2]).isNull() if longest > 2 else F.lit(True)
+    short = made.where(ending).select("lang", "w1", "w2", "n")
+    long = made.where(~ending).groupBy("lang", *columns).agg(F.sum("n").alias("n"))
+    long = kept(rolled_up(long, columns).where((F.size("words") == 2) | ((F.size("words") > 2) & (F.col("f") >= least))))
+    pairs = long.where(F.size("words") == 2).select("lang", F.col("words")[0].alias("w1"), F.col("words")[1].alias("w2"), F.col("f").alias("n"))
+    sums = rolled_up(short.unionByName(pairs), ["w1", "w2"]).where((F.size("words") == 0) | (F.col("f") >= least))
+    return kept(sums.unionByName(long.where(F.size("words") > 2)))
 
 
 def named(words: Column) -> Column:

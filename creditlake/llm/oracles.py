@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries of this package that SQL can express.
 
-Tokenizers (op7, op9, pipeline) and seeded sketches (op3) have none; their
+Tokenizers (op7, op9, op13, pipeline) and seeded sketches (op3) have none; their
 tests hold them against the libraries and brute force.
 """
 
@@ -183,6 +183,35 @@ ranked AS (
 SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
 """
 
+OP12 = rf"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, list(md5(length(role) || ':' || role || text) ORDER BY i) AS ks, list(len(regexp_extract_all(text, '{WORD}')) ORDER BY i) AS ns,
+    (xor(list_reduce([ord(x) FOR x IN string_split(conv_id::VARCHAR, '')],
+      LAMBDA a, b: list_reduce(range(8), LAMBDA x, j: xor(x >> 1, 3988292384 * (x & 1)), xor(a, b::BIGINT)), 4294967295::BIGINT), 4294967295) % 4)::INT AS h
+  FROM t GROUP BY conv_id
+), p AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ks[1:c.h], []), c.ks[c.h + 1:]) AS ks, list_concat(coalesce(b.ns[1:c.h], []), c.ns[c.h + 1:]) AS ns
+  FROM c LEFT JOIN c AS b ON b.conv_id = c.conv_id - c.conv_id % 20
+), m AS (
+  SELECT conv_id, d, d = len(ks) AS ends, md5(array_to_string(ks[1:d], '')) AS node, CASE WHEN d > 0 THEN md5(array_to_string(ks[1:d - 1], '')) END AS parent,
+    CASE WHEN d > 0 THEN ns[d] ELSE 0 END AS n FROM p, unnest(range(0, len(ks) + 1)) AS ds(d)
+), v AS (
+  SELECT d, node, min(conv_id) AS conv_id, any_value(parent) AS parent, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS own,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM m GROUP BY d, node
+), k AS (SELECT parent AS node, d - 1 AS d, count(*) AS n FROM v WHERE d > 0 GROUP BY ALL),
+f AS (SELECT v.*, coalesce(k.n, 0) AS n_children FROM v LEFT JOIN k USING (node, d)),
+s AS (
+  SELECT m.node, m.d, sum(f.own)::BIGINT AS saved_tokens, count(*) FILTER (f.n_children = 0) AS n_leaves
+  FROM f JOIN m ON m.conv_id = f.conv_id AND m.d <= f.d GROUP BY ALL
+)
+SELECT f.conv_id, f.d AS depth, o.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256
+FROM f JOIN s ON s.node = f.node AND s.d = f.d LEFT JOIN f AS o ON o.node = f.parent AND o.d = f.d - 1
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_revisits": OP1,
     "op2_bwt_intervals": OP2,
@@ -192,4 +221,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_seed_extend": OP8,
     "op10_reply_trees": OP10,
     "op11_rollup_phrases": OP11,
+    "op12_prefix_trie": OP12,
 }

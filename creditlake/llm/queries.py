@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import bpe, bwt_dedup, chat, collocations, fingerprints, mixing, near_dedup, quality, seed_extend, token_counts, warc
+from creditlake.llm import bpe, bwt_dedup, chat, collocations, fingerprints, mixing, near_dedup, prefix_trie, quality, seed_extend, token_counts, token_files, warc
 from creditlake.llm.common import table
 
 
@@ -170,10 +170,25 @@ def op11_rollup_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all conversations, the first turns of some replaced by those of another."""
+    c = F.col("conv_id")
+    turns = table(spark, sf_dir, "conversations")
+    return prefix_trie.nodes(prefix_trie.rebuilt(turns, (F.crc32(c.cast("string").cast("binary")) % 4).cast("int"), c - c % 20))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum, read back from its token files."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    folder = token_files.write(table(spark, sf_dir, "documents"), path, token_files.new_folder(spark), keep=("lang", "source"))
+    rows = token_files.with_start(token_files.checksums(spark, folder), token_files.shard_starts(spark, folder))
+    return rows.select("doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), F.col("crc32").alias("ids_crc32"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_revisits, op2_bwt_intervals, op3_bottom_k, op4_mix, op5_lsh_forest, op6_quality_rules, op7_token_counts,
-        op8_seed_extend, op9_tree_bpe, op10_reply_trees, op11_rollup_phrases,
+        op8_seed_extend, op9_tree_bpe, op10_reply_trees, op11_rollup_phrases, op12_prefix_trie, op13_token_files,
     )
 }
