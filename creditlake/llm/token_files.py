@@ -14,10 +14,10 @@ by row and writes one file. ``at`` is a document's place in its shard; the
 shards' places are sums over their totals, by blocks of shards.
 
 Texts are encoded by the vocabulary's own library. White space never reaches
-its tokens, and no token spans it, so each word is encoded once a worker and
-looked up again; a word is cut further where letters and ``.,;:!?`` meet, as
-the vocabulary's pre-tokeniser does. ``check_vocabulary`` rejects files for
-which this does not hold.
+its tokens, and no token spans it, so each distinct word of a slice of texts
+is encoded once, or known from slices before; words are cut further where
+letters and ``.,;:!?`` meet, as the vocabulary's pre-tokeniser does.
+``check_vocabulary`` rejects files for which this does not hold.
 
 Nulls: a null text is empty and has the end id only; a null id comes first.
 Rows of one id are ordered by their text's hash, repeated rows by their place,
@@ -32,6 +32,7 @@ import json
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -41,20 +42,27 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from creditlake.llm.bpe import byte_alphabet
 from creditlake.llm.common import kept, parts_for, ready, shipped, spread_lookup, text_bytes, whole
+from creditlake.llm.grams import LOWER, Texts, batches, spans
 
 END_ID = 1
 SHARD_BYTES = 32 << 20
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 1 << 18
 SLICE_BYTES = 4 << 20
-CACHE_WORDS = 400_000
-CACHED_BYTES = 64
+CACHED_PIECES = 600_000
+CACHED_CHARS = 64
 BLOCK = 1024
 META = ("shard", "at", "n_tokens")
-#: Where a letter of the first blocks and one of these marks meet, every pre-tokeniser of this kind has a border.
-LETTER, MARK = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
-CUT = re.compile(f"(?<=[{LETTER}])(?=[{MARK}])|(?<=[{MARK}])(?=[{LETTER}])")
+SPACE, MARK, LETTER, HIGH = (np.zeros(256, bool) for _ in range(4))
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Where one of these marks and a letter of Latin-1 meet (two bytes beyond ASCII), every pre-tokeniser of this kind has a border.
+MARK[[*b".,;:!?"]] = True
+LETTER[[*range(65, 91), *range(97, 123)]] = True
+HIGH[[x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)]] = True
+LEAD = 0xC3
+SMALL = re.compile("[a-zà-öø-ÿ]+")
 #: The pre-tokeniser's pattern and the normaliser's steps for which words can be encoded alone (fixed values of that format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 STEPS = ["NFC", "Replace", "Lowercase"]
@@ -67,57 +75,88 @@ def check_vocabulary(path: str) -> dict:
     steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
     split = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
     same = split.get("type") == "Split" and split["pattern"].get("Regex") == PATTERN and split["behavior"] == "Removed" and split["invert"]
-    spaced = any(re.search(r"\s", t["content"]) or CUT.search(t["content"]) or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
+    spaced = any(re.search(r"[\s.,;:!?]", t["content"]) or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
     if steps != STEPS or not same or spaced:
         raise ValueError(f"{path}: not a vocabulary of words without white space")
     return spec
 
 
+def pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of the texts begin and end: words, cut where letters and marks meet."""
+    data = texts.data
+    solid = np.concatenate([[False], ~SPACE[data], [False]])
+    first = np.zeros(len(data) + 1, bool)
+    first[texts.begins] = True
+    two = np.append((data[:-1] == LEAD) & HIGH[data[1:]], False) if len(data) else LETTER[data]
+    begins = LETTER[data] | two  # a letter begins at this byte
+    ends = LETTER[data] | np.append(False, two[:-1]) if len(data) else begins  # a letter ends with it
+    mark = MARK[data]
+    meets = np.zeros(len(data) + 1, bool)
+    meets[1:-1] = (ends[:-1] & mark[1:]) | (mark[:-1] & begins[1:])
+    border = first | meets
+    starts = np.flatnonzero(solid[1:] & (~solid[:-1] | border))
+    stops = np.flatnonzero(solid[:-1] & (~solid[1:] | border))
+    return starts, stops
+
+
 class Words:
-    """Encodes words with the library, each once as long as the cache has room."""
+    """Encodes texts piece by piece with the library; pieces are remembered as long as there is room."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.special = [t["content"] for t in check_vocabulary(path)["added_tokens"]]
+        self.special = [t["content"].encode().lower() for t in check_vocabulary(path)["added_tokens"]]
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def learn(self, words: set[str]) -> None:
-        """Add the ids of the words that are not known yet."""
-        if len(self.words) + len(words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.parts) > CACHE_WORDS:
-            self.parts.clear()
-        new = [w for w in words if w not in self.words]
-        cut = [self.cut(w) for w in new]
-        missing = list({p for parts in cut for p in parts if p not in self.parts})
-        for part, found in zip(missing, self.library.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            self.parts[part] = np.asarray(found.ids, "<u4").tobytes()
-        for word, parts in zip(new, cut, strict=True):
-            self.words[word] = b"".join([self.parts[p] for p in parts])
-
-    def cut(self, word: str) -> list[str]:
-        if any(s in word for s in self.special):
-            return [word]
-        return CUT.split(word.lower() if word.isascii() else word)
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit integers."""
-        split = [t.encode().split() for t in texts]
-        short = {w for words in split for w in words if len(w) <= CACHED_BYTES}
-        known = {w.decode() for w in short}
-        self.learn(known)
-        ids = {w: self.words[w.decode()] for w in short}
-        for words in split:
-            for w in words:
-                if len(w) > CACHED_BYTES and w not in ids:
-                    found = self.library.encode_batch_fast(self.cut(w.decode()), add_special_tokens=False)
-                    ids[w] = np.concatenate([np.asarray(x.ids, "<u4") for x in found]).tobytes()
-        return [b"".join([ids[w] for w in words]) for words in split]
+        self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.alphabet = {b: c for c, b in byte_alphabet().items()}
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, pieces_: list[str]) -> list[bytes]:
+        """The ids of new pieces. One of small letters only is one pre-token as it is, so the library's model takes it at once."""
+        tokenize, letters, make = self.library.model.tokenize, SMALL.fullmatch, array
+        code = "H" if self.kind.itemsize == 2 else "I"
+        out: list[bytes | None] = [None] * len(pieces_)
+        other = []
+        for i, piece in enumerate(pieces_):
+            if not letters(piece):
+                other.append(i)
+            elif piece.isascii():
+                out[i] = make(code, [t.id for t in tokenize(piece)]).tobytes()
+            else:
+                out[i] = make(code, [t.id for t in tokenize(piece.encode().decode("latin-1").translate(self.alphabet))]).tobytes()
+        for i, made in zip(other, self.library.encode_batch_fast([pieces_[i] for i in other], add_special_tokens=False), strict=True):
+            out[i] = make(code, made.ids).tobytes()
+        return out
+
+    def ids_of(self, pieces_: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, pieces_))
+        new = [i for i, x in enumerate(found) if x is None]
+        if len(self.known) + len(new) > CACHED_PIECES:
+            self.known.clear()
+        for i, made in zip(new, self.learn([pieces_[i] for i in new]), strict=True):
+            found[i] = made
+            if len(pieces_[i]) <= CACHED_CHARS:
+                self.known[pieces_[i]] = made
+        return found
+
+    def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has."""
+        starts, stops = pieces(texts)
+        letters = texts.data[~SPACE[texts.data]]
+        if not any(s in letters.tobytes().lower() for s in self.special):
+            letters = LOWER[letters]  # fewer distinct pieces; added tokens are not normalised
+        offsets = np.append(0, np.cumsum(stops - starts)).astype(np.int32)
+        words = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+        found = self.ids_of(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        flat = np.frombuffer(b"".join(found), self.kind)
+        code = words.indices.to_numpy()
+        heads = np.cumsum(sizes) - sizes
+        ids = flat[spans(heads[code], sizes[code])].astype(np.int32)
+        total = np.append(0, np.cumsum(sizes[code]))
+        return ids, np.diff(total[np.searchsorted(starts, texts.begins)])
 
 
 @lru_cache(maxsize=1)
@@ -128,17 +167,6 @@ def vocabulary(path: str) -> Words:
     return Words(path)
 
 
-def sliced(texts: Sequence[str], most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield at, i + 1
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
-
-
 def encoded(docs: DataFrame, path: str, doc_id: str, text: str, keep: Sequence[str], end_id: int, shard_bytes: int) -> DataFrame:
     """(doc_id, kept columns, shard, at, n_tokens, ids) in the order of the ids, a shard a partition."""
     shipped(docs.sparkSession)
@@ -157,18 +185,19 @@ def encoded(docs: DataFrame, path: str, doc_id: str, text: str, keep: Sequence[s
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = 0
         for row in rows:
-            texts = row.column("text").to_pylist()
-            for a, b in sliced(texts):
-                made = [x + end for x in vocabulary(path).encode(texts[a:b])]
-                counts = np.array([len(x) // 4 for x in made])
+            texts = Texts.of(row.column("text"))
+            for a, b in batches(np.diff(texts.begins), SLICE_BYTES):
+                begins = texts.begins[a : b + 1]
+                ids, counts = vocabulary(path).encode(Texts(texts.data[begins[0] : begins[-1]], begins - begins[0]))
+                ids = np.insert(ids, np.cumsum(counts), end_id)
+                counts = counts + 1
                 ends = at + np.cumsum(counts)
                 offsets = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
-                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(made), "<i4")))
                 old = [row.column(c).slice(a, b - a) for c in carried]
-                yield pa.RecordBatch.from_arrays([*old, pa.array(ends - counts), pa.array(counts.astype(np.int32)), ids], schema.names)
+                listed = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*old, pa.array(ends - counts), pa.array(counts.astype(np.int32)), listed], schema.names)
                 at = int(ends[-1])
 
-    end = np.array([end_id], "<u4").tobytes()
     return dealt.mapInArrow(encode, schema).toDF("doc_id", *keep, *META, "ids")
 
 
