@@ -8,13 +8,14 @@ its task; Spark's ROLLUP then sums the counts of ever shorter prefixes, and
 the count of a prefix is that of the phrase, as every occurrence begins at one
 place. The first level, by language alone, is the number of words.
 
-A window goes on past a pair of words only if the pair may be frequent: a first
-pass adds up, by a hash of (language, word or pair), at most LEAST per stretch
-of text, and a hash whose sum stays below LEAST holds nothing frequent. A
-phrase with LEAST occurrences has no such word or pair in it, so its count
-stays exact; other long windows fall to short ones, and rare words count for
-their language only. The pass's outcome is one bit a hash, broadcast: the
-number of hashes follows the size of the texts up to 2**MOST_BITS (16 MB).
+A window goes on only past pairs and triples of words that may be frequent: a
+first pass adds up, by a hash of (language, word or pair), at most LEAST per
+stretch of text, and a hash whose sum stays below LEAST holds nothing frequent;
+a second pass does the same for the triples of such pairs. A phrase with LEAST
+occurrences has nothing rare in it, so its count stays exact; other long
+windows fall to short ones, and rare words count for their language only. A
+pass's outcome is one bit a hash, broadcast: the number of hashes follows the
+size of the texts up to 2**MOST_BITS (16 MB).
 Windows of three words and more go through a ROLLUP of their own, whose sums
 over one or two words join the short ones; so no short window is expanded to
 the levels of the long ones.
@@ -32,11 +33,12 @@ columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,7 +52,7 @@ LONGEST = 5
 TOP = 2000
 ABSORB_PERCENT = 100
 NO_LANG = "und"
-STRETCH_BYTES = 8 << 20
+STRETCH_BYTES = 4 << 20
 LEAST_BITS, MOST_BITS = 16, 27
 INNER_BITS = 16
 HOT = 1_000
@@ -102,16 +104,40 @@ def word_hashes(own: Stretch) -> np.ndarray:
     return joined(lang[own.lang], hashes[own.code])
 
 
-def frequent_hashes(docs: DataFrame, bits: int, least: int = LEAST) -> bytes:
-    """One bit for each of 2**bits hashes: may a word or a pair of words with this hash be frequent?"""
+class Frequent(NamedTuple):
+    """Which words, pairs and triples may be frequent: a bit for each of 2**bits hashes of either kind."""
+
+    bits: int
+    pairs: bytes
+    triples: bytes | None = None
+
+    def often(self, table: bytes, hashes: np.ndarray) -> np.ndarray:
+        known = np.frombuffer(table, np.uint8)
+        key = hashes >> U(64 - self.bits)
+        return (known[key >> U(3)] >> (U(7) - (key & U(7))).astype(np.uint8)) & 1 > 0
+
+    def marked(self, own: Stretch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each word: may it be frequent, with the next, with the next two; and the hashes of (word, next, next but one) where pairs are."""
+        single = word_hashes(own)
+        n = len(single)
+        word, pair, triple = self.often(self.pairs, single), np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+        at = np.flatnonzero(own.linked)
+        at = at[word[at] & word[at + 1]]
+        pair[at] = self.often(self.pairs, joined(single[at], single[at + 1]))
+        at = np.flatnonzero(pair[:-1] & pair[1:])
+        hashes = joined(joined(single[at], single[at + 1]), single[at + 2])
+        if self.triples is not None:
+            triple[at] = self.often(self.triples, hashes)
+        return word, pair[:n], triple[:n], hashes
+
+
+def frequent_hashes(docs: DataFrame, bits: int, least: int, hashes_of: Callable[[Stretch], np.ndarray]) -> bytes:
+    """One bit for each of 2**bits hashes: may what has this hash be frequent?"""
 
     def counted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows:
             for own in stretches(row):
-                single = word_hashes(own)
-                at = np.flatnonzero(own.linked)
-                value = np.concatenate([single, joined(single[at], single[at + 1])]) >> U(64 - bits)
-                value, count = np.unique(value, return_counts=True)
+                value, count = np.unique(hashes_of(own) >> U(64 - bits), return_counts=True)
                 count = np.minimum(count, least).astype(np.uint16)
                 low = (value & U((1 << INNER_BITS) - 1)).astype(np.uint16)
                 found = [
@@ -136,58 +162,59 @@ def frequent_hashes(docs: DataFrame, bits: int, least: int = LEAST) -> bytes:
     return bytes(out)
 
 
+def frequent(docs: DataFrame, bits: int, least: int = LEAST) -> Broadcast[Frequent]:
+    """What may be frequent, broadcast, by a pass over words and pairs and one over triples."""
+
+    def words_and_pairs(own: Stretch) -> np.ndarray:
+        single = word_hashes(own)
+        at = np.flatnonzero(own.linked)
+        return np.concatenate([single, joined(single[at], single[at + 1])])
+
+    context = docs.sparkSession.sparkContext
+    first = context.broadcast(Frequent(bits, frequent_hashes(docs, bits, least, words_and_pairs)))
+    triples = frequent_hashes(docs, bits, least, lambda own: first.value.marked(own)[3])
+    both = context.broadcast(Frequent(bits, first.value.pairs, triples))
+    first.unpersist()
+    return both
+
+
 def window_columns(longest: int) -> list[str]:
     return [f"w{i}" for i in range(1, longest + 1)]
 
 
-def windows(docs: DataFrame, bits: int, frequent: bytes, longest: int = LONGEST) -> DataFrame:
+def windows(docs: DataFrame, known: Broadcast[Frequent], longest: int = LONGEST) -> DataFrame:
     """(lang, w1 .. , n): padded windows and how often they occur in a stretch of text.
 
     One for each word occurrence; those of rare words are all padding.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
     names = ["lang", *window_columns(longest), "n"]
 
     def counted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.frombuffer(shared.value, np.uint8)
-
-        def often(hashes: np.ndarray) -> np.ndarray:
-            key = hashes >> U(64 - bits)
-            return (known[key >> U(3)] >> (U(7) - (key & U(7))).astype(np.uint8)) & 1 > 0
-
         for row in rows:
             for own in stretches(row):
-                single = word_hashes(own)
-                real = np.append(often(single), np.zeros(longest, bool))
-                at = np.flatnonzero(own.linked)
-                at = at[real[at] & real[at + 1]]
-                goes_on = np.zeros(len(real), bool)
-                goes_on[at] = often(joined(single[at], single[at + 1]))
-                n_words = len(own.words)
-                code = np.append(np.where(real[: len(single)], own.code, -1), np.full(longest, -1))
-                head = own.lang.astype(np.int64) * (n_words + 1) + code[: len(single)] + 1
-                alone = np.flatnonzero(~goes_on[: len(single)])
+                word, pair, triple, _ = known.value.marked(own)
+                n, n_words = len(word), len(own.words)
+                code = np.append(np.where(word, own.code, -1), np.full(longest, -1))
+                triple = np.append(triple, np.zeros(longest, bool))
+                head = own.lang.astype(np.int64) * (n_words + 1) + code[:n] + 1
+                alone = np.flatnonzero(~pair)
                 _, first, count = np.unique(head[alone], return_index=True, return_counts=True)
-                yield rows_of(own, code, alone[first], goes_on, count)
-                several = np.flatnonzero(goes_on)
-                if not len(several):
+                yield rows_of(own, code, alone[first], [], count)
+                at = np.flatnonzero(pair)
+                if not len(at):
                     continue
                 # Windows are numbered column by column, so that their numbers stay small and exact.
-                number = head[several]
-                follows = np.ones(len(several), bool)
+                number, goes_on = head[at], [np.ones(len(at), bool)]
                 for k in range(1, longest):
-                    follows &= goes_on[several + k - 1]
-                    _, first, number, count = np.unique(
-                        number * (n_words + 1) + np.where(follows, code[several + k] + 1, 0), return_index=True, return_inverse=True, return_counts=True
-                    )
-                yield rows_of(own, code, several[first], goes_on, count)
+                    goes_on += [goes_on[-1] & triple[at + k - 2]] if k > 1 else []
+                    here = number * (n_words + 1) + np.where(goes_on[-1], code[at + k] + 1, 0)
+                    _, first, number, count = np.unique(here, return_index=True, return_inverse=True, return_counts=True)
+                yield rows_of(own, code, at[first], [g[first] for g in goes_on], count)
 
-    def rows_of(own: Stretch, code: np.ndarray, at: np.ndarray, goes_on: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    def rows_of(own: Stretch, code: np.ndarray, at: np.ndarray, goes_on: list[np.ndarray], count: np.ndarray) -> pa.RecordBatch:
         columns = [own.langs.take(pa.array(own.lang[at]))]
-        there = code[at] >= 0
         for k in range(longest):
-            if k:
-                there &= goes_on[at + k - 1]
+            there = code[at] >= 0 if k == 0 else goes_on[k - 1] if k <= len(goes_on) else np.zeros(len(at), bool)
             columns.append(own.words.take(pa.array(code[np.where(there, at + k, 0)], mask=~there)))
         return pa.RecordBatch.from_arrays([*columns, pa.array(count.astype(np.int64))], names)
 
@@ -219,7 +246,7 @@ def phrase_counts(
         bits = min(MOST_BITS, max(LEAST_BITS, (text_bytes(own) >> 6).bit_length()))
     columns = window_columns(max(longest, 2))
     # Stored once, as Parquet: both rollups read it.
-    made = materialize(windows(own, bits, frequent_hashes(own, bits, least), len(columns)), "windows")
+    made = materialize(windows(own, frequent(own, bits, least), len(columns)), "windows")
     ending = F.col(columns[2]).isNull() if longest > 2 else F.lit(True)
     short = made.where(ending).select("lang", "w1", "w2", "n")
     long = made.where(~ending).groupBy("lang", *columns).agg(F.sum("n").alias("n"))
