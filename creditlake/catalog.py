@@ -21,7 +21,8 @@ from creditlake.plans.publish import run
 from creditlake.schemas import INVOICE_IN_DEBIT
 from creditlake.session import checkpoint_dir
 from creditlake.sources import bindings as B
-from creditlake.sources.csv import read_raw_actions
+from creditlake.operators.ranked import RANK, store_ranked
+from creditlake.sources.csv import read_raw_actions, scan_actions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,9 @@ LOOKUP_ORG = "org_007"
 CS_PAGE = {"engagement_level": "Regular User", "customer_status": "At Risk - Inactive", "limit": 20, "offset": 10}
 EXECUTIVE_PAGE = {"industry": "ASIA", "limit": 3}
 FINANCE_FIRST_PAGE = {"limit": 10}
+CS_OFFSET = 100
+CS_DEEP_PAGE = {"limit": 25, "offset": 700}
+B3_HOT_ROWS = 500
 CS_LOOKUP = {"organization": "NATION_17", "user": "Customer#000000042"}
 
 
@@ -140,6 +144,18 @@ def cs_user_list_page(spark, sf_dir):
     return S.customer_success_page(cs_user_mart(spark, sf_dir), **CS_PAGE)
 
 
+def cs_user_offset_only(spark, sf_dir):
+    """Offset without a limit: all rows from the offset on, by the rank directory."""
+    return S.customer_success_page(cs_user_mart(spark, sf_dir), offset=CS_OFFSET)
+
+
+def cs_user_deep_page(spark, sf_dir):
+    """A page far down a stored ranking, with the rows' ranks from 0."""
+    mart = cs_user_mart(spark, sf_dir)
+    page = store_ranked(mart, S.customer_success_order(mart)).page(**CS_DEEP_PAGE, with_rank=True)
+    return page.withColumnRenamed(RANK, "rank")
+
+
 def executive_list(spark, sf_dir):
     return S.executive_page(executive_summary(spark, sf_dir), **EXECUTIVE_PAGE)
 
@@ -206,6 +222,43 @@ def _messy_csv(spark, sf_dir) -> str:
     return path
 
 
+def _messy_csv_pair(spark, sf_dir) -> list[str]:
+    """Three exports: even events; odd ones with other columns and line ends in quoted fields; a few with too many fields."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/creditlake-csv-{uuid.uuid4().hex}"
+    rows = B.messy_events(spark, sf_dir)
+    keep = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+    rows.where("seq % 2 = 0").orderBy("seq").drop("seq").write.options(**keep).csv(f"{folder}/a")
+    note = F.when(F.col("seq") % 5 == 1, F.concat(F.lit('says "no",\nor '), F.col("seq").cast("string"), F.lit("\n\nnot")))
+    turned = ["timestamp", "credits", "notes", "action", "credit_type", "user_id", "org_id"]
+    rows.withColumn("notes", note).where("seq % 2 = 1").orderBy("seq").select(turned).write.options(**keep).csv(f"{folder}/b")
+    long = rows.where("seq % 50 = 0").withColumn("timestamp", F.when(F.col("seq") % 100 == 0, F.lit("x,y")).otherwise(F.lit("x")))
+    long.drop("seq").write.options(**{**keep, "quote": ""}).csv(f"{folder}/c")
+    return [f"{folder}/a", f"{folder}/b", f"{folder}/c"]
+
+
+def clean_user_actions_from_csv_pair(spark, sf_dir):
+    """S1 over files of two headers, one with records that span lines: scanned in blocks, cleaned."""
+    return _ntz(C.clean(read_raw_actions(spark, _messy_csv_pair(spark, sf_dir)[:2])))
+
+
+def csv_scan_report(spark, sf_dir):
+    """Records and rows of a wrong width of the three exports."""
+    report = scan_actions(spark, _messy_csv_pair(spark, sf_dir)).report()
+    counts = [F.sum(c).alias(c) for c in ("records", "short_rows", "long_rows")]
+    export = F.regexp_extract("file", "/([abc])/[^/]*$", 1).alias("export")
+    return report.groupBy(export).agg(*counts, F.max("unbalanced").alias("unbalanced"))
+
+
+def first_org_per_user_orders(spark, sf_dir):
+    return C.first_org_per_user(C.prepare(B.hot_user_orders(spark, sf_dir)))
+
+
+def single_org_filter_hot_user(spark, sf_dir):
+    """The rule where one user has a third of the rows and the join back shuffles, with salts."""
+    typed = C.prepare(B.hot_user_orders(spark, sf_dir))
+    return _ntz(C.single_org_filter(typed, hot_rows=B3_HOT_ROWS, strategy="shuffle_hash"))
+
+
 def clean_user_actions_rule_twice(spark, sf_dir):
     """The notebook variant: the single-organisation rule again after normalising."""
     raw = B.messy_events(spark, sf_dir)
@@ -323,6 +376,8 @@ QUERIES: dict[str, Query] = {
     "finance_org_lookup": finance_org_lookup,
     "cs_user_list_page": cs_user_list_page,
     "cs_user_lookup": cs_user_lookup,
+    "cs_user_offset_only": cs_user_offset_only,
+    "cs_user_deep_page": cs_user_deep_page,
     "executive_list": executive_list,
     "platform_metrics": platform_metrics,
     "industry_breakdown": industry_breakdown,
@@ -334,6 +389,10 @@ QUERIES: dict[str, Query] = {
     "clean_user_actions_normalise_first": clean_user_actions_normalise_first,
     "clean_user_actions_rule_twice": clean_user_actions_rule_twice,
     "clean_user_actions_from_csv": clean_user_actions_from_csv,
+    "clean_user_actions_from_csv_pair": clean_user_actions_from_csv_pair,
+    "csv_scan_report": csv_scan_report,
+    "first_org_per_user_orders": first_org_per_user_orders,
+    "single_org_filter_hot_user": single_org_filter_hot_user,
     "cleaning_report": cleaning_report,
     "pipeline_run_report": pipeline_run_report,
     "finance_mart_cleaned": finance_mart_cleaned,

@@ -15,21 +15,27 @@ Steps (the original order, which matters):
 ``normalise_first=True`` moves step 5 before step 3 (then ``' ORG_1 '`` and
 ``'org_1'`` are one organisation, and cleaning is idempotent).
 
-The per-user first organisation is an aggregate (``min_by`` with map-side
-combine), not a window, so a user holding a third of all rows never lands whole
-in one task; it is joined back through a size-checked broadcast.
+The per-user first organisation is a hash aggregate with map-side combine: time
+and file order are packed into one decimal whose minimum is taken per (user,
+organisation), so the raw rows are neither sorted nor collected by user. It is
+joined back by ``skew_join``: users of very many rows have their one row
+repeated over salts, so that their rows spread over many tasks when Spark has
+to shuffle (a small side it broadcasts by itself).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditlake.functions.text import normalise_text
 from creditlake.functions.timestamps import NUMBER_RE, parse_mixed_timestamp
-from creditlake.plans.broadcast import bounded_broadcast
+from creditlake.plans.materialize import materialize
+from creditlake.plans.skew import skew_join
 from creditlake.schemas import (
     DEFAULT_CREDIT_TYPE,
     DEFAULT_CREDITS,
@@ -43,7 +49,7 @@ from creditlake.schemas import (
 class CleanOptions:
     normalise_first: bool = False
     meridiem: str = "ignore"
-    broadcast_max_users: int | None = None  # None: the session's broadcast bound
+    hot_rows: int | None = None  # rows of one user that a task may hold; None: the session's bound
     # Off by default, as in the source: keep the first row (file order) per
     # (org_id, user_id, credit_type, timestamp) after cleaning.
     dedup: bool = False
@@ -88,6 +94,54 @@ def prepare(raw: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame
     return df
 
 
+# Microseconds since year 1 fit 18 digits (unparsed: the largest such number); a
+# shifted 64-bit sequence number fits the 20 digits below.
+_UNPARSED = 10**18 - 1
+_YEAR_ONE_MICROS = -62_135_596_800_000_000
+_SEQ_SPAN = Decimal(10**20)
+_SEQ_SHIFT = Decimal(2**63)
+
+
+def packed_order(timestamp: F.Column, number: F.Column) -> F.Column:
+    """(unparsed, timestamp, number) as one decimal(38,0) of the same order.
+
+    A decimal is a mutable aggregation buffer, so its minimum is a hash
+    aggregate; a struct's would sort the rows.
+    """
+    since = F.unix_micros(timestamp) - F.lit(_YEAR_ONE_MICROS).cast("long")
+    high = F.coalesce(since, F.lit(_UNPARSED).cast("long")).cast("decimal(18,0)") * F.lit(_SEQ_SPAN)
+    low = number.cast("decimal(20,0)") + F.lit(_SEQ_SHIFT)
+    return (high + low).cast("decimal(38,0)")
+
+
+def _file_order(df: DataFrame) -> tuple[list[F.Column], F.Column]:
+    """Grouping columns and the number that together give the file order of ``seq``.
+
+    A number is itself; a CSV scan's (file, block, row) groups by file and
+    block, within which rows are numbered.
+    """
+    kind = df.schema["seq"].dataType
+    if isinstance(kind, T.StructType):
+        return [F.col("seq.file").alias("file"), F.col("seq.block").alias("block")], F.col("seq.row")
+    if isinstance(kind, T.IntegralType):
+        return [F.lit("").alias("file"), F.lit(0).cast("long").alias("block")], F.col("seq")
+    raise TypeError(f"seq must be an integer or a (file, block, row) struct, not {kind.simpleString()}")
+
+
+def first_orgs(df: DataFrame, org_breaks_ties: bool = False) -> DataFrame:
+    """W1 with counts: (user_id, first_org, user_rows) for every user with at least one non-null org."""
+    blocks, number = _file_order(df)
+    per_org = (
+        df.where(F.col("user_id").isNotNull() & F.col("org_id").isNotNull())
+        .groupBy("user_id", "org_id", *blocks)
+        .agg(F.min(packed_order(F.col("timestamp"), number)).alias("first"), F.count(F.lit(1)).alias("n"))
+    )
+    moment = F.expr(f"first div {_SEQ_SPAN}")
+    order_key = F.struct(moment, *([F.col("org_id")] if org_breaks_ties else []), "file", "block", "first")
+    # Rows of this second step: one a user, organisation and block.
+    return per_org.groupBy("user_id").agg(F.min_by("org_id", order_key).alias("first_org"), F.sum("n").alias("user_rows"))
+
+
 def first_org_per_user(df: DataFrame, org_breaks_ties: bool = False) -> DataFrame:
     """(user_id, first_org) for every user with at least one non-null org.
 
@@ -95,33 +149,27 @@ def first_org_per_user(df: DataFrame, org_breaks_ties: bool = False) -> DataFram
     ``org_breaks_ties`` the org_id comes before ``seq``: the notebook has sorted
     its rows by (org_id, user_id) before its second pass, and its sorts are stable.
     """
-    order_key = F.struct(
-        F.col("timestamp").isNull().alias("unparsed"),
-        F.col("timestamp").alias("ts"),
-        *([F.col("org_id").alias("org")] if org_breaks_ties else []),
-        F.col("seq").alias("seq"),
-    )
-    return (
-        df.where(F.col("user_id").isNotNull() & F.col("org_id").isNotNull())
-        .groupBy("user_id")
-        .agg(F.min_by("org_id", order_key).alias("first_org"))
-    )
+    return first_orgs(df, org_breaks_ties).drop("user_rows")
 
 
-def annotate_first_org(df: DataFrame, max_users: int | None = None, org_breaks_ties: bool = False) -> DataFrame:
-    """Attach ``first_org`` to every row (NULL when the user has none)."""
-    firsts = bounded_broadcast(first_org_per_user(df, org_breaks_ties), max_users, materialize=True)
-    return df.join(firsts, on="user_id", how="left")
+def annotate_first_org(
+    df: DataFrame, hot_rows: int | None = None, org_breaks_ties: bool = False, strategy: str | None = None
+) -> DataFrame:
+    """Attach ``first_org`` to every row (NULL when the user has none)."""
+    firsts = materialize(first_orgs(df, org_breaks_ties), "first-orgs")
+    return skew_join(df, firsts, "user_id", "user_rows", hot_rows, strategy)
 
 
-def single_org_filter(df: DataFrame, max_users: int | None = None, org_breaks_ties: bool = False) -> DataFrame:
+def single_org_filter(
+    df: DataFrame, hot_rows: int | None = None, org_breaks_ties: bool = False, strategy: str | None = None
+) -> DataFrame:
     """P1 + P2: drop rows without both ids, keep each user's first organisation.
 
     A row kept has both ids, so rows with a missing one never enter the join.
     """
     kept = df.where(F.col("org_id").isNotNull() & F.col("user_id").isNotNull())
     return (
-        annotate_first_org(kept, max_users, org_breaks_ties)
+        annotate_first_org(kept, hot_rows, org_breaks_ties, strategy)
         .where(F.col("org_id") == F.col("first_org"))
         .drop("first_org")
     )
@@ -139,12 +187,12 @@ def finish(df: DataFrame, normalised: bool, keep_seq: bool = False) -> DataFrame
 def clean(raw: DataFrame, options: CleanOptions = CleanOptions(), keep_seq: bool = False) -> DataFrame:
     """Raw text rows (with ``seq``) → ``user_actions`` rows."""
     typed = prepare(raw, options)
-    kept = single_org_filter(typed, options.broadcast_max_users)
+    kept = single_org_filter(typed, options.hot_rows)
     if not (options.dedup or options.rule_again_after_normalise):
         return finish(kept, normalised=options.normalise_first, keep_seq=keep_seq)
     out = finish(kept, normalised=options.normalise_first, keep_seq=True)
     if options.rule_again_after_normalise:
-        out = single_org_filter(out, options.broadcast_max_users, org_breaks_ties=True)
+        out = single_org_filter(out, options.hot_rows, org_breaks_ties=True)
     if options.dedup:
         from creditlake.operators.explore import dedup_actions
 
@@ -166,7 +214,7 @@ def cleaning_report(raw: DataFrame, options: CleanOptions = CleanOptions()) -> D
     dropped_other_org (a second organisation); rows_out.
     """
     typed = prepare(raw, options)
-    annotated = annotate_first_org(typed, options.broadcast_max_users)
+    annotated = annotate_first_org(typed, options.hot_rows)
     org, user = F.col("org_id"), F.col("user_id")
     both_missing = org.isNull() & user.isNull()
     kept = F.coalesce(org == F.col("first_org"), F.lit(False))

@@ -11,24 +11,14 @@ DEDUP_KEYS = ("org_id", "user_id", "credit_type", "timestamp")
 
 
 def distinct_ids(df: DataFrame, columns: Sequence[str] = ("org_id", "user_id")) -> DataFrame:
-    """Every distinct value of each id column, as (id_column, id_value)."""
-    parts = [
-        df.select(F.lit(c).alias("id_column"), F.col(c).cast("string").alias("id_value")).distinct()
-        for c in columns
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Every distinct value of each id column, as (id_column, id_value); one scan for all columns."""
+    ids = F.array(*[F.struct(F.lit(c).alias("id_column"), F.col(c).cast("string").alias("id_value")) for c in columns])
+    return df.select(F.explode(ids).alias("id")).select("id.*").distinct()
 
 
 def distinct_id_counts(df: DataFrame, columns: Sequence[str] = ("org_id", "user_id")) -> DataFrame:
     """Number of distinct values per id column (NULL counts as a value, as in unique())."""
-    aggs = [
-        (F.countDistinct(c) + F.coalesce(F.max(F.col(c).isNull().cast("long")), F.lit(0))).alias(c) for c in columns
-    ]
-    stack = ", ".join(f"'{c}', `{c}`" for c in columns)
-    return df.agg(*aggs).selectExpr(f"stack({len(columns)}, {stack}) as (id_column, n_distinct)")
+    return distinct_ids(df, columns).groupBy("id_column").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
 def dedup_actions(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS, order: str = "seq") -> DataFrame:

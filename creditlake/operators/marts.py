@@ -10,13 +10,15 @@ a mart computed from the rollup equals the mart computed from the fact; a full
 refresh therefore scans the fact once, stores the rollup, and builds all marts
 from it.
 
-Joins with the dimensions happen *after* a first aggregation, so the shuffle
-(when a dimension is too large to broadcast) carries pre-aggregated rows, not
-raw actions. Dimensions are broadcast only behind a row-count check.
+Joins with the dimensions happen *after* a first aggregation, so a shuffle for
+them carries pre-aggregated rows, not raw actions. There is one algorithm for
+every size; whether a dimension is broadcast is Spark's choice by its size.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +36,6 @@ from creditlake.functions.numeric import (
     sum_amount,
     to_amount,
 )
-from creditlake.plans.broadcast import broadcast_columns, check_sizes, fits
 from creditlake.plans.materialize import materialize as materialize_stage
 from creditlake.schemas import ACTION_ADD, ACTION_DEDUCT, DEFAULT_CREDIT_TYPE, SENTINEL_DATE
 
@@ -126,10 +127,6 @@ def non_default_filter() -> Column:
     return F.col("credit_type") != DEFAULT_CREDIT_TYPE
 
 
-def _dimension(df: DataFrame, cols: list[str], max_rows: int | None) -> DataFrame:
-    return broadcast_columns(df, cols, max_rows)
-
-
 # ---------------------------------------------------------------------------
 # A1: customer success daily activity
 # ---------------------------------------------------------------------------
@@ -172,54 +169,34 @@ def finance_org_balance(ua: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def cs_user_mart(
-    ua: DataFrame,
-    organizations: DataFrame,
-    users: DataFrame,
-    as_of=None,
-    max_dim_rows: int | None = None,
-) -> DataFrame:
+def cs_user_mart(ua: DataFrame, organizations: DataFrame, users: DataFrame, as_of=None) -> DataFrame:
     """Inner join on the action's org and user; grouped by names (+ user_id).
 
-    Two organisations with one name and industry merge, as in the original
-    grouping. ``as_of`` replaces CURRENT_DATE (None = today).
+    The ledger is aggregated per (org, user, day) before the joins. Two
+    organisations with one name and industry merge afterwards, as in the
+    original grouping. ``as_of`` replaces CURRENT_DATE (None = today).
     """
-    check_sizes([organizations, users], max_dim_rows)
     led = as_ledger(ua).where(analytics_filter())
-    orgs = _dimension(organizations, ["org_id", "org_name", "industry"], max_dim_rows)
-    usrs = _dimension(users, ["user_id", "user_name", "role", "email"], max_dim_rows)
+    orgs = organizations.select("org_id", "org_name", "industry")
+    usrs = users.select("user_id", "user_name", "role", "email")
     keys = ["org_name", "industry", "user_name", "role", "email", "user_id"]
-    if fits(organizations, max_dim_rows) and fits(users, max_dim_rows):
-        # both broadcast: attach names row by row (no shuffle), aggregate once per day
-        rows = led.join(orgs, "org_id").join(usrs, "user_id")
-        per_day = rows.groupBy(*keys, "activity_date").agg(
-            sum_amount(signed_amount()).alias("net"),
-            sum_amount(added_amount()).alias("purchased"),
-            sum_amount(deducted_amount()).alias("consumed"),
-            F.sum("n").alias("n"),
-            F.sum(F.when(_is_add(), F.col("n")).otherwise(0)).alias("n_add"),
-            F.sum(F.when(_is_deduct(), F.col("n")).otherwise(0)).alias("n_deduct"),
-        )
-    else:
-        # a dimension is too large to broadcast: pre-aggregate, shuffle-join the
-        # aggregated rows, then merge days of organisations that share a name
-        per_org_day = led.groupBy("org_id", "user_id", "activity_date").agg(
-            sum_amount(signed_amount()).alias("net"),
-            sum_amount(added_amount()).alias("purchased"),
-            sum_amount(deducted_amount()).alias("consumed"),
-            F.sum("n").alias("n"),
-            F.sum(F.when(_is_add(), F.col("n")).otherwise(0)).alias("n_add"),
-            F.sum(F.when(_is_deduct(), F.col("n")).otherwise(0)).alias("n_deduct"),
-        )
-        per_day = (
-            per_org_day.join(orgs, "org_id")
-            .join(usrs, "user_id")
-            .groupBy(*keys, "activity_date")
-            .agg(
-                *[sum_amount(c).alias(c) for c in ("net", "purchased", "consumed")],
-                *[F.sum(c).alias(c) for c in ("n", "n_add", "n_deduct")],
-            )
+    per_org_day = led.groupBy("org_id", "user_id", "activity_date").agg(
+        sum_amount(signed_amount()).alias("net"),
+        sum_amount(added_amount()).alias("purchased"),
+        sum_amount(deducted_amount()).alias("consumed"),
+        F.sum("n").alias("n"),
+        F.sum(F.when(_is_add(), F.col("n")).otherwise(0)).alias("n_add"),
+        F.sum(F.when(_is_deduct(), F.col("n")).otherwise(0)).alias("n_deduct"),
+    )
+    per_day = (
+        per_org_day.join(orgs, "org_id")
+        .join(usrs, "user_id")
+        .groupBy(*keys, "activity_date")
+        .agg(
+            *[sum_amount(c).alias(c) for c in ("net", "purchased", "consumed")],
+            *[F.sum(c).alias(c) for c in ("n", "n_add", "n_deduct")],
         )
+    )
     # one row per (user key, day): distinct days are a count of non-NULL days
     grouped = per_day.groupBy(*keys).agg(
         F.min("activity_date").alias("first_activity_date"),
@@ -262,9 +239,7 @@ def cs_user_mart(
 # ---------------------------------------------------------------------------
 
 
-def finance_mart(
-    ua: DataFrame, organizations: DataFrame, max_dim_rows: int | None = None
-) -> DataFrame:
+def finance_mart(ua: DataFrame, organizations: DataFrame) -> DataFrame:
     """Per organisation; actions of orgs missing from the dimension vanish (inner join).
 
     Aggregated per org_id first, then joined: org_id is the dimension's key, so
@@ -279,8 +254,7 @@ def finance_mart(
         sum_amount("amount").alias("amount"),
         F.sum("n_amount").alias("n_amount"),
     )
-    orgs = _dimension(organizations, ["org_id", "org_name", "industry"], max_dim_rows)
-    joined = per_org.join(orgs, "org_id")
+    joined = per_org.join(organizations.select("org_id", "org_name", "industry"), "org_id")
     net = amount_to_double("net")
     return joined.select(
         F.col("org_name").alias("organization"),
@@ -323,20 +297,14 @@ def primary_action_per_org(ua: DataFrame) -> DataFrame:
     )
 
 
-def most_active_user_per_org(
-    ua: DataFrame, users: DataFrame, max_dim_rows: int | None = None
-) -> DataFrame:
+def most_active_user_per_org(ua: DataFrame, users: DataFrame) -> DataFrame:
     """User name with most actions in the org (all rows; one name = one group).
 
-    With users beyond the broadcast bound, counts are taken per (org, user_id)
-    before the shuffle join, so it carries one row per active user instead of
-    one per action. Ties: name ascending.
+    Counts are taken per (org, user_id) before the join, so it carries one row
+    per active user instead of one per action. Ties: name ascending.
     """
-    usrs = _dimension(users, ["user_id", "user_name"], max_dim_rows)
-    if fits(users, max_dim_rows):  # broadcast: name every row, no shuffle before counting
-        return _top_user(_measured(ua).join(usrs, "user_id"))
     per_user = _measured(ua).groupBy("org_id", "user_id").agg(F.sum("n").alias("n"))
-    return _top_user(per_user.join(usrs, "user_id"))
+    return _top_user(per_user.join(users.select("user_id", "user_name"), "user_id"))
 
 
 def _top_user(named: DataFrame) -> DataFrame:
@@ -361,100 +329,61 @@ def _top_user(named: DataFrame) -> DataFrame:
 
 
 def executive_summary(
-    ua: DataFrame,
-    organizations: DataFrame,
-    users: DataFrame,
-    max_dim_rows: int | None = None,
-    materialize: bool = True,
+    ua: DataFrame, organizations: DataFrame, users: DataFrame, materialize: bool = True
 ) -> DataFrame:
     """Per organisation, over non-'default' rows whose org and user are known.
 
     ``first_activity`` skips the 1990-01-01 sentinel; ``last_activity`` does not.
-    The top action (all rows of the org) and the top user name (rows of known
-    users) come from the same pass.
-
-    When the users dimension is within the broadcast bound, the fact is read
-    once: broadcast-joined to user names, then one grouping-sets aggregation
-    produces the (org, user), (org, day), (org, action) and (org, name) grains,
-    and one per-organisation aggregation finishes the summary and both lookups
-    (distinct counts are plain row counts of the first two grains). Otherwise
-    see ``_executive_staged``.
+    The top action is over all rows of the org, the top user name over rows of
+    known users.
+
+    The fact is aggregated once per (org, user, action, kept by the filter,
+    day), and that is stored: it feeds four small aggregates, one a grain
+    (distinct users and days are plain row counts of theirs), and column pruning
+    would otherwise give each a scan of the fact of its own. ``materialize=False``
+    is for an ``ua`` that is stored already, e.g. the daily rollup.
     """
-    check_sizes([organizations, users], max_dim_rows)
-    if fits(users, max_dim_rows):
-        return _executive_one_pass(ua, organizations, users, max_dim_rows)
-    return _executive_staged(ua, organizations, users, max_dim_rows, materialize)
-
-
-def _top1_key(count: Column, value: Column) -> Column:
-    """Ordering for top-1 picks: count descending, then value ascending, NULL first."""
-    return F.struct((-count).alias("neg_cnt"), value.isNotNull().alias("not_null"), value.alias("value"))
-
-
-def _executive_one_pass(
-    ua: DataFrame, organizations: DataFrame, users: DataFrame, max_dim_rows: int | None
-) -> DataFrame:
-    names = F.broadcast(
-        users.select("user_id", "user_name", F.lit(True).alias("known"))
-    )  # within the bound: fits() was checked by the caller
-    rows = (
+    base = (
         as_ledger(ua)
-        .join(names, "user_id", "left")
-        .withColumns(
-            {
-                "known": F.coalesce(F.col("known"), F.lit(False)),
-                "kept": F.coalesce(non_default_filter(), F.lit(False)),
-            }
+        .groupBy(
+            "org_id",
+            "user_id",
+            "action",
+            F.coalesce(non_default_filter(), F.lit(False)).alias("kept"),
+            "activity_date",
+        )
+        .agg(
+            sum_amount("amount").alias("amount"),
+            F.sum("n").alias("n"),
+            F.sum("n_amount").alias("n_amount"),
         )
     )
-    # One grouping-sets aggregation (hash-based, combined map-side) yields:
-    #   per (org, user):   credit sums and counts  -> distinct users = rows
-    #   per (org, day):    one row per active day  -> distinct days, first/last
-    #   per (org, action): counts over all rows    -> top action
-    #   per (org, name):   counts of known users   -> top user name
-    sets = rows.groupingSets(
-        [
-            ["org_id", "user_id", "kept", "known"],
-            ["org_id", "activity_date", "kept", "known"],
-            ["org_id", "action"],
-            ["org_id", "known", "user_name"],
-        ],
-        "org_id", "user_id", "activity_date", "kept", "known", "action", "user_name",
-    ).agg(
+    if materialize:
+        base = materialize_stage(base, "executive-base")
+    named = base.join(users.select("user_id", "user_name"), "user_id")
+    counted = named.where("kept")
+    day = F.col("activity_date")
+    per_user = counted.groupBy("org_id", "user_id").agg(
+        sum_amount("amount").alias("amount"), F.sum("n").alias("n"), F.sum("n_amount").alias("n_amount")
+    )
+    volume = per_user.groupBy("org_id").agg(
+        F.count("user_id").alias("total_users"),
         sum_amount("amount").alias("amount"),
-        F.sum("n").alias("n"),
+        F.sum("n").alias("total_actions"),
         F.sum("n_amount").alias("n_amount"),
-        F.grouping("user_id").alias("g_user"),
-        F.grouping("activity_date").alias("g_day"),
-        F.grouping("action").alias("g_action"),
     )
-    counted = F.col("kept") & F.col("known")
-    user_row = (F.col("g_user") == 0) & counted
-    day = F.col("activity_date")
-    day_row = (F.col("g_day") == 0) & counted & day.isNotNull()  # COUNT(DISTINCT) skips NULL
-    action_row = F.col("g_action") == 0
-    name_row = (F.col("g_user") == 1) & (F.col("g_day") == 1) & (F.col("g_action") == 1) & F.col("known")
-    per_org = (
-        sets.groupBy("org_id")
-        .agg(
-            F.count_if(user_row).alias("total_users"),
-            F.count_if(day_row).alias("active_days"),
-            sum_amount(F.when(user_row, F.col("amount"))).alias("amount"),
-            F.sum(F.when(user_row, F.col("n"))).alias("total_actions"),
-            F.sum(F.when(user_row, F.col("n_amount"))).alias("n_amount"),
-            F.min(F.when(day_row & (day > F.lit(SENTINEL_DATE).cast("date")), day)).alias("first_activity"),
-            F.max(F.when(day_row, day)).alias("last_activity"),
-            F.min_by(F.col("action"), F.when(action_row, _top1_key(F.col("n"), F.col("action")))).alias(
-                "primary_action_type"
-            ),
-            F.min_by(
-                F.col("user_name"), F.when(name_row, _top1_key(F.col("n"), F.col("user_name")))
-            ).alias("most_active_user"),
-        )
-        .where(F.col("total_actions") > 0)
+    days = counted.select("org_id", "activity_date").distinct()
+    span = days.groupBy("org_id").agg(
+        F.count("activity_date").alias("active_days"),  # COUNT(DISTINCT) skips NULL
+        F.min(F.when(day > F.lit(SENTINEL_DATE).cast("date"), day)).alias("first_activity"),
+        F.max(day).alias("last_activity"),
     )
-    orgs = _dimension(organizations, ["org_id", "org_name", "industry"], max_dim_rows)
-    return _executive_output(per_org.join(orgs, "org_id"))
+    # One row an organisation in each of the four: put side by side by a union, not by joins.
+    parts = [volume, span, primary_action_per_org(base), _top_user(named)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    columns = [c for c in stacked.columns if c != "org_id"]
+    per_org = stacked.groupBy("org_id").agg(*[F.max(c).alias(c) for c in columns]).where(F.col("total_actions") > 0)
+    return _executive_output(per_org.join(organizations.select("org_id", "org_name", "industry"), "org_id"))
 
 
 def _executive_output(df: DataFrame) -> DataFrame:
@@ -475,89 +404,25 @@ def _executive_output(df: DataFrame) -> DataFrame:
     )
 
 
-def _executive_staged(
-    ua: DataFrame,
-    organizations: DataFrame,
-    users: DataFrame,
-    max_dim_rows: int | None,
-    materialize: bool,
-) -> DataFrame:
-    """Executive mart when the users dimension is too large to broadcast.
-
-    The fact is pre-aggregated per (org, user, action, kept-by-filter, day), so
-    the shuffle join with users carries aggregated rows. That pre-aggregate
-    feeds the summary and both lookups; column pruning would give each
-    consumer its own copy (three scans of the fact), so with
-    ``materialize=True`` it is written once to the shared checkpoint folder
-    and each consumer reads only its columns (pass False when ``ua`` is
-    already a stored table, e.g. the daily rollup).
-    """
-    base = (
-        as_ledger(ua)
-        .groupBy(
-            "org_id",
-            "user_id",
-            "action",
-            F.coalesce(non_default_filter(), F.lit(False)).alias("kept"),
-            "activity_date",
-        )
-        .agg(
-            sum_amount("amount").alias("amount"),
-            F.sum("n").alias("n"),
-            F.sum("n_amount").alias("n_amount"),
-        )
-    )
-    if materialize:
-        base = materialize_stage(base, "executive-base")
-    usrs = _dimension(users, ["user_id", "user_name"], max_dim_rows)
-    orgs = _dimension(organizations, ["org_id", "org_name", "industry"], max_dim_rows)
-    named = base.join(usrs, "user_id")
-
-    kept = F.col("kept")
-    day = F.col("activity_date")
-    # Grouped per org_id (the dimension's key, so the same groups as grouping by
-    # its name, industry and id); the names are attached after aggregating, and
-    # all three per-org results share one partitioning on org_id.
-    summary = (
-        named.groupBy("org_id")
-        .agg(
-            F.countDistinct(F.when(kept, F.col("user_id"))).alias("total_users"),
-            F.countDistinct(F.when(kept, day)).alias("active_days"),
-            sum_amount(F.when(kept, F.col("amount"))).alias("amount"),
-            F.sum(F.when(kept, F.col("n"))).alias("total_actions"),
-            F.sum(F.when(kept, F.col("n_amount"))).alias("n_amount"),
-            F.min(F.when(kept & (day > F.lit(SENTINEL_DATE).cast("date")), day)).alias("first_activity"),
-            F.max(F.when(kept, day)).alias("last_activity"),
-        )
-        .where(F.col("total_actions") > 0)
-        .join(orgs, "org_id")
-    )
-    top_action = primary_action_per_org(base)
-    top_user = _top_user(named)
-    return _executive_output(
-        summary.join(top_action, "org_id", "left").join(top_user, "org_id", "left")
-    )
-
-
 # ---------------------------------------------------------------------------
 # Read order of each mart (O3-O6); storage order is not a contract
 # ---------------------------------------------------------------------------
 
 def mart_order(mart_name: str) -> list[Column]:
     return {
-    "customer_success_daily_activity": [
-        F.desc_nulls_first("activity_date"),
-        F.asc_nulls_last("org_id"),
-        F.asc_nulls_last("user_id"),
-    ],
-    "finance_org_credit_balance": [F.asc_nulls_last("org_id")],
-    "enhanced_customer_success_view": [
-        F.desc_nulls_first("total_actions"),
-        F.asc_nulls_last("organization"),
-        F.asc_nulls_last("user_name"),
-    ],
-    "enhanced_finance_view": [F.desc_nulls_first("net_credit_balance")],
-    "executive_summary_view": [F.desc_nulls_first("total_credit_volume")],
+        "customer_success_daily_activity": [
+            F.desc_nulls_first("activity_date"),
+            F.asc_nulls_last("org_id"),
+            F.asc_nulls_last("user_id"),
+        ],
+        "finance_org_credit_balance": [F.asc_nulls_last("org_id")],
+        "enhanced_customer_success_view": [
+            F.desc_nulls_first("total_actions"),
+            F.asc_nulls_last("organization"),
+            F.asc_nulls_last("user_name"),
+        ],
+        "enhanced_finance_view": [F.desc_nulls_first("net_credit_balance")],
+        "executive_summary_view": [F.desc_nulls_first("total_credit_volume")],
     }[mart_name]
 
 

@@ -3,7 +3,8 @@
 Filters are Column expressions (never SQL text built from user input). Each
 serving sort ends in a tie-break over the remaining columns, so a page is the
 same on every run. ``limit`` + ``offset`` plan as a top-k (``TakeOrderedAndProject``)
-with no global sort of the mart.
+with no global sort of the mart. An offset without a limit, which Spark would
+gather into one task, goes by a rank directory (``ranked.py``).
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditlake.functions.numeric import exact_mean, exact_sum
+from creditlake.operators.ranked import store_ranked
 from creditlake.schemas import (
     CUSTOMER_SUCCESS_MAX_LIMIT,
     EXECUTIVE_MAX_LIMIT,
@@ -53,7 +55,10 @@ def page(
     limit: int | None,
     offset: int | None,
 ) -> DataFrame:
-    out = df.orderBy(*order, *_tie_break(df, order_names))
+    by = [*order, *_tie_break(df, order_names)]
+    if offset and not limit:
+        return store_ranked(df, by).page(offset=int(offset))
+    out = df.orderBy(*by)
     if offset:
         out = out.offset(int(offset))
     if limit:
@@ -61,6 +66,12 @@ def page(
     return out
 
 
+def customer_success_order(mart: DataFrame) -> list[Column]:
+    """The total order of ``customer_success_page``, for ``store_ranked``."""
+    names = ["total_actions", "organization", "user_name", "user_email"]
+    return [F.desc_nulls_first(names[0]), *[F.asc_nulls_first(c) for c in names[1:]], *_tie_break(mart, names)]
+
+
 def finance_page(
     mart: DataFrame,
     invoice_status: str | None = None,

@@ -19,8 +19,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from creditlake.session import checkpoint_dir
 
@@ -36,24 +35,18 @@ def _stage_database(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` once and return a DataFrame over the stored rows (row count remembered)."""
-    from creditlake.plans.broadcast import remember_row_count
-
+    """Write ``df`` once and return a DataFrame over the stored rows."""
     spark = df.sparkSession
-    rows = Observation(f"rows_{label}_{uuid.uuid4().hex}")
-    observed = df.observe(rows, F.count(F.lit(1)).alias("rows"))
     scope = _SCOPE.get()
     if scope is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/creditlake-{label}-{uuid.uuid4().hex}"
-        observed.write.mode("errorifexists").parquet(path)
-        stored = spark.read.schema(df.schema).parquet(path)
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
     else:
         name = f"{_stage_database(spark)}.{label.replace('-', '_')}_{uuid.uuid4().hex}"
-        observed.write.mode("errorifexists").format("parquet").saveAsTable(name)
+        df.write.mode("errorifexists").format("parquet").saveAsTable(name)
         scope.append(name)
-        stored = spark.table(name)
-    remember_row_count(stored, rows.get["rows"])
-    return stored
+        return spark.table(name)
 
 
 @contextmanager

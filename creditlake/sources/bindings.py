@@ -5,7 +5,8 @@ organisation; organisations come from ``nation`` + ``region``, users from
 ``customer``. B2 (events): the fact is ``events`` folded onto 20 users (customer keys 0-19)
 and 10 organisations (nation keys 0-9); the dimensions are the same whole
 tables as in B1. B2m: B2 rendered as the messy raw text a CSV export would
-hold, to drive the cleaning step. Every binding reads whole tables, so its work
+hold, to drive the cleaning step. B3: raw rows from ``orders`` with one user who
+has a third of them. Every binding reads whole tables, so its work
 grows with the scale factor.
 """
 
@@ -210,3 +211,18 @@ def messy_events_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
     """B2m raw rows with the B2 dimensions (fact still needs cleaning)."""
     dims = events_ledger(spark, sf_dir)
     return Ledger(messy_events(spark, sf_dir), lambda: dims.organizations, lambda: dims.users, B2_AS_OF)
+
+
+def hot_user_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text rows from orders, users growing with the data; one user holds a third of all rows."""
+    orders = read_parquet_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return orders.select(
+        org_key(k % 7).alias("org_id"),
+        F.when(k % 3 == 0, user_key(F.lit(0))).otherwise(user_key(F.col("o_custkey"))).alias("user_id"),
+        F.lower("o_orderpriority").alias("credit_type"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("add")).otherwise(F.lit("deduct")).alias("action"),
+        F.col("o_totalprice").cast("string").alias("credits"),
+        F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        k.alias("seq"),
+    )

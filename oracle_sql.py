@@ -366,6 +366,14 @@ def _queries() -> dict[str, str]:
         f"user_name ASC NULLS FIRST, user_email ASC NULLS FIRST, {_tie(CS_COLS, cs_used)}\n"
         f"  LIMIT 20 OFFSET 10"
     )
+    cs_order = (
+        f"total_actions DESC NULLS FIRST, organization ASC NULLS FIRST, user_name ASC NULLS FIRST, "
+        f"user_email ASC NULLS FIRST, {_tie(CS_COLS, cs_used)}"
+    )
+    q["cs_user_offset_only"] = _b1(f"SELECT * FROM ({cs_b1}) ORDER BY {cs_order} OFFSET 100")
+    q["cs_user_deep_page"] = _b1(
+        f"SELECT *, row_number() OVER (ORDER BY {cs_order}) - 1 AS rank FROM ({cs_b1}) ORDER BY rank LIMIT 25 OFFSET 700"
+    )
     q["executive_list"] = _b1(
         f"SELECT * FROM ({ex_b1}) WHERE industry = 'ASIA'\n"
         f"  ORDER BY total_credit_volume DESC NULLS FIRST, organization ASC NULLS FIRST, "
@@ -425,6 +433,26 @@ def _queries() -> dict[str, str]:
          CASE WHEN total_records = 0 THEN 'empty' WHEN total_records < 10 THEN 'low_count'
               ELSE 'passed' END AS verdict
   FROM ({run_counts})"""
+    q["clean_user_actions_from_csv_pair"] = _with(
+        B2M, TYPED, _firsts("b2m_typed", "b2m_first", "seq % 2, seq"), _kept("b2m_typed", "b2m_first", "b2m_kept"), CLEAN
+    ) + 'SELECT org_id, user_id, credit_type, action, credits, "timestamp" FROM b2m_clean'
+    q["csv_scan_report"] = """
+  SELECT export, CAST(COUNT(*) AS BIGINT) AS records, CAST(0 AS BIGINT) AS short_rows,
+         CAST(COUNT(*) FILTER (WHERE export = 'c' AND event_id % 100 = 0) AS BIGINT) AS long_rows, FALSE AS unbalanced
+  FROM (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS export FROM events
+        UNION ALL SELECT event_id, 'c' FROM events WHERE event_id % 50 = 0)
+  GROUP BY export"""
+    b3 = """
+b3 AS (
+  SELECT 'org_' || lpad(CAST(o_orderkey % 7 AS VARCHAR), 3, '0') AS org_id,
+         'user_' || CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS user_id,
+         lower(o_orderpriority) AS credit_type, CASE WHEN o_orderstatus = 'F' THEN 'add' ELSE 'deduct' END AS action,
+         CAST(o_totalprice AS DOUBLE) AS credits, CAST(o_orderdate AS TIMESTAMP) AS "timestamp", o_orderkey AS seq
+  FROM orders)"""
+    q["first_org_per_user_orders"] = _with(b3, _firsts("b3", "b3_first")) + "SELECT user_id, first_org FROM b3_first"
+    q["single_org_filter_hot_user"] = _with(b3, _firsts("b3", "b3_first"), _kept("b3", "b3_first", "b3_kept")) + (
+        'SELECT org_id, user_id, credit_type, action, credits, "timestamp", seq FROM b3_kept'
+    )
     q["cleaning_report"] = _with(B2M, TYPED, _firsts("b2m_typed", "b2m_first")) + """
   SELECT CAST(COUNT(*) AS BIGINT) AS rows_in,
          CAST(COUNT(*) FILTER (WHERE t.org_id IS NULL AND t.user_id IS NULL) AS BIGINT) AS dropped_missing_ids,

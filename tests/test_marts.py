@@ -297,8 +297,8 @@ def test_executive_null_timestamp_counts_as_action_not_day(spark):
         ("o1", "u1", "t", "add", 2.0, dt.datetime(2024, 1, 2)),
     ]
     ua = spark.createDataFrame(rows, ddl)
-    for cap in (250_000, 1):  # one-pass and staged paths
-        r = M.executive_summary(ua, _orgs(spark), _users(spark), max_dim_rows=cap).collect()[0]
+    for stored in (True, False):
+        r = M.executive_summary(ua, _orgs(spark), _users(spark), materialize=stored).collect()[0]
         assert (r.total_actions, r.active_days, r.total_credit_volume) == (2, 1, 3.0)
         assert (r.first_activity, r.last_activity) == (dt.date(2024, 1, 2), dt.date(2024, 1, 2))
 

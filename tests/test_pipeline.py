@@ -45,17 +45,6 @@ def test_csv_scan_reads_text_and_nulls_tokens(spark, csv_path):
     assert rows[2].credit_type is None and rows[4].org_id is None and rows[4].timestamp is None
 
 
-def test_csv_quoted_newline_needs_multiline(spark, scratch):
-    path = os.path.join(scratch, "multiline.csv")
-    with open(path, "w") as fh:
-        fh.write('org_id,user_id,credit_type,action,credits,timestamp\n')
-        fh.write('org_1,user_1,"two\nlines",add,1,2024-01-01 00:00:00\n')
-        fh.write('org_1,user_1,t,add,2,2024-01-02 00:00:00\n')
-    rows = read_raw_actions(spark, path, multiline=True).orderBy("seq").collect()
-    assert [r.credit_type for r in rows] == ["two\nlines", "t"]
-    assert [r.credits for r in rows] == ["1", "2"]
-
-
 def test_clean_from_csv(spark, csv_path):
     out = sorted(
         (r.org_id, r.user_id, r.credit_type, r.action, r.credits, str(r.timestamp))

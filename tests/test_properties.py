@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from creditlake.operators import marts as M
-from creditlake.operators.clean import clean, first_org_per_user, prepare
+from creditlake.operators.clean import clean, first_org_per_user, prepare, single_org_filter
 from conftest import FACT_DDL, ORGS_DDL, USERS_DDL, raw_rows
 
 ORGS = [("o1", "One", "Tech"), ("o2", "Two", "Tech"), ("o3", "Three", "Retail")]
@@ -100,8 +102,8 @@ def test_hot_user_with_a_third_of_rows(spark):
     assert set(balance) == {"o1", "o2"}
 
 
-def test_results_identical_beyond_the_broadcast_bound(spark):
-    """With the bound forced to one row, every dimension join is a shuffle join."""
+def test_results_identical_without_broadcasts(spark):
+    """One algorithm: with broadcasting off every join shuffles, and the results are the same."""
     rows = [
         ("o1", "u0", "t1", "add", 2.5, dt.datetime(2024, 1, 1)),
         ("o1", "u1", "t2", "deduct", 1.25, dt.datetime(2024, 1, 2)),
@@ -111,36 +113,51 @@ def test_results_identical_beyond_the_broadcast_bound(spark):
     ]
     ua = spark.createDataFrame(rows, FACT_DDL)
     orgs = spark.createDataFrame(ORGS, ORGS_DDL)
-    users = spark.createDataFrame(USERS, USERS_DDL)
-    builds = (
-        lambda cap: M.finance_mart(ua, orgs, max_dim_rows=cap),
-        lambda cap: M.cs_user_mart(ua, orgs, users, "2024-01-05", max_dim_rows=cap),
-        lambda cap: M.executive_summary(ua, orgs, users, max_dim_rows=cap),
-        lambda cap: M.most_active_user_per_org(ua, users, max_dim_rows=cap),
-    )
-    raw = raw_rows(spark, [("o1", "u1", "t", "add", "1", "2024-01-02 00:00:00"),
-                           ("o2", "u1", "t", "add", "1", "2024-01-01 00:00:00"),
-                           ("o1", "u2", "t", "add", "1", None)])
-    expected = [sorted(build(250_000).collect()) for build in builds]
-    expected_clean = sorted(clean(raw).collect())
+    for users in (USERS, [*USERS, USERS[0]]):  # also with a repeated user_id
+        usrs = spark.createDataFrame(users, USERS_DDL)
+        builds = (
+            lambda: M.finance_mart(ua, orgs),
+            lambda usrs=usrs: M.cs_user_mart(ua, orgs, usrs, "2024-01-05"),
+            lambda usrs=usrs: M.executive_summary(ua, orgs, usrs),
+            lambda usrs=usrs: M.most_active_user_per_org(ua, usrs),
+        )
+        expected = [sorted(build().collect()) for build in builds]
+        with broadcasts_off(spark):
+            for build, want in zip(builds, expected):
+                shuffled = build()
+                plan = shuffled._jdf.queryExecution().sparkPlan().toString()
+                assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+                assert sorted(shuffled.collect()) == want
+
+
+def test_a_hot_user_spans_many_tasks(spark):
+    """A user with a third of all rows is dealt out by salts when the join back shuffles."""
+    raw = raw_rows(spark, [("o1" if i % 3 else "o2", "hot" if i % 3 == 0 else f"u{i % 50}", "t", "add", "1", None) for i in range(3000)])
+    typed = prepare(raw)
+    want = sorted(single_org_filter(typed).collect(), key=lambda r: r.seq)
+    with broadcasts_off(spark):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            kept = single_org_filter(typed, hot_rows=50, strategy="shuffle_hash")
+            assert "ShuffledHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
+            spread = kept.where("user_id = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+            assert len(spread) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+            assert sorted(kept.collect(), key=lambda r: r.seq) == want
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@contextmanager
+def broadcasts_off(spark):
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     saved = {k: spark.conf.get(k, None) for k in keys}
     try:
-        for k in keys:  # leave only the library's own broadcast decisions
+        for k in keys:
             spark.conf.set(k, "-1")
-        for build, want in zip(builds, expected):
-            small = build(1)
-            plan = small._jdf.queryExecution().sparkPlan().toString()
-            assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
-            assert sorted(small.collect()) == want
-        from creditlake.operators.clean import CleanOptions
-        assert sorted(clean(raw, CleanOptions(broadcast_max_users=1)).collect()) == expected_clean
+        yield
     finally:
         for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 _raw_row = st.tuples(
@@ -162,17 +179,3 @@ def test_cleaning_does_not_depend_on_order_or_partitioning(spark, rows, parts):
         return sorted(df.collect(), key=lambda r: r.seq)
 
     assert by_seq(clean(raw, keep_seq=True)) == by_seq(clean(shuffled, keep_seq=True))
-
-
-def test_broadcast_bound_comes_from_the_session(spark):
-    from creditlake.plans.broadcast import BOUND_CONF, DEFAULT_MAX_ROWS, broadcast_bound, fits
-
-    assert broadcast_bound(spark, 7) == 7
-    assert broadcast_bound(spark) == DEFAULT_MAX_ROWS
-    spark.conf.set(BOUND_CONF, "2")
-    try:
-        assert broadcast_bound(spark) == 2
-        assert not fits(spark.range(3))
-        assert fits(spark.range(2))
-    finally:
-        spark.conf.unset(BOUND_CONF)
