@@ -19,9 +19,13 @@ first a likely partner of each class, then all candidates that are not
 connected yet.
 
 Nulls: a null or empty text has the empty set and is linked with nothing. Rows
-with one id are one document; rows without an id connect no other documents,
-are never a component's smallest and all report the least of their components. Repeated rows are equal. Empty tables give empty
-results; other columns are ignored.
+with one id are one document. Rows without an id are one document for each
+distinct text, never a component's smallest while another has an id; a
+component without any id reports null. Repeated rows are equal, and one text
+stands for a class however many rows have it. Ties: of equal candidates the
+smaller class goes first. A very long text is one row. Empty tables give empty
+results; other columns are ignored, and ``keep_one`` passes them through under
+any name.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditlake.llm.common import kept, shipped, spread_lookup
+from creditlake.llm.common import kept, shipped, spread_lookup, whole
 from creditlake.llm.components import components
 from creditlake.llm.grams import Texts, U, batches, chained, joined, mixed, word_units
 from creditlake.llm.repeats import cut_by, group_heads
@@ -53,7 +57,8 @@ LAST = 10_000
 RARE = 32
 HOT = 1_000
 LIKELY = 0.85
-NO_ID = (1 << 63) - 1
+#: Ids from here on are made from the text of a row without one.
+MADE_ID = 1 << 62
 _random = np.random.default_rng(77)
 FACTORS = _random.integers(0, 2**63, VALUES, dtype=U) * U(2) + U(1)
 SIGNED = "id long, n int, cls long, cls2 long, sig binary, keys array<long>"
@@ -112,9 +117,15 @@ def signatures(value: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
     return cls, cls2, (low & U(0xFF)).astype(np.uint8), keys
 
 
+def own_id(doc_id: str, text: str) -> Column:
+    """The id of a row; one made from its text if it has none."""
+    made = F.xxhash64(whole(F.col(text))).bitwiseAND(F.lit(MADE_ID - 1).cast("long")) + F.lit(MADE_ID).cast("long")
+    return F.coalesce(F.col(doc_id).cast("long"), made)
+
+
 def signed_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     shipped(docs.sparkSession)
-    own = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).cast("string").alias("text"))
+    own = docs.select(own_id(doc_id, text).alias("id"), F.col(text).cast("string").alias("text"))
 
     def sign(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows:
@@ -315,6 +326,27 @@ def crowd_links(crowd: DataFrame, texts: DataFrame, rare: int = RARE) -> DataFra
         rare *= 16
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(cls, text): one text for each of the classes ``wanted`` (cls, rep), where rep is the id of a row of the class.
+
+    An id may have rows of several classes and a class many rows, so a row's
+    class is found again, and rows of a class are combined where they are read.
+    """
+    own = docs.select(own_id(doc_id, text).alias("rep"), F.col(text).cast("string").alias("text"))
+    rows = own.join(wanted.select("rep").distinct(), "rep", "left_semi").select("text")
+
+    def classed(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in batches_:
+            for at in range(0, row.num_rows, 256):
+                part = row.slice(at, 256)
+                value, begins = sets(Texts.of(part.column("text")))
+                cls = pa.array(class_hashes(value, begins)[0].view(np.int64))
+                yield pa.RecordBatch.from_arrays([cls, part.column("text")], ["cls", "text"])
+
+    found = rows.mapInArrow(classed, "cls long, text string").join(wanted.select("cls").distinct(), "cls", "left_semi")
+    return kept(found.groupBy("cls").agg(F.min("text").alias("text")))
+
+
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough; ``texts`` has (cls, text)."""
 
@@ -335,8 +367,8 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return kept(pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(similar, "a long, b long").distinct())
 
 
-def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
+def found_components(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, n_shingles, component) of every row; ids from MADE_ID on stand for rows without one."""
     rows = signed_rows(docs, doc_id, text)
     first = F.min_by(F.struct("sig", "keys"), "id")
     classes = kept(
@@ -345,10 +377,9 @@ def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     pairs, crowd = forest_pairs(classes)
     crowd = crowd.join(classes.select("cls", "rep", "n"), "cls")
     wanted = pairs.select(F.col("a").alias("cls"), F.col("ra").alias("rep")).union(pairs.select("b", "rb")).union(crowd.select("cls", "rep")).distinct()
-    own = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("rep"), F.col(text).cast("string").alias("text"))
-    texts = kept(own.join(wanted, "rep").select("cls", "text"))
+    texts = texts_of(docs, wanted, doc_id, text)
     # Rows of one document that are in several classes connect these.
-    named_rows = rows.where((F.col("n") > 0) & (F.col("id") != NO_ID))
+    named_rows = rows.where((F.col("n") > 0) & (F.col("id") < MADE_ID))
     several = named_rows.groupBy("id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z")
     ties = named_rows.join(several, "id").select("a", F.col("cls").alias("b")).where("a <> b").distinct()
 
@@ -374,16 +405,24 @@ def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     label = F.coalesce("label", "cls")
     least = named.groupBy(label.alias("label")).agg(F.min("id").alias("component"))
     by_class = kept(named.select("cls", label.alias("label")).distinct().join(least, "label").select("cls", "component"))
-    out = rows.join(by_class, "cls", "left").withColumn("component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")))
-    # Rows without an id connect nothing; they report the least of their components.
-    unnamed = out.where((F.col("n") > 0) & (F.col("id") == NO_ID)).agg(F.min("component").alias("unnamed"))
-    reported = F.when((F.col("n") > 0) & (F.col("id") == NO_ID), F.col("unnamed")).otherwise(F.col("component"))
-    out = out.crossJoin(F.broadcast(unnamed)).withColumn("component", reported)
-    real = [F.when(F.col(c) != NO_ID, F.col(c)) for c in ("id", "component")]
-    return out.select(real[0].alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), real[1].alias("component_id"))
+    # Empty texts share a class but no link; they don't go through the join.
+    out = rows.where("n > 0").join(by_class, "cls", "left").select("id", "n", "component")
+    out = out.unionByName(rows.where("n = 0").select("id", "n", F.col("id").alias("component")))
+    return out.select("id", F.col("n").cast("long").alias("n_shingles"), "component")
+
+
+def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
+    found = found_components(docs, doc_id, text)
+    real = [F.when(F.col(c) < MADE_ID, F.col(c)) for c in ("id", "component")]
+    return found.select(real[0].alias("doc_id"), "n_shingles", real[1].alias("component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are the smallest of their component, or have no id."""
-    found = near_components(docs, doc_id, text).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, F.col(doc_id).cast("long") == F.col("__id"), "left_semi").unionByName(docs.where(F.col(doc_id).isNull()))
+    """The rows of ``docs`` that are the smallest of their component; of equal rows without an id, one."""
+    found = found_components(docs, doc_id, text).where("id = component").select("id").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own_id(doc_id, text).alias("id"))
+    stay = rows.join(found, "id", "left_semi")
+    named = stay.where(F.col("id") < MADE_ID)
+    unnamed = stay.where(F.col("id") >= MADE_ID).dropDuplicates(["id"])
+    return named.unionByName(unnamed).select("row.*")

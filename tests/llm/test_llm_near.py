@@ -54,7 +54,7 @@ def test_components_match_brute_force(spark, monkeypatch, seed, split):
 def test_rows_without_id_and_empty_tables(spark):
     rows = [(None, "a b c d e f", "x", 1), (5, "a b c d e f", "x", 1), (None, "q r s t u v", "x", 1)]
     found = sorted(((r[0], r[1], r[2]) for r in near_dedup.near_components(spark.createDataFrame(rows, DDL)).collect()), key=repr)
-    assert found == [(5, 2, 5), (None, 2, 5), (None, 2, 5)]
+    assert found == [(5, 2, 5), (None, 2, 5), (None, 2, None)]
     none = spark.createDataFrame([], DDL)
     assert near_dedup.near_components(none).count() == 0
     assert near_dedup.keep_one(none).columns == none.columns
@@ -78,3 +78,32 @@ def test_candidates_grow_with_the_rows_only(spark):
     """Equal sets make one class, so copies make no pairs at all."""
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("a b c d e f g h").alias("text"))
     assert near_dedup.near_components(docs).where("component_id <> 0").count() == 0
+
+
+def test_texts_travel_once_a_class(spark, monkeypatch):
+    """Rows without an id and repeated rows do not multiply the pairs of texts that are compared."""
+    compared, confirm = [], near_dedup.confirm
+
+    def counted(pairs, texts):
+        assert texts.groupBy("cls").count().where("count > 1").isEmpty()
+        compared.append((pairs.count(), texts.count()))
+        return confirm(pairs, texts)
+
+    monkeypatch.setattr(near_dedup, "confirm", counted)
+    base = [f"w{k}" for k in range(60)]
+    near = [" ".join([*base, f"x{k}"]) for k in range(40)]
+    for rows in ([(k, t) for k, t in enumerate(near)], [(None, t) for t in near] * 2, [(1, near[0]), (2, near[1])] * 300):
+        compared.clear()
+        found = near_dedup.near_components(spark.createDataFrame([(*r, "x", 1) for r in rows], DDL).repartition(4)).collect()
+        assert len(found) == len(rows) and len({r["component_id"] for r in found}) == 1
+        assert all(n <= len(set(near)) for _, n in compared) and sum(p for p, _ in compared) < 40 * 40
+
+
+def test_one_of_the_copies_without_an_id_stays(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(None, text, "x", 1), (None, text, "y", 2), (None, text + " more", "z", 3), (None, "", "e", 4), (None, None, "n", 5), (None, "q r s t u v", "q", 6)]
+    kept = near_dedup.keep_one(spark.createDataFrame(rows, DDL)).collect()
+    texts = [r[1] for r in kept]
+    assert sum((t or "").startswith("w0") for t in texts) == 1 and "q r s t u v" in texts and len(kept) == 3
+    clash = spark.createDataFrame([(1, text, "a", 1), (2, text, "b", 2)], "doc_id long, text string, __id string, row int")
+    assert [tuple(r) for r in near_dedup.keep_one(clash).collect()] == [(1, text, "a", 1)]

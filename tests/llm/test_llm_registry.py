@@ -34,7 +34,7 @@ def rows_of(df):
 
 
 def test_every_operator_is_registered():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in entry.queries()) == 1
     assert "pipeline" in entry.queries()
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "substring_dedup", "mixing", "bpe"]
@@ -141,7 +141,7 @@ def test_odd_tables(spark, tmp_path, empty):
     }
     for name, t in tables.items():
         pq.write_table(t, tmp_path / f"{name}.parquet")
-    rows = {"op1_revisits": 2, "op10_reply_trees": 3, "pipeline": None}
+    rows = {"op1_revisits": 2, "op10_reply_trees": 3, "op11_rollup_phrases": 0, "op12_prefix_trie": 2, "pipeline": None}
     for name in [*queries.QUERIES, "pipeline"]:
         n = entry.queries()[name](spark, str(tmp_path)).count()
         want = rows.get(name, len(docs))
