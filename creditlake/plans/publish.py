@@ -33,7 +33,7 @@ from creditlake.operators.quality import (
     table_check,
 )
 from creditlake.plans.materialize import stage_scope
-from creditlake.schemas import MART_CONTRACTS, MART_KEYS, ORGANIZATIONS, USER_ACTIONS, USERS
+from creditlake.schemas import MART_CONTRACTS, MART_KEYS, MART_NOT_NULL, ORGANIZATIONS, USER_ACTIONS, USERS
 from creditlake.sources.csv import read_raw_actions
 from creditlake.sources.dimensions import organizations_from, users_from
 
@@ -163,9 +163,13 @@ def publish_marts(
     marts: Mapping[str, DataFrame],
     database: str | None = None,
     parallel: bool = True,
+    strict_nulls: bool = True,
 ) -> dict[str, DataFrame]:
     """Publish marts with their contracts and keys; independent marts run as concurrent jobs.
 
+    With ``strict_nulls`` a NULL in a column that served rows must have (P12)
+    fails the mart; such NULLs are counted while it is written.
+
     Each publish writes its own version table and swaps only its own view, so
     the jobs share nothing but their inputs; concurrent jobs keep the cluster
     busy through each other's small tail stages.
@@ -175,6 +179,7 @@ def publish_marts(
         return publish(
             spark, marts[name], name, database,
             contract=MART_CONTRACTS[name], unique_keys=MART_KEYS.get(name, ()),
+            not_null=MART_NOT_NULL.get(name, ()) if strict_nulls else (),
         )
 
     if not parallel or len(marts) < 2:
@@ -199,6 +204,7 @@ def run(
     database: str | None = None,
     options: CleanOptions = CleanOptions(),
     parallel: bool = True,
+    strict_nulls: bool = True,
 ) -> RunResult:
     """CSV → clean fact → daily rollup → five marts, each stage a stored table."""
     result = RunResult()
@@ -210,7 +216,7 @@ def run(
     rollup = publish(spark, M.daily_rollup(fact), ROLLUP_TABLE, database)
     result.tables[ROLLUP_TABLE] = rollup
     marts = build_marts(rollup, orgs, usrs, as_of, rolled_up=True)
-    result.tables.update(publish_marts(spark, marts, database, parallel))
+    result.tables.update(publish_marts(spark, marts, database, parallel, strict_nulls))
     result.report = table_check({n: result.tables[n] for n in (FACT_TABLE, *MART_NAMES)})
     return result
 
@@ -221,6 +227,7 @@ def refresh_marts(
     as_of=None,
     database: str | None = None,
     parallel: bool = True,
+    strict_nulls: bool = True,
 ) -> dict[str, DataFrame]:
     """Recompute marts from the currently published fact and dimensions.
 
@@ -237,5 +244,5 @@ def refresh_marts(
     usrs = spark.table(_qualified("users", database))
     rollup = publish(spark, M.daily_rollup(fact), ROLLUP_TABLE, database)
     marts = build_marts(rollup, orgs, usrs, as_of, rolled_up=True)
-    return publish_marts(spark, {name: marts[name] for name in names}, database, parallel)
+    return publish_marts(spark, {name: marts[name] for name in names}, database, parallel, strict_nulls)
 

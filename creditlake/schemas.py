@@ -197,3 +197,10 @@ MART_CONTRACTS = {
     "enhanced_finance_view": FINANCE_MART,
     "executive_summary_view": EXECUTIVE_SUMMARY,
 }
+
+# Columns that a served row must have (P12): all but the optional ones. Checked while a mart is written.
+SERVED_OPTIONAL = {"enhanced_customer_success_view": ("avg_daily_usage",)}
+MART_NOT_NULL = {
+    name: tuple(f.name for f in MART_CONTRACTS[name].fields if f.name not in SERVED_OPTIONAL.get(name, ()))
+    for name in ("enhanced_customer_success_view", "enhanced_finance_view", "executive_summary_view")
+}

@@ -9,10 +9,10 @@ import pytest
 from creditlake.operators import marts as M
 from creditlake.operators.clean import clean
 from creditlake.operators.quality import DataQualityError
-from creditlake.plans.publish import MART_NAMES, publish, refresh_marts, run
+from creditlake.plans.publish import MART_NAMES, publish, publish_marts, refresh_marts, run
 from creditlake.sources.csv import read_raw_actions
 from creditlake.sources.tables import read_table
-from conftest import ORGS_DDL, USERS_DDL
+from conftest import ORGS_DDL, USERS_DDL, fact_rows
 
 CSV = '''org_id,user_id,credit_type,action,credits,timestamp,notes
 org_1,user_1,Type_A,add,10,2024-01-05 10:00:00,"a ""quoted"", note"
@@ -126,3 +126,21 @@ def test_refresh_marts_recomputes_from_the_published_fact(spark, csv_path):
     assert after == {**before, "org_2": before["org_2"] + 4.0}
     with pytest.raises(ValueError):
         refresh_marts(spark, ["no_such_mart"])
+
+
+def test_served_columns_must_not_be_null(spark):
+    """A NULL that a served row may not have fails the publish and leaves the old version."""
+    rows = [("o1", "u1", "t", "add", 2.0, "2024-01-02"), ("o2", "u1", "t", "add", 1.0, "2024-01-03")]
+    fact = fact_rows(spark, rows)
+    good = M.finance_mart(fact, spark.createDataFrame([("o1", "One", "Tech")], ORGS_DDL))
+    bad = M.finance_mart(fact, spark.createDataFrame([("o1", "One", "Tech"), ("o2", "Two", None)], ORGS_DDL))
+    publish_marts(spark, {"enhanced_finance_view": good})
+    with pytest.raises(DataQualityError, match="industry"):
+        publish_marts(spark, {"enhanced_finance_view": bad})
+    assert [r.org_id for r in spark.table("enhanced_finance_view").collect()] == ["o1"]
+    publish_marts(spark, {"enhanced_finance_view": bad}, strict_nulls=False)
+    assert spark.table("enhanced_finance_view").count() == 2
+    users = spark.createDataFrame([("u1", "Ann", "a@x", "o1", "admin")], USERS_DDL)
+    no_usage = M.cs_user_mart(fact.withColumn("timestamp", fact.timestamp), spark.createDataFrame([("o1", "One", "Tech")], ORGS_DDL), users, "2024-01-31")
+    publish_marts(spark, {"enhanced_customer_success_view": no_usage})
+    assert spark.table("enhanced_customer_success_view").count() == 1
