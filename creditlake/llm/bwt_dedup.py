@@ -15,8 +15,11 @@ compressed bytes are sent; hashes and anchors are derived from the bytes again.
 
 Nulls: a null text is the empty one; a null id counts as less than any other.
 Rows with one id do not cost each other bytes, and equal rows get equal
-results. Texts of fewer than 50 bytes stay whole. Empty tables give empty
-results; other columns pass through under any name.
+results. Texts of fewer than 50 bytes stay whole; a very long text is one row,
+worked on in batches. Of equal strings the least id keeps its own, wherever in
+the document they are. Empty tables give empty results; other columns pass
+through, but for the names __part, __id, __text, __n_bytes, __n_removed,
+__n_spans and __kept, which are taken.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ occur in a text, and taking one backslash away gives the text back.
 Nulls: a null text or role is the empty one. Repeated rows are turns of their
 own; ties in the turn are ordered by role and text. Rows without a conversation
 id form one conversation. A message whose parent is unknown is a root; messages
-on a cycle have no root and appear in no path. Empty tables give an empty
+on a cycle have no root and appear in no path. A very long text is escaped as
+any other, and a path's texts meet in one row. Empty tables give an empty
 result; other columns are ignored.
 """
 

@@ -8,7 +8,9 @@ containment of two documents and the number of distinct shingles.
 A text of fewer than five words has its whole word sequence as one shingle; a
 text without words, or null, has the empty sketch. Two empty sketches resemble
 each other fully, an empty and another one not at all. Repeated rows get equal
-fingerprints; empty tables give empty results; other columns are ignored.
+fingerprints, and equal hashes count once; a very long text is one row, all of
+whose shingles are hashed; empty tables give empty results; other columns are
+ignored.
 """
 
 from __future__ import annotations

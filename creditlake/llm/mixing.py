@@ -8,7 +8,9 @@ probability equal to the fraction, drawn from a hash of the seed and its id.
 Nulls: a null source is a source of its own, last in order; a null text has
 size 0; a null id draws as the text "null". Repeated rows with one id draw
 alike. A source without words has target 0 and rate 0. An empty table gives an
-empty result. Other columns pass through under any name.
+empty result. A very long text counts as any other: a document goes whole or
+not at all. Ties need no order: sources are told apart by name. Other columns
+pass through, but for the names __mix and __source, which are taken.
 """
 
 from __future__ import annotations

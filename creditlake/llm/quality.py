@@ -11,7 +11,9 @@ is off in that stratum.
 
 Nulls: a null text has no words (base rules reject it); a null stratum is a
 stratum of its own; labels with null id or null quality are left out, and an
-id labelled both ways counts as bad. Repeated rows are judged alike. Empty
+id labelled both ways counts as bad. Repeated rows are judged alike, and a
+measure equal to its cutoff passes. A very long text is one row, whose windows
+are sorted in it. A column named __f is taken. Empty
 tables give an empty result, and without labels only the base rules act.
 """
 

@@ -1,11 +1,13 @@
 """Substring dedup by seed and extend, on words.
 
 Seeds are winnowed anchors: of any 50 consecutive words, the gram of GRAM
-words with the least hash. Documents are joined on equal anchors, and each seed
-that several documents have is extended to both sides over every 50-word window
-it is the anchor of. Windows that match one of a document with a smaller id are
-kept as that document's repeats; where they overlap or touch they make up the
-maximal repeat, whose words go.
+words with the least hash. Documents are joined on equal anchors. In place of
+following each match word by word to both sides, every 50-word window around a
+shared anchor is hashed, and windows that match one of a document with a
+smaller id are that document's repeats; where they overlap or touch, their union
+is the maximal repeat, whose words go. Anchors and windows travel once a part,
+while comparing pairs of documents would grow with the square of a passage's
+copies.
 
 Equal windows have equal anchors, so none is missed. An anchor or window of
 many documents travels as one entry for each part of the corpus. Windows are
@@ -13,8 +15,10 @@ compared by 64 bits of their words and 16 of their anchor.
 
 Nulls: a null text has no words; a null id counts as less than any other. Rows
 with one id do not cost each other words, and equal rows get equal results.
-Texts of fewer than 50 words stay whole. Empty tables give empty results; other
-columns pass through under any name.
+Texts of fewer than 50 words stay whole; a very long text is one row, worked on
+in batches. Of equal windows the least id keeps its own. Empty tables give empty
+results; other columns pass through, but for the names __part, __id, __text,
+__n_words, __n_removed and __kept, which are taken.
 """
 
 from __future__ import annotations
