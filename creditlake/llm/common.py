@@ -61,6 +61,15 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def packed(df: DataFrame, rows: int, each: int = 100_000) -> DataFrame:
+    """Run the last stage of ``df``, of at most ``rows`` rows, in no more tasks than ``each`` rows a task ask for.
+
+    Rounds over small tables would otherwise run and write one tiny file a shuffle
+    partition; a large table keeps all its partitions.
+    """
+    return df.coalesce(max(1, -(-int(rows) // each)))
+
+
 def parts_for(spark: SparkSession, total_bytes: int, each: int) -> int:
     """Number of parts of about ``each`` bytes, at least the session's shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total_bytes) // each))

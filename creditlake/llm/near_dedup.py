@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditlake.llm.common import kept, shipped, spread_lookup, whole
+from creditlake.llm.common import kept, packed, shipped, spread_lookup, whole
 from creditlake.llm.components import components
 from creditlake.llm.grams import Texts, U, batches, chained, joined, mixed, word_units
 from creditlake.llm.repeats import cut_by, group_heads
@@ -56,6 +56,8 @@ SPLIT = 4096
 LAST = 10_000
 RARE = 32
 HOT = 1_000
+#: Classes that share a shingle are counted up to this.
+MOST = 2**31 - 1
 LIKELY = 0.85
 #: Ids from here on are made from the text of a row without one.
 MADE_ID = 1 << 62
@@ -239,14 +241,15 @@ def candidates(table: pa.Table) -> pa.RecordBatch:
 def forest_pairs(classes: DataFrame, split: int = SPLIT) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a, b, ra, rb, est) of classes, each once, and the classes of regions where not all meet."""
     spread = classes.select("cls", F.posexplode("keys").alias("tree", "key"))
-    crowded = kept(spread.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    rows = TREES * classes.count()
+    crowded = kept(packed(spread.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), rows))
     of = classes.select("cls", "rep", "n", "sig")
     members = kept(spread.join(crowded, "key").join(of, "cls"))
-    crowd = kept(members.where(F.col("size") > NEIGHBOURS + 1).select("cls").distinct())
+    crowd = kept(packed(members.where(F.col("size") > NEIGHBOURS + 1).select("cls").distinct(), rows))
     found, again = region_pairs(members, split)
     rounds = [found]
     while True:
-        again = kept(again)
+        again = kept(packed(again, rows))
         left = again.count()
         sized = again.join(again.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "key").join(of, "cls")
         if left <= LAST:
@@ -255,7 +258,7 @@ def forest_pairs(classes: DataFrame, split: int = SPLIT) -> tuple[DataFrame, Dat
         found, again = region_pairs(sized, LAST, -(-left // LAST))
         rounds.append(found)
     every = reduce(DataFrame.unionByName, rounds)
-    return kept(every.groupBy("a", "b", "ra", "rb").agg(F.max("est").alias("est"))), crowd
+    return kept(packed(every.groupBy("a", "b", "ra", "rb").agg(F.max("est").alias("est")), rows)), crowd
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
@@ -274,7 +277,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
 
 
 def spread_join(rows: DataFrame, small: DataFrame) -> DataFrame:
-    """Join on ``g`` to one row a shingle of ``small``, of which ``size`` rows have it; the ones of many rows don't meet in one task."""
+    """Join on ``g`` to one row a shingle of ``small``, which ``size`` of the rows have; the ones of many rows don't meet in one task."""
     hot = small.where(F.col("size") > HOT)
     tried = spread_lookup(rows, hot, "g", F.col("cls"))
     rest = tried.where("size is null").select(*rows.columns).join(small.where(F.col("size") <= HOT), "g")
@@ -292,7 +295,8 @@ def crowd_links(crowd: DataFrame, texts: DataFrame, rare: int = RARE) -> DataFra
     label's classes with the same common shingles the smallest stays. The
     next round joins by the shingles that few tops have, and so on.
     """
-    items = kept(crowd.join(shingle_sets(texts), "cls").withColumn("top", F.lit(True)))
+    classes, shingles = crowd.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    items = kept(packed(crowd.join(shingle_sets(texts), "cls").withColumn("top", F.lit(True)), shingles))
     full = items.select("cls", "grams")
     need = F.ceil(F.col("n") * PERCENT / 100)
     links = []
@@ -307,22 +311,29 @@ def crowd_links(crowd: DataFrame, texts: DataFrame, rare: int = RARE) -> DataFra
         # Pairs of one label need no link, so only shingles of several labels count.
         each = items.select("cls", "label", "top", F.explode("grams").alias("g"))
         shared = each.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.count_if("top").alias("df"), F.min("label").alias("l"), F.max("label").alias("m"))
-        met = spread_join(each.select("cls", "g"), kept(shared.where("l <> m and df > 0").select("g", "size", "df")))
-        order = met.groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "g", "size"))).alias("order"))
+        wanted = packed(shared.where("l <> m and df > 0").select("g", "size", F.least("df", F.lit(MOST)).cast("int").alias("df")), shingles)
+        met = packed(spread_join(each.select("cls", "g"), kept(wanted)), shingles)
+        order = met.groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("order"))
         order = items.drop("grams").join(order, "cls").withColumn("left", F.size("order")).where(F.col("left") >= need)
-        order = kept(order)
-        first = order.select("cls", "n", "label", "top", "left", F.explode(F.slice("order", F.lit(1), (F.col("left") - need + 1).cast("int"))).alias("s"))
-        first = first.where(F.col("s.df") <= rare).select("cls", "n", "label", "top", "left", "s.g", "s.size")
-        tops = first.where("top").groupBy("g", "size").agg(F.collect_list(F.struct("cls", "n", "label", "left")).alias("tops"))
-        apart = spread_join(first.drop("size"), kept(tops)).withColumn("o", F.explode(F.filter("tops", lambda o: fits(o))))
-        pairs = apart.select(F.least("cls", "o.cls").alias("a"), F.greatest("cls", "o.cls").alias("b")).distinct()
+        # Stored as plain arrays, 12 bytes a shingle.
+        flat = [F.transform("order", lambda s: s["g"]).alias("g"), F.transform("order", lambda s: s["df"]).alias("df")]
+        order = kept(packed(order.select("cls", "n", "label", "top", "left", *flat), shingles))
+        heads = [F.slice(c, F.lit(1), (F.col("left") - need + 1).cast("int")).alias(c) for c in ("g", "df")]
+        first = order.select("cls", "n", "label", "top", "left", F.inline(F.arrays_zip(*heads)))
+        first = first.where(F.col("df") <= rare).drop("df")
+        one_top = F.when(F.col("top"), F.struct("cls", "n", "label", "left"))
+        tops = first.groupBy("g").agg(F.collect_list(one_top).alias("tops"), F.count(F.lit(1)).alias("size")).where(F.size("tops") > 0)
+        apart = spread_join(first, kept(packed(tops, shingles))).withColumn("o", F.explode(F.filter("tops", lambda o: fits(o))))
+        pairs = packed(apart.select(F.least("cls", "o.cls").alias("a"), F.greatest("cls", "o.cls").alias("b")), shingles).distinct()
         both = pairs.join(full.toDF("a", "ga"), "a").join(full.toDF("b", "gb"), "b")
-        links.append(kept(both.where((100 + PERCENT) * F.size(F.array_intersect("ga", "gb")) >= PERCENT * (F.size("ga") + F.size("gb"))).select("a", "b")))
-        common = order.withColumn("grams", F.transform(F.filter("order", lambda s: s["df"] > rare), lambda s: s["g"])).drop("order", "left")
+        similar = both.where((100 + PERCENT) * F.size(F.array_intersect("ga", "gb")) >= PERCENT * (F.size("ga") + F.size("gb"))).select("a", "b")
+        links.append(kept(packed(similar, shingles)))
+        over = F.size(F.filter("df", lambda d: d > rare))
+        common = order.select("cls", "n", "label", "top", F.slice("g", F.size("g") - over + 1, over).alias("grams"))
         common = common.where(F.size("grams") >= need).withColumn("top", (100 + PERCENT) * F.size("grams") >= 2 * PERCENT * F.col("n"))
         same = common.groupBy("label", F.xxhash64(F.array_sort("grams")).alias("common"))
         one = F.min_by(F.struct("cls", "n", "label", "grams", "top"), F.struct("n", "cls")).alias("one")
-        items = kept(same.agg(one).select("one.*"))
+        items = kept(packed(same.agg(one).select("one.*"), shingles))
         rare *= 16
 
 
@@ -370,6 +381,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def found_components(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(id, n_shingles, component) of every row; ids from MADE_ID on stand for rows without one."""
     rows = signed_rows(docs, doc_id, text)
+    n_rows = rows.count()
     first = F.min_by(F.struct("sig", "keys"), "id")
     classes = kept(
         rows.where("n > 0").groupBy("cls", "cls2", "n").agg(F.min("id").alias("rep"), first.alias("s")).select("cls", "rep", "n", "s.sig", "s.keys")
@@ -377,34 +389,37 @@ def found_components(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     pairs, crowd = forest_pairs(classes)
     crowd = crowd.join(classes.select("cls", "rep", "n"), "cls")
     wanted = pairs.select(F.col("a").alias("cls"), F.col("ra").alias("rep")).union(pairs.select("b", "rb")).union(crowd.select("cls", "rep")).distinct()
-    texts = texts_of(docs, wanted, doc_id, text)
+    n_pairs = pairs.count()
+    texts = texts_of(docs, packed(wanted, 2 * n_pairs + n_rows), doc_id, text)
     # Rows of one document that are in several classes connect these.
     named_rows = rows.where((F.col("n") > 0) & (F.col("id") < MADE_ID))
-    several = named_rows.groupBy("id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z")
+    several = packed(named_rows.groupBy("id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z"), n_rows)
     ties = named_rows.join(several, "id").select("a", F.col("cls").alias("b")).where("a <> b").distinct()
 
     either = pairs.select("a", "b", F.col("b").alias("of"), F.col("ra").alias("to"), "est").union(
         pairs.select("a", "b", F.col("a"), F.col("rb"), "est")
     )
     likely = F.struct((F.col("est") >= 100 * LIKELY).alias("likely"), F.when(F.col("est") >= 100 * LIKELY, -F.col("to")).otherwise(F.col("est")), "a", "b")
-    chosen = kept(either.groupBy("of").agg(F.max(likely).alias("best")).select("best.a", "best.b").distinct())
-    links = confirm(chosen, texts).union(ties)
-    labels = kept(components(links))
+    chosen = packed(either.groupBy("of").agg(F.max(likely).alias("best")).select("best.a", "best.b"), n_pairs)
+    chosen = kept(packed(chosen.distinct(), n_pairs))
+    most = n_pairs + n_rows  # links between classes and ties: a row ties its class to at most one other
+    labels = kept(packed(components(confirm(chosen, texts).union(ties), most), most))
     la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
     lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
     rest = pairs.join(chosen, ["a", "b"], "left_anti").join(la, "a", "left").join(lb, "b", "left")
-    rest = kept(rest.where("la is null or lb is null or la <> lb").select("a", "b"))
+    rest = kept(packed(rest.where("la is null or lb is null or la <> lb").select("a", "b"), n_pairs))
     links = confirm(rest, texts).union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-    labels = kept(components(links))
+    labels = kept(packed(components(links, most + n_rows), most))
     # Classes of crowded regions met only some of the others there.
     labelled = crowd.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "n", F.coalesce("label", "cls").alias("label"))
-    links = crowd_links(kept(labelled), texts.join(crowd.select("cls"), "cls", "left_semi"))
-    labels = kept(components(links.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))))
+    links = crowd_links(kept(packed(labelled, n_rows)), texts.join(crowd.select("cls"), "cls", "left_semi"))
+    links = links.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+    labels = kept(packed(components(links, links.count()), n_rows))
 
     named = rows.where("n > 0").select("cls", "id").distinct().join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     label = F.coalesce("label", "cls")
     least = named.groupBy(label.alias("label")).agg(F.min("id").alias("component"))
-    by_class = kept(named.select("cls", label.alias("label")).distinct().join(least, "label").select("cls", "component"))
+    by_class = kept(packed(named.select("cls", label.alias("label")).distinct().join(least, "label").select("cls", "component"), n_rows))
     # Empty texts share a class but no link; they don't go through the join.
     out = rows.where("n > 0").join(by_class, "cls", "left").select("id", "n", "component")
     out = out.unionByName(rows.where("n = 0").select("id", "n", F.col("id").alias("component")))

@@ -69,9 +69,9 @@ def test_stage_keeps_the_smallest(spark):
 
 def test_chains_and_stars_are_joined(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 400)] + [(7, 7), (500, 501)]
-    found = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    found = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long"), len(edges)).collect()}
     assert found == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 400)}, 500: 500, 501: 500}
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(spark.createDataFrame([], "a long, b long"), 0).count() == 0
 
 
 def test_candidates_grow_with_the_rows_only(spark):
