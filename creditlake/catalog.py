@@ -17,6 +17,7 @@ from creditlake.operators import explore as X
 from creditlake.operators import marts as M
 from creditlake.operators import quality as Q
 from creditlake.operators import serve as S
+from creditlake.plans.incremental import incremental_marts
 from creditlake.plans.publish import run
 from creditlake.schemas import INVOICE_IN_DEBIT
 from creditlake.session import checkpoint_dir
@@ -305,6 +306,47 @@ def executive_summary_cleaned(spark, sf_dir):
     return M.executive_summary(C.clean(b.actions), b.organizations, b.users)
 
 
+# --- incremental refresh (S11) ---------------------------------------------------
+
+
+def _refreshed_orders(spark, sf_dir) -> dict[str, DataFrame]:
+    """The five marts after a first load of the orders up to 1996, those of odd months with
+    wrong credits and actions, and a refresh that replaces these days and adds the later ones."""
+    b = B.orders_ledger(spark, sf_dir)
+    day = F.col("timestamp")
+    late, odd = F.year(day) >= 1997, F.month(day) % 2 == 1
+    wrong = b.actions.withColumns(
+        {
+            "credits": F.when(odd, F.col("credits") * 2 + 1).otherwise(F.col("credits")),
+            "action": F.when(odd, F.lit("add")).otherwise(F.col("action")),
+        }
+    )
+    store = incremental_marts(spark, parts=8)
+    store.refresh(wrong.where(~late))
+    store.refresh(b.actions.where(late | odd))
+    return store.marts(b.organizations, b.users, b.as_of)
+
+
+def cs_daily_activity_incremental(spark, sf_dir):
+    return _refreshed_orders(spark, sf_dir)["customer_success_daily_activity"]
+
+
+def finance_org_balance_incremental(spark, sf_dir):
+    return _refreshed_orders(spark, sf_dir)["finance_org_credit_balance"]
+
+
+def cs_user_mart_incremental(spark, sf_dir):
+    return _refreshed_orders(spark, sf_dir)["enhanced_customer_success_view"]
+
+
+def finance_mart_incremental(spark, sf_dir):
+    return _refreshed_orders(spark, sf_dir)["enhanced_finance_view"]
+
+
+def executive_summary_incremental(spark, sf_dir):
+    return _refreshed_orders(spark, sf_dir)["executive_summary_view"]
+
+
 # --- exploration and quality ---------------------------------------------------
 
 
@@ -397,6 +439,11 @@ QUERIES: dict[str, Query] = {
     "pipeline_run_report": pipeline_run_report,
     "finance_mart_cleaned": finance_mart_cleaned,
     "executive_summary_cleaned": executive_summary_cleaned,
+    "cs_daily_activity_incremental": cs_daily_activity_incremental,
+    "finance_org_balance_incremental": finance_org_balance_incremental,
+    "cs_user_mart_incremental": cs_user_mart_incremental,
+    "finance_mart_incremental": finance_mart_incremental,
+    "executive_summary_incremental": executive_summary_incremental,
     "distinct_ids": distinct_ids,
     "distinct_id_counts": distinct_id_counts,
     "dedup_actions": dedup_actions,

@@ -343,6 +343,10 @@ def _queries() -> dict[str, str]:
     q["most_active_user_per_org"] = _b1(top_user_sql("b1_ua", "b1_users"))
     q["finance_mart_from_rollup"] = _b1(fin_b1)
     q["executive_summary_from_rollup"] = _b1(ex_b1)
+    # A refresh ends at what a full rebuild gives.
+    for mart in ("finance_org_balance", "finance_mart", "cs_user_mart", "executive_summary"):
+        q[f"{mart}_incremental"] = q[mart]
+    q["cs_daily_activity_incremental"] = q["cs_daily_activity_orders"]
     q["cs_daily_activity_from_rollup"] = _b2(cs_daily_sql("b2_ua"))
     q["finance_list_page"] = _b1(
         f"SELECT * FROM ({fin_b1}) WHERE invoice_status = 'In Debit - Invoice Required'\n"
