@@ -321,7 +321,7 @@ def _refreshed_orders(spark, sf_dir) -> dict[str, DataFrame]:
             "action": F.when(odd, F.lit("add")).otherwise(F.col("action")),
         }
     )
-    store = incremental_marts(spark, parts=8)
+    store = incremental_marts(spark, parts=8, period="year")
     store.refresh(wrong.where(~late))
     store.refresh(b.actions.where(late | odd))
     return store.marts(b.organizations, b.users, b.as_of)

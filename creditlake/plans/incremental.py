@@ -2,7 +2,9 @@
 
 Two tables are kept in one folder:
 
-* ``days``: the daily rollup, a partition folder a day;
+* ``days``: the daily rollup, a partition folder a period (a day, or a
+  longer one where a day has few rows; the other days of a touched period are
+  carried over);
 * ``state``: per (org, user, action, credit_type) the exact sums over all days
   and the days that have rows, in partition folders by a hash of the org.
 
@@ -13,8 +15,8 @@ what a full rebuild would (no sum drifts, no distinct count is estimated). The
 inexact rest of an amount (NaN, more than four decimals) can't be subtracted;
 it stays with its day in the array.
 
-A refresh writes the touched days and parts as a new generation beside the old
-ones, then one directory per table that names the generation of every day and
+A refresh writes the touched periods and parts as a new generation beside the old
+ones, then one directory per table that names the generation of every period and
 part, and at last one row in ``manifest``. Readers take the newest manifest row,
 so they see both tables of one version; a refresh that fails before that row
 changes nothing for them. Earlier versions stay readable (``version=``).
@@ -34,7 +36,7 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditlake.operators import marts as M
@@ -45,7 +47,7 @@ STATE_KEYS = ("org_id", "user_id", "action", "credit_type")
 MEASURES = ("main", "n", "n_amount")
 AMOUNT = "struct<main: decimal(38,0), rest: double>"
 DAYS = "array<struct<day: date, rest: double>>"
-DAY, PART, GENERATION = "activity_date", "part", "generation"
+DAY, PERIOD, PART, GENERATION = "activity_date", "period", "part", "generation"
 
 
 @dataclass(frozen=True)
@@ -53,6 +55,7 @@ class IncrementalMarts:
     spark: SparkSession
     folder: str
     parts: int = 64
+    period: str = "day"
 
     # --- reading ------------------------------------------------------------
 
@@ -62,7 +65,7 @@ class IncrementalMarts:
 
     def days(self, version: int | None = None) -> DataFrame:
         """The daily rollup of a version (default: the newest)."""
-        return self._current("days", DAY, "date", version).select(*M.LEDGER_COLUMNS)
+        return self._current("days", PERIOD, "date", version).select(*M.LEDGER_COLUMNS)
 
     def state(self, version: int | None = None) -> DataFrame:
         """(org, user, action, credit_type, sums, days) of a version."""
@@ -112,9 +115,15 @@ class IncrementalMarts:
             new = materialize(M.daily_rollup(changed), "incremental-new")
             named = self.spark.createDataFrame([(d,) for d in days or ()], f"{DAY} date")
             touched = materialize(new.select(DAY).union(named).distinct(), "incremental-days")
-            old = self.days(before).join(touched.withColumnRenamed(DAY, "_day"), F.col(DAY).eqNullSafe(F.col("_day")), "left_semi")
-            self._write(new, "days", DAY, version, attempt)
-            self._write_directory("days", DAY, new.select(DAY), touched, before, version, attempt)
+            periods = touched.select(self._period().alias(PERIOD)).distinct()
+            same = F.col(PERIOD).eqNullSafe(F.col("_period"))
+            reopened = self._current("days", PERIOD, "date", before).join(periods.withColumnRenamed(PERIOD, "_period"), same, "left_semi")
+            replaced = touched.withColumnRenamed(DAY, "_day"), F.col(DAY).eqNullSafe(F.col("_day"))
+            old = reopened.join(*replaced, "left_semi").select(*M.LEDGER_COLUMNS)
+            carried = reopened.join(*replaced, "left_anti").select(*M.LEDGER_COLUMNS)
+            days_now = new.select(*M.LEDGER_COLUMNS).unionByName(carried).withColumn(PERIOD, self._period())
+            self._write(days_now, "days", PERIOD, version, attempt)
+            self._write_directory("days", PERIOD, days_now.select(PERIOD), periods, before, version, attempt)
 
             delta = materialize(self._delta(new, old), "incremental-delta")
             parts = materialize(delta.select(PART).distinct(), "incremental-parts")
@@ -125,6 +134,9 @@ class IncrementalMarts:
         row.coalesce(1).write.mode("append").parquet(f"{self.folder}/manifest")
         return version
 
+    def _period(self) -> Column:
+        return F.col(DAY) if self.period == "day" else F.trunc(DAY, self.period)
+
     def _delta(self, new: DataFrame, old: DataFrame) -> DataFrame:
         """Per state key what to add, with the days to add and to remove."""
         main = F.coalesce(F.col("amount.main").cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
@@ -164,7 +176,7 @@ class IncrementalMarts:
     def _write_directory(
         self, table: str, key: str, present: DataFrame, touched: DataFrame, before: int, version: int, attempt: str
     ) -> None:
-        """Name the generation of every day or part: the old one, but for the touched."""
+        """Name the generation of every period or part: the old one, but for the touched."""
         gone = touched.withColumnRenamed(key, "_key")
         stay = self._directory(table, key, before).join(gone, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
         mine = present.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).withColumn(GENERATION, F.lit(f"{version}-{attempt}"))
@@ -177,8 +189,8 @@ class IncrementalMarts:
         return self.spark.read.schema(schema).parquet(f"{self.folder}/manifest")
 
     def _directory(self, table: str, key: str, version: int) -> DataFrame:
-        """(key, rows, generation) of a version; one row a day or part."""
-        schema = f"{key} {'date' if key == DAY else 'int'}, rows long, {GENERATION} string"
+        """(key, rows, generation) of a version; one row a period or part."""
+        schema = f"{key} {'date' if key == PERIOD else 'int'}, rows long, {GENERATION} string"
         if not version:
             return self.spark.createDataFrame([], schema)
         found = self._manifest().where(F.col("version") == version).agg(F.min("attempt")).first()[0]
@@ -194,7 +206,7 @@ class IncrementalMarts:
         """
         version = self.version() if version is None else version
         stored = "org_id string, user_id string, action string, credit_type string, n long, n_amount long, "
-        stored += f"main decimal(38,0), days {DAYS}" if table == "state" else f"amount {AMOUNT}"
+        stored += f"main decimal(38,0), days {DAYS}" if table == "state" else f"{DAY} date, amount {AMOUNT}"
         schema = f"{stored}, {GENERATION} string, {key} {kind}"
         if not version:
             return self.spark.createDataFrame([], schema)
@@ -208,6 +220,15 @@ class IncrementalMarts:
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def incremental_marts(spark: SparkSession, folder: str | None = None, parts: int = 64) -> IncrementalMarts:
-    """Open (or begin) the tables in ``folder``; default: a new one in the shared stage folder."""
-    return IncrementalMarts(spark, folder or f"{checkpoint_dir(spark).rstrip('/')}/creditlake-marts-{uuid.uuid4().hex}", parts)
+def incremental_marts(
+    spark: SparkSession, folder: str | None = None, parts: int = 64, period: str = "day"
+) -> IncrementalMarts:
+    """Open (or begin) the tables in ``folder``; default: a new one in the shared stage folder.
+
+    ``parts`` and ``period`` ("day", "month", "quarter" or "year") belong to the
+    tables: open a folder with the ones it began with.
+    """
+    if period not in ("day", "month", "quarter", "year"):
+        raise ValueError(f"unknown period {period!r}")
+    folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/creditlake-marts-{uuid.uuid4().hex}"
+    return IncrementalMarts(spark, folder, parts, period)

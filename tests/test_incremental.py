@@ -47,9 +47,10 @@ def assert_as_rebuilt(spark, store, rows):
         assert listed(mart) == listed(full[name]), name
 
 
-def test_equals_a_full_rebuild_after_replaced_added_and_emptied_days(spark):
+@pytest.mark.parametrize("period", ["day", "month"])
+def test_equals_a_full_rebuild_after_replaced_added_and_emptied_days(spark, period):
     rng = random.Random(3)
-    store = incremental_marts(spark, parts=3)
+    store = incremental_marts(spark, parts=3, period=period)
     assert store.version() == 0 and store.state().count() == 0
     rows = random_rows(rng, DAYS[:8], 160) + [("o1", "u1", "t", "add", 5.0, None)]
     assert store.refresh(fact_rows(spark, rows)) == 1
@@ -115,7 +116,7 @@ def test_only_touched_days_and_parts_are_written_and_read(spark):
     rows = [(f"o{k % 5}", "u1", "t", "add", 1.0, d) for k, d in enumerate(DAYS * 3)]
     store.refresh(fact_rows(spark, rows))
     store.refresh(fact_rows(spark, [("o1", "u1", "t", "add", 4.0, DAYS[3])]))
-    days = {r[0]: r[1].split("-")[0] for r in store._directory("days", "activity_date", 2).select("activity_date", "generation").collect()}
+    days = {r[0]: r[1].split("-")[0] for r in store._directory("days", "period", 2).select("period", "generation").collect()}
     assert {str(d) for d, g in days.items() if g == "2"} == {DAYS[3]} and len(days) == len(DAYS)
     touched = store.state(2).where("n_amount > 0").select("part").distinct().count()
     rewritten = store._directory("state", "part", 2).where(F.col("generation").startswith("2-")).count()
