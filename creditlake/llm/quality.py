@@ -34,18 +34,22 @@ CUTOFFS = (0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7)
 MEASURES = ("symbols_per_word", "shouts_per_word", "upper_share", "dup_line_share")
 
 
-def repeat_words(tokens: str, count: str) -> tuple[Column, Column, Column]:
+def repeat_words(tokens: str, count: str) -> tuple[Column, Column, Column, Column]:
     """Steps (to be put in columns one after the other) towards the words in windows found twice or more.
 
-    Windows are compared by a 64-bit hash within one document. Sorting
-    (hash, position) pairs brings equal windows together, so the work is
-    n log n in the words of the document, also for very long ones.
+    Windows are compared by a 64-bit hash within one document. Where two hashes
+    are equal, sorting (hash, position) pairs brings equal windows together, so
+    the work is n log n in the words of the document, also for very long ones;
+    a document without equal hashes is done after one pass over plain numbers.
     """
-    window = F.transform(
+    hashes = F.transform(
         F.sequence(F.lit(0), F.col(count) - F.lit(WINDOW)),
-        lambda i: F.struct(F.xxhash64(*[F.get(F.col(tokens), i + j) for j in range(WINDOW)]).alias("h"), i.alias("i")),
+        lambda i: F.xxhash64(*[F.get(F.col(tokens), i + j) for j in range(WINDOW)]),
     )
-    windows = F.when(F.col(count) >= WINDOW, F.array_sort(window))
+    hashes = F.when(F.col(count) >= WINDOW, hashes)
+    own = F.col("__hashes")
+    placed = F.transform(own, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    windows = F.when(F.size(F.array_distinct(own)) < F.size(own), F.sort_array(placed))
     at = F.col("__windows")
     found = F.sort_array(
         F.transform(
@@ -59,14 +63,14 @@ def repeat_words(tokens: str, count: str) -> tuple[Column, Column, Column]:
         F.lit(0).cast("long"),
         lambda total, x: total + x,
     )
-    return windows, found, F.coalesce(covered, F.lit(0).cast("long"))
+    return hashes, windows, found, F.coalesce(covered, F.lit(0).cast("long"))
 
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with a struct ``__f`` of the counts that the rules use."""
     body = whole(F.col(text))
     lines = F.filter(F.split(body, "\n", -1), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
-    windows, found, covered = repeat_words("__words", "__n")
+    hashes, windows, found, covered = repeat_words("__words", "__n")
     counts = {
         "n_words": F.col("__n"),
         "word_chars": F.length(F.array_join("__words", "")),
@@ -81,11 +85,12 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
         docs.withColumn("__words", words(F.col(text)))
         .withColumn("__lines", lines)
         .withColumn("__n", F.size("__words"))
+        .withColumn("__hashes", hashes)
         .withColumn("__windows", windows)
         .withColumn("__starts", found)
         # Generated, so that a filter on the counts is not pushed below them, where each would be made many times.
         .withColumn("__f", F.explode(F.array(F.struct(*[c.cast("long").alias(k) for k, c in counts.items()]))))
-        .drop("__words", "__lines", "__n", "__windows", "__starts")
+        .drop("__words", "__lines", "__n", "__hashes", "__windows", "__starts")
     )
 
 
@@ -177,7 +182,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", stratum: str = "lang", text:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", stratum: str = "lang", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass; texts are not shuffled, their counts are made once more instead."""
-    limits = calibrate(scores(docs, doc_id, stratum, text), labels, doc_id, stratum)
-    judged = verdict(features(docs, text), limits, doc_id, stratum)
-    return judged.where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that pass. Rows are stored once with their counts, which both the thresholds and the verdict read."""
+    scored = kept(features(docs, text))
+    limits = calibrate(scored, labels, doc_id, stratum)
+    return verdict(scored, limits, doc_id, stratum).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
