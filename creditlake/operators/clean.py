@@ -28,7 +28,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,15 +153,26 @@ def first_org_per_user(df: DataFrame, org_breaks_ties: bool = False) -> DataFram
 
 
 def annotate_first_org(
-    df: DataFrame, hot_rows: int | None = None, org_breaks_ties: bool = False, strategy: str | None = None
+    df: DataFrame,
+    hot_rows: int | None = None,
+    org_breaks_ties: bool = False,
+    strategy: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Attach ``first_org`` to every row (NULL when the user has none)."""
-    firsts = materialize(first_orgs(df, org_breaks_ties), "first-orgs")
+    """Attach ``first_org`` to every row (NULL when the user has none).
+
+    ``counted``: the same rows under an Observation, read for the first organisations in place of ``df``.
+    """
+    firsts = materialize(first_orgs(df if counted is None else counted, org_breaks_ties), "first-orgs")
     return skew_join(df, firsts, "user_id", "user_rows", hot_rows, strategy)
 
 
 def single_org_filter(
-    df: DataFrame, hot_rows: int | None = None, org_breaks_ties: bool = False, strategy: str | None = None
+    df: DataFrame,
+    hot_rows: int | None = None,
+    org_breaks_ties: bool = False,
+    strategy: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """P1 + P2: drop rows without both ids, keep each user's first organisation.
 
@@ -169,7 +180,7 @@ def single_org_filter(
     """
     kept = df.where(F.col("org_id").isNotNull() & F.col("user_id").isNotNull())
     return (
-        annotate_first_org(kept, hot_rows, org_breaks_ties, strategy)
+        annotate_first_org(kept, hot_rows, org_breaks_ties, strategy, counted)
         .where(F.col("org_id") == F.col("first_org"))
         .drop("first_org")
     )
@@ -184,10 +195,59 @@ def finish(df: DataFrame, normalised: bool, keep_seq: bool = False) -> DataFrame
     return df.select(*cols)
 
 
-def clean(raw: DataFrame, options: CleanOptions = CleanOptions(), keep_seq: bool = False) -> DataFrame:
-    """Raw text rows (with ``seq``) → ``user_actions`` rows."""
+def with_given(raw: DataFrame, options: CleanOptions) -> tuple[DataFrame, list[F.Column]]:
+    """``prepare(raw)`` marked with the values that were given, and the counts of Q7 that need no join."""
+    given = {f"_has_{c}": F.col(c).isNotNull() for c in ("timestamp", "credits")}
+    org, user = F.col("org_id").isNull(), F.col("user_id").isNull()
+    counts = {
+        "rows_in": F.count(F.lit(1)),
+        "dropped_missing_ids": F.count_if(org & user),
+        "dropped_org_missing": F.count_if(org & ~user),
+        "dropped_user_missing": F.count_if(user & ~org),
+        "unparsed_timestamps": F.count_if(F.col("_has_timestamp") & F.col("timestamp").isNull()),
+        "unparsed_credits": F.count_if(F.col("_has_credits") & F.col("credits").isNull()),
+    }
+    return prepare(raw.withColumns(given), options), [c.alias(k) for k, c in counts.items()]
+
+
+def observed_report(
+    counts: Observation, rows_out: int, raw: DataFrame, options: CleanOptions = CleanOptions()
+) -> dict[str, int]:
+    """Q7 from the counts of a finished ``clean`` and the rows that were stored.
+
+    ``dropped_other_org`` is what is left: rows with both ids that the rule (or
+    a second pass or de-duplication, if chosen) dropped. A task that a lost
+    executor makes Spark run again may add its rows to the counts twice;
+    ``cleaning_report`` counts anew. If nothing was stored, Spark may have cut
+    the observed step from an empty plan, so ``raw`` is counted instead.
+    """
+    if rows_out:
+        seen = counts.get
+    else:
+        rows, columns = with_given(raw, options)
+        seen = rows.agg(*columns).first().asDict()
+    out = {k: int(v) for k, v in seen.items()}
+    missing = out["dropped_missing_ids"] + out["dropped_org_missing"] + out["dropped_user_missing"]
+    out["dropped_other_org"] = out["rows_in"] - missing - rows_out
+    out["dropped_org_rule"] = out["rows_in"] - out["dropped_missing_ids"] - rows_out
+    out["rows_out"] = rows_out
+    return out
+
+
+def clean(
+    raw: DataFrame, options: CleanOptions = CleanOptions(), keep_seq: bool = False, counts: Observation | None = None
+) -> DataFrame:
+    """Raw text rows (with ``seq``) → ``user_actions`` rows.
+
+    ``counts`` observes the rows while the first organisations are made, so
+    that ``observed_report`` needs no pass of its own.
+    """
     typed = prepare(raw, options)
-    kept = single_org_filter(typed, options.hot_rows)
+    counted = None
+    if counts is not None:
+        rows, columns = with_given(raw, options)
+        counted = rows.observe(counts, *columns)
+    kept = single_org_filter(typed, options.hot_rows, counted=counted)
     if not (options.dedup or options.rule_again_after_normalise):
         return finish(kept, normalised=options.normalise_first, keep_seq=keep_seq)
     out = finish(kept, normalised=options.normalise_first, keep_seq=True)

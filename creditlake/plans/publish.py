@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditlake.operators import marts as M
-from creditlake.operators.clean import CleanOptions, clean
+from creditlake.operators.clean import CleanOptions, clean, observed_report
 from creditlake.operators.quality import (
     DataQualityError,
     assert_no_rows,
@@ -193,6 +193,8 @@ def publish_marts(
 class RunResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     report: DataFrame | None = None
+    #: Q7: rows in, dropped by each rule, unparsed values and rows out, counted during the run.
+    cleaning: dict[str, int] = field(default_factory=dict)
 
 
 def run(
@@ -210,8 +212,11 @@ def run(
     result = RunResult()
     orgs, usrs = load_dimensions(spark, organizations, users, database)
     result.tables["organizations"], result.tables["users"] = orgs, usrs
+    raw = read_raw_actions(spark, csv_path)
+    counts = Observation(f"cleaning_{uuid.uuid4().hex}")
     with stage_scope(spark):  # the cleaning stages are dropped once the fact is published
-        fact = load_fact(spark, clean(read_raw_actions(spark, csv_path), options), database)
+        fact = load_fact(spark, clean(raw, options, counts=counts), database)
+    result.cleaning = observed_report(counts, fact.count(), raw, options)  # the count reads file footers only
     result.tables[FACT_TABLE] = fact
     rollup = publish(spark, M.daily_rollup(fact), ROLLUP_TABLE, database)
     result.tables[ROLLUP_TABLE] = rollup

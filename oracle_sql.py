@@ -468,6 +468,7 @@ b3 AS (
                                AND t.org_id <> f.first_org) AS BIGINT) AS dropped_other_org,
          CAST(COUNT(*) FILTER (WHERE COALESCE(t.org_id = f.first_org, FALSE)) AS BIGINT) AS rows_out
   FROM b2m_typed t LEFT JOIN b2m_first f ON t.user_id = f.user_id"""
+    q["cleaning_report_observed"] = q["cleaning_report"]
     q["finance_mart_cleaned"] = _with(B2, CLEAN_CTES, CLEAN) + finance_mart_sql("b2m_clean", "b2_orgs")
     q["distinct_ids"] = _clean(
         "SELECT DISTINCT 'org_id' AS id_column, org_id AS id_value FROM b2m_clean\n"

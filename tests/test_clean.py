@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Observation
 
 from creditlake.operators.clean import (
     CleanOptions,
     clean,
     cleaning_report,
     first_org_per_user,
+    observed_report,
     prepare,
     single_org_filter,
 )
@@ -156,3 +158,26 @@ def test_rule_again_breaks_ties_by_organisation(spark):
     ]
     twice = clean(raw_rows(spark, rows), CleanOptions(rule_again_after_normalise=True), keep_seq=True).collect()
     assert [(r.seq, r.org_id) for r in twice] == [(1, "org_1")]
+
+
+def test_counts_observed_during_cleaning_equal_the_report(spark):
+    rows = [
+        (None, None, "t", "add", "1", "2024-01-01 00:00:00"),
+        ("org_a", None, "t", "add", "12d", "2024-01-01 00:00:00"),
+        (None, "u1", "t", "add", "1", None),
+        ("org_a", "u1", "t", "add", "abc", "2024-01-02 00:00:00"),
+        ("org_b", "u1", "t", "add", None, "soon"),
+        ("org_a", "u1", "t", "add", "1", "later"),
+    ]
+    raw = raw_rows(spark, rows)
+    for n, options in enumerate((CleanOptions(), CleanOptions(normalise_first=True), CleanOptions(hot_rows=1))):
+        counts = Observation(f"counts-{n}")
+        out = clean(raw, options, counts=counts)
+        found = observed_report(counts, out.count(), raw, options)
+        expected = cleaning_report(raw, options).first().asDict()
+        assert found == {**expected, "unparsed_timestamps": 2, "unparsed_credits": 2}
+    for n, none_kept in enumerate((raw.where("false"), raw.where("seq = 1"))):
+        counts = Observation(f"counts-none-{n}")
+        out = clean(none_kept, counts=counts)
+        found = observed_report(counts, out.count(), none_kept)
+        assert {k: found[k] for k in found if not k.startswith("unparsed")} == cleaning_report(none_kept).first().asDict()

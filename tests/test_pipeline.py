@@ -7,7 +7,7 @@ import os
 import pytest
 
 from creditlake.operators import marts as M
-from creditlake.operators.clean import clean
+from creditlake.operators.clean import clean, cleaning_report
 from creditlake.operators.quality import DataQualityError
 from creditlake.plans.publish import MART_NAMES, publish, publish_marts, refresh_marts, run
 from creditlake.sources.csv import read_raw_actions
@@ -87,6 +87,8 @@ def test_run_end_to_end(spark, csv_path):
     before = stages()
     result = run(spark, csv_path, orgs, users, as_of="2024-01-31")
     assert stages() == before  # the cleaning stage was dropped after the fact was published
+    counted = cleaning_report(read_raw_actions(spark, csv_path)).first().asDict()
+    assert {k: result.cleaning[k] for k in counted} == counted
     report = {r.table_name: (r.total_records, r.verdict) for r in result.report.collect()}
     assert report["user_actions"] == (3, "low_count")
     assert set(report) == {"user_actions", *MART_NAMES}
