@@ -31,16 +31,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from creditlake.llm.grams import Grams, Runs, Texts, U, byte_units, covered, mixed, spans
+from creditlake.llm.grams import Grams, Runs, Texts, U, batches, byte_units, chained, covered, mixed, spans
 from creditlake.llm.repeats import as_table, cut_by, dealt, find, group_heads, own_id, read_shared, runs_of, shared_anchors
 
 LENGTH = 50
 GRAM = 16
-BATCH_BYTES = 1 << 20
-BLOCK_BYTES = 1_900_000
+#: Small enough that the arrays of a batch or block stay in a core's cache.
+BATCH_BYTES = 1 << 17
+BLOCK_BYTES = 150_000
 HOT = 20_000
 #: Lengths of prefixes that are sorted and told apart before the expansion begins.
 FIRST = 8
+#: Bytes of the hashes that make up a stretch's, and the odd base of their weights with its inverse modulo 2**64.
+SHORT = 4
+BASE = U(0x9E3779B97F4A7C15)
+BASE_INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 TYPES = {"stretch": U, "flags": np.uint8, "size": np.uint8, "runs": np.uint8, "run": np.uint8, "hot": U}
 STRETCHES = ("doc", "flags", "size", "data")
 ANSWERS = ("stretch", "runs", "run", "least", "hot")
@@ -153,10 +158,15 @@ def least_ids(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray, length: int)
 
 
 def stretch_hash(grams: Grams, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    heads = np.cumsum(sizes) - sizes
-    place = np.arange(sizes.sum()) - np.repeat(heads, sizes)
-    value = mixed(grams.hashes[spans(first, sizes)] + place.astype(U) * U(0x9E3779B97F4A7C15))
-    return np.add.reduceat(value, heads) if len(heads) else np.zeros(0, U)
+    """A hash of each stretch, from running sums of all hashes of SHORT bytes, weighted by powers of their place."""
+    hashes = chained(grams.hashes, SHORT)
+    if not len(first):
+        return np.zeros(0, U)
+    sums = np.zeros(len(hashes) + 1, U)
+    np.cumsum(hashes * np.cumprod(np.full(len(hashes), BASE)), out=sums[1:])
+    # The inverse power moves a stretch's sum to place 0, wherever it begins.
+    back = np.cumprod(np.full(len(hashes), BASE_INVERSE))
+    return mixed((sums[first + sizes - SHORT + 1] - sums[first]) * back[first] + sizes.astype(U))
 
 
 def single(runs: Runs, hot: np.ndarray) -> tuple[Runs, np.ndarray]:
@@ -237,13 +247,10 @@ def remove_repeats(
         windows = sizes - length + 1
         least = np.empty(windows.sum(), np.int64)
         window_at = np.cumsum(windows) - windows
-        at = 0
-        while at < len(group_begin):
-            to = max(at + 1, int(np.searchsorted(np.cumsum(group_bytes[at:]), BLOCK_BYTES, "right")) + at)
+        for at, to in batches(group_bytes, BLOCK_BYTES):
             a, b = group_begin[at], group_begin[to] if to < len(group_begin) else len(one)
             block = texts.data[spans(begin[order[one[a:b]]], sizes[a:b])]
             least[window_at[a] : window_at[b - 1] + windows[b - 1]] = least_ids(block, sizes[a:b], doc[one[a:b]], length)
-            at = to
         # Runs of strings of a stretch with the same least id.
         of = np.repeat(np.arange(len(one)), windows)
         run = group_heads(of, least) if len(of) else of

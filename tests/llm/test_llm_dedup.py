@@ -111,3 +111,26 @@ def test_windows_share_their_anchor_wherever_they_stand():
         at = text.index(window)
         seen.add(next((int(a - at), int(h)) for f, last, a, h in zip(*runs, strict=True) if f <= at <= last))
     assert len(seen) == 1
+
+
+def test_stretch_names_follow_the_bytes_and_need_little_memory():
+    """Equal stretches have one name wherever they begin; naming all, which overlap, holds a few arrays of the text's size."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    text = "".join(rng.choice("abcd ") for _ in range(40_000))
+    units = grams.byte_units(grams.Texts.of(pa.array([text, "shift" + text, "é" * 60 + "è" + "é" * 60])))
+    runs = grams.winnowed(units, 50, 16)
+    sizes = runs.last - runs.first + 50
+    tracemalloc.start()
+    names = bwt_dedup.stretch_hash(units, runs.first, sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 * len(units.hashes)
+    data = grams.Texts.of(pa.array([text, "shift" + text, "é" * 60 + "è" + "é" * 60])).data
+    stretches = [data[f : f + n].tobytes() for f, n in zip(runs.first, sizes, strict=True)]
+    assert len(set(stretches)) < len(stretches)
+    assert len(set(zip(stretches, names.tolist(), strict=True))) == len(set(stretches)) == len(np.unique(names))
