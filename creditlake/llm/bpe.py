@@ -22,20 +22,23 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from creditlake.llm.common import shipped, whole
+from creditlake.llm.grams import batches as cut_at
 
 LONG_CHARS = 1 << 16
 PIECE_CHARS = 1 << 14
 FIRST_WINDOW = 4
+PORTION_BYTES = 1 << 20
 #: The byte-level pre-tokeniser's pattern (a fixed value of that format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -63,9 +66,15 @@ class Codec:
         self.text_of = {i: str(i) for i in self.bytes_of}
         self.words = regex.compile(PATTERN)
         self.marks = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
-        self.lone = tiktoken.Encoding("lone", pat_str=r"(?s:.+)", mergeable_ranks=self.ranks, special_tokens={})
         self.all = tiktoken.Encoding("all", pat_str=PATTERN, mergeable_ranks=self.ranks, special_tokens=self.special)
 
+    @cached_property
+    def lone(self):
+        """The encoding of one pre-token, or of parts of one; only long texts need it."""
+        import tiktoken
+
+        return tiktoken.Encoding("lone", pat_str=r"(?s:.+)", mergeable_ranks=self.ranks, special_tokens={})
+
     def encode(self, text: str) -> list[int]:
         return self.all.encode(text, allowed_special="all")
 
@@ -150,6 +159,14 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def portions(batches: Iterator[pa.RecordBatch], text: str, most: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes of text, so that tokens of few texts are held at once."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for at, to in cut_at(sizes, most):
+            yield batch.slice(at, to - at)
+
+
 def emit_ids(_: Codec, ids: list[int]) -> tuple:
     return (np.asarray(ids, np.int32),)
 
@@ -191,22 +208,22 @@ def encode(
         return [pa.array(columns[n], kinds[n]) for n in schema.names]
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, "__text"):
             out = [emit(codec(path), codec(path).encode(t)) for t in batch.column("__text").to_pylist()]
             new = rows({f.name: [r[i] for r in out] for i, f in enumerate(made.fields)}, made)
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *new], result.names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, t in enumerate(batch.column("__text").to_pylist()):
-                pieces = list(codec(path).pieces(t, piece_chars))
+            for i, t in enumerate(batch.column("__text")):
+                pieces = list(codec(path).pieces(t.as_py(), piece_chars))
                 same = pa.array([i] * len(pieces), pa.int64())
                 columns = {"seq": list(range(len(pieces)))} | {n: [p[k] for p in pieces] for k, n in enumerate(piece.names[1:])}
                 old = [batch.column(n).take(same) for n in ("uid", *names)]
                 yield pa.RecordBatch.from_arrays([*old, *rows(columns, piece)], ["uid", *names, *piece.names])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, "piece"):
             lone, texts = batch.column("lone").to_pylist(), batch.column("piece").to_pylist()
             ids = [np.asarray(codec(path).encode_piece(x, t), np.int32).tobytes() for x, t in zip(lone, texts, strict=True)]
             old = ["uid", *names, "seq", "unit"]

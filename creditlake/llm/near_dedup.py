@@ -49,7 +49,7 @@ TREES = 16
 DEPTH = 2
 STRIDE = VALUES // TREES
 NEIGHBOURS = 4
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 18
 PERCENT = 75
 LEAST_ESTIMATE = 0.58
 SPLIT = 4096

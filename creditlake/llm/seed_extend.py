@@ -37,7 +37,7 @@ from creditlake.llm.repeats import as_table, cut_by, dealt, find, group_heads, o
 
 LENGTH = 50
 GRAM = 20
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 18
 WINDOWS = "bucket int, part int, window binary, anchor binary, doc binary, several binary"
 ANSWERS = "part int, window binary, anchor binary, doc binary"
 TYPES = {"window": U, "anchor": np.uint16, "doc": np.int64, "several": bool, "part": np.int32}

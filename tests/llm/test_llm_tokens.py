@@ -88,3 +88,17 @@ def test_empty_tables(spark):
     assert token_counts.count_tokens(none, PIECES).count() == 0
     assert bpe.encode(none, BYTES).count() == 0
     assert np.array_equal(token_counts.segmenter(PIECES).count([]), [])
+
+
+def test_tokens_of_few_texts_are_held_at_once():
+    """A batch of many texts is encoded in slices, all rows once and in order; only long texts load the second encoding."""
+    import pyarrow as pa
+
+    rows = ["x" * (i % 7 * 100) if i % 11 else None for i in range(500)] + ["y" * 5000, "z"]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(len(rows))), "t": rows})
+    parts = list(bpe.portions(iter([batch, batch.slice(0, 0)]), "t", 1000))
+    assert [x for p in parts for x in p.column("n").to_pylist()] == list(range(len(rows)))
+    assert max(sum(len(t or "") for t in p.column("t").to_pylist()) for p in parts if p.num_rows > 1) <= 1000
+    codec = bpe.Codec(BYTES)
+    codec.encode("some words, <|endoftext|> and 12")
+    assert "lone" not in vars(codec)
