@@ -3,10 +3,13 @@
 Texts (A-Z lower-cased) are split at ``.,;:!?`` and line ends into pieces, and
 these at blanks into words. Each word occurrence gives one window: itself and
 the words that follow it in its piece, in LONGEST columns, padded with null.
-Only these windows are counted, those of a stretch of text before they leave
-its task; Spark's ROLLUP then sums the counts of ever shorter prefixes, and
+Only these windows are counted, equal ones of a task before they leave it, and
+a task reads TASK_BYTES of text, as every task gives most of the frequent
+windows again; Spark's ROLLUP then sums the counts of ever shorter prefixes, and
 the count of a prefix is that of the phrase, as every occurrence begins at one
-place. The first level, by language alone, is the number of words.
+place. The first level, by language alone, is the number of words. A task holds
+up to MOST_HELD windows, as codes of their words; beyond half of that, it gives
+them out and starts anew.
 
 A window goes on only past pairs and triples of words that may be frequent: a
 first pass adds up, by a hash of (language, word or pair), at most LEAST per
@@ -38,6 +41,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,6 +57,9 @@ TOP = 2000
 ABSORB_PERCENT = 100
 NO_LANG = "und"
 STRETCH_BYTES = 4 << 20
+TASK_BYTES = 128 << 20
+MOST_HELD = 1 << 20
+GIVEN_ROWS = 1 << 16
 LEAST_BITS, MOST_BITS = 16, 27
 INNER_BITS = 16
 HOT = 1_000
@@ -182,43 +189,76 @@ def window_columns(longest: int) -> list[str]:
     return [f"w{i}" for i in range(1, longest + 1)]
 
 
-def windows(docs: DataFrame, known: Broadcast[Frequent], longest: int = LONGEST) -> DataFrame:
-    """(lang, w1 .. , n): padded windows and how often they occur in a stretch of text.
+def coded(known: pa.Array, values: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``known`` and those of the distinct ``values`` that it lacks, and the place of each value in both."""
+    place = pc.index_in(values, known)
+    missing = place.is_null()
+    place = place.fill_null(-1).to_numpy().copy()
+    place[place < 0] = np.arange(len(known), len(known) + (place < 0).sum())
+    return pa.concat_arrays([known, values.filter(missing)]), place
+
+
+class Held:
+    """Windows of one task as codes of their language and words (-1: padding), and how often each occurs."""
+
+    def __init__(self, longest: int, most: int) -> None:
+        self.names, self.most = ["lang", *window_columns(longest)], most
+        self.clear()
+
+    def clear(self) -> None:
+        self.langs = self.words = pa.array([], pa.string())
+        self.tables: list[pa.Table] = []
+
+    def summed(self, table: pa.Table) -> pa.Table:
+        return table.group_by(self.names, use_threads=False).aggregate([("n", "sum")]).select([*self.names, "n_sum"]).rename_columns([*self.names, "n"])
+
+    def add(self, own: Stretch, word: np.ndarray, pair: np.ndarray, triple: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Take in the windows of a stretch; gives out all where too many stay distinct."""
+        n, longest = len(word), len(self.names) - 1
+        self.langs, lang = coded(self.langs, own.langs)
+        used = np.zeros(len(own.words), bool)
+        used[own.code[word]] = True
+        place = np.full(len(own.words), -1, np.int32)
+        self.words, place[used] = coded(self.words, own.words.filter(pa.array(used)))
+        code = np.append(np.where(word, place[own.code], -1), np.full(longest, -1)).astype(np.int32)
+        triple = np.append(triple, np.zeros(longest, bool))
+        columns, goes_on = [lang[own.lang].astype(np.int32), code[:n]], pair
+        for k in range(1, longest):
+            goes_on = goes_on & triple[k - 2 : n + k - 2] if k > 1 else pair
+            columns.append(np.where(goes_on, code[k : n + k], np.int32(-1)))
+        self.tables.append(self.summed(pa.table([*columns, np.ones(n, np.int64)], [*self.names, "n"])))
+        if sum(len(t) for t in self.tables) > self.most:
+            self.tables = [self.summed(pa.concat_tables(self.tables))]
+            if len(self.tables[0]) > self.most // 2:
+                yield from self.given()
+
+    def given(self) -> Iterator[pa.RecordBatch]:
+        """The windows with their words, and nothing held any more."""
+        if self.tables:
+            whole = self.summed(pa.concat_tables(self.tables)) if len(self.tables) > 1 else self.tables[0]
+            for part in whole.to_batches(max_chunksize=GIVEN_ROWS):
+                columns = [self.langs.take(part.column("lang"))]
+                for name in self.names[1:]:
+                    at = part.column(name)
+                    columns.append(self.words.take(pc.if_else(pc.less(at, 0), pa.scalar(None, at.type), at)))
+                yield pa.RecordBatch.from_arrays([*columns, part.column("n")], [*self.names, "n"])
+        self.clear()
+
+
+def windows(docs: DataFrame, known: Broadcast[Frequent], longest: int = LONGEST, most: int = MOST_HELD) -> DataFrame:
+    """(lang, w1 .. , n): padded windows and how often they occur in a task's texts.
 
     One for each word occurrence; those of rare words are all padding.
     """
-    names = ["lang", *window_columns(longest), "n"]
 
     def counted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Held(longest, most)
         for row in rows:
             for own in stretches(row):
-                word, pair, triple, _ = known.value.marked(own)
-                n, n_words = len(word), len(own.words)
-                code = np.append(np.where(word, own.code, -1), np.full(longest, -1))
-                triple = np.append(triple, np.zeros(longest, bool))
-                head = own.lang.astype(np.int64) * (n_words + 1) + code[:n] + 1
-                alone = np.flatnonzero(~pair)
-                _, first, count = np.unique(head[alone], return_index=True, return_counts=True)
-                yield rows_of(own, code, alone[first], [], count)
-                at = np.flatnonzero(pair)
-                if not len(at):
-                    continue
-                # Windows are numbered column by column, so that their numbers stay small and exact.
-                number, goes_on = head[at], [np.ones(len(at), bool)]
-                for k in range(1, longest):
-                    goes_on += [goes_on[-1] & triple[at + k - 2]] if k > 1 else []
-                    here = number * (n_words + 1) + np.where(goes_on[-1], code[at + k] + 1, 0)
-                    _, first, number, count = np.unique(here, return_index=True, return_inverse=True, return_counts=True)
-                yield rows_of(own, code, at[first], [g[first] for g in goes_on], count)
-
-    def rows_of(own: Stretch, code: np.ndarray, at: np.ndarray, goes_on: list[np.ndarray], count: np.ndarray) -> pa.RecordBatch:
-        columns = [own.langs.take(pa.array(own.lang[at]))]
-        for k in range(longest):
-            there = code[at] >= 0 if k == 0 else goes_on[k - 1] if k <= len(goes_on) else np.zeros(len(at), bool)
-            columns.append(own.words.take(pa.array(code[np.where(there, at + k, 0)], mask=~there)))
-        return pa.RecordBatch.from_arrays([*columns, pa.array(count.astype(np.int64))], names)
-
-    ddl = ", ".join(f"{c} string" for c in names[:-1]) + ", n long"
+                yield from held.add(own, *known.value.marked(own)[:3])
+        yield from held.given()
+
+    ddl = ", ".join(f"{c} string" for c in ["lang", *window_columns(longest)]) + ", n long"
     return docs.mapInArrow(counted, ddl)
 
 
@@ -242,11 +282,13 @@ def phrase_counts(
     """
     shipped(docs.sparkSession)
     own = docs.select(F.col(text).cast("string").alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANG)).alias("lang"))
+    total = text_bytes(own)
     if bits is None:
-        bits = min(MOST_BITS, max(LEAST_BITS, (text_bytes(own) >> 6).bit_length()))
+        bits = min(MOST_BITS, max(LEAST_BITS, (total >> 6).bit_length()))
     columns = window_columns(max(longest, 2))
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
     # Stored once, as Parquet: both rollups read it.
-    made = materialize(windows(own, frequent(own, bits, least), len(columns)), "windows")
+    made = materialize(windows(own.coalesce(tasks), frequent(own, bits, least), len(columns)), "windows")
     ending = F.col(columns[2]).isNull() if longest > 2 else F.lit(True)
     short = made.where(ending).select("lang", "w1", "w2", "n")
     long = made.where(~ending).groupBy("lang", *columns).agg(F.sum("n").alias("n"))

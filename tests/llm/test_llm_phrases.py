@@ -68,3 +68,37 @@ def test_empty_and_clashing(spark):
     assert collocations.collocations(docs).count() == 0
     clash = spark.createDataFrame([("en", "a b " * 30, 1, "x")], "lang string, text string, n int, words string")
     assert rows_of(collocations.collocations(clash, least=5)) == sorted(mined([("en", "a b " * 30)], 5))
+
+
+@pytest.mark.parametrize("most", [collocations.MOST_HELD, 40])
+def test_windows_of_a_task_are_combined(spark, most):
+    """A task gives a window once however many batches it reads, or starts anew where it holds too many."""
+    rows = [("en" if k % 3 else "de", " ".join(f"w{(k * j) % 7}" for j in range(30)) + f". rare{k} w1") for k in range(200)]
+    own = collocations.shipped(spark).createDataFrame(rows, "lang string, text string").coalesce(1)
+    key, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(key, "5")
+    try:
+        made = collocations.windows(own, collocations.frequent(own, 16, 50), most=most).collect()
+    finally:
+        spark.conf.set(key, before)
+    n, distinct = Counter(), Counter(tuple(r)[:-1] for r in made)
+    for r in made:
+        n[r["lang"]] += r["n"]
+    assert n == {g: 32 * sum(lang == g for lang, _ in rows) for g in ("en", "de")}
+    assert (max(distinct.values()) == 1) == (most > 40)
+
+
+def test_small_splits_are_counted_together(spark):
+    """Many small splits of a table are counted in as many tasks as the session runs, or its text asks for."""
+    tasks = spark.sparkContext.defaultParallelism
+    rows = [("en", "to be or not to be " * 3)] * 400
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(8 * tasks)
+    made = []
+    kept = collocations.materialize
+    collocations.materialize = lambda df, label: made.append(kept(df, label)) or made[-1]
+    try:
+        got = rows_of(collocations.collocations(docs))
+    finally:
+        collocations.materialize = kept
+    assert got == sorted(mined(rows, collocations.LEAST)) and got
+    assert made[0].count() <= tasks * made[0].drop("n").distinct().count()
