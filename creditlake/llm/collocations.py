@@ -57,6 +57,7 @@ TOP = 2000
 ABSORB_PERCENT = 100
 NO_LANG = "und"
 STRETCH_BYTES = 4 << 20
+HELD_STRETCH_BYTES = 1 << 20
 TASK_BYTES = 128 << 20
 MOST_HELD = 1 << 20
 GIVEN_ROWS = 1 << 16
@@ -254,7 +255,7 @@ def windows(docs: DataFrame, known: Broadcast[Frequent], longest: int = LONGEST,
     def counted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Held(longest, most)
         for row in rows:
-            for own in stretches(row):
+            for own in stretches(row, HELD_STRETCH_BYTES):  # small, beside what is held
                 yield from held.add(own, *known.value.marked(own)[:3])
         yield from held.given()
 
